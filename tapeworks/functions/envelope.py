@@ -10,9 +10,16 @@ from tapeworks import defaults
 TRACE_FIELD = "_otel_trace_context"
 
 
+# Date, one separator, time down to at least minutes, optional UTC offset.
+ISO_PATTERN = (
+    r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?([+-]\d{2}:\d{2})?)?$"
+)
+
+
 def parse_envelope_ts(value: Column) -> Column:
     """ISO-8601 text, with or without one trailing ``Z``, as a UTC timestamp."""
-    return F.try_to_timestamp(F.regexp_replace(value, "Z$", ""))
+    text = F.regexp_replace(value, "Z$", "")
+    return F.when(F.regexp_like(text, F.lit(ISO_PATTERN)), F.try_to_timestamp(text))
 
 
 def format_envelope_ts(ts: Column) -> Column:

@@ -14,13 +14,10 @@ from pyspark.sql import functions as F
 JSON_WHITESPACE = " \t\n\r"
 JSON_OPTIONS = {"allowSingleQuotes": "false"}
 
-# Last key of the parsed object, see ``parsed_frame``.
+# Last key of the parsed object, see ``parsed_object``.
 TAIL_KEY = "~tail"
 
-FRAME_SCHEMA = (
-    "e variant, s variant, lastUpdateId variant, bids variant, asks variant, "
-    f"`{TAIL_KEY}` bigint"
-)
+ROUTING_FIELDS = "e variant, s variant, lastUpdateId variant, bids variant, asks variant"
 
 
 def _body(raw: Column) -> Column:
@@ -33,8 +30,8 @@ def looks_like_object(raw: Column) -> Column:
     return F.substring(_body(raw), 1, 1) == "{"
 
 
-def parsed_frame(raw: Column) -> Column:
-    """Routing fields of an object frame, ``~tail`` set only if all of it parsed.
+def parsed_object(raw: Column, fields: str) -> Column:
+    """Chosen fields of an object frame, ``~tail`` set only if all of it parsed.
 
     Spark's JSON reader stops at the end of the first value, so text after it
     goes unnoticed. Before parsing, the closing brace is therefore replaced by
@@ -48,7 +45,13 @@ def parsed_frame(raw: Column) -> Column:
         F.xxhash64(raw).cast("string"),
         F.lit("}"),
     )
-    return F.from_json(F.when(looks_like_object(raw), probe), FRAME_SCHEMA, JSON_OPTIONS)
+    schema = f"{fields}, `{TAIL_KEY}` bigint"
+    return F.from_json(F.when(looks_like_object(raw), probe), schema, JSON_OPTIONS)
+
+
+def parsed_frame(raw: Column) -> Column:
+    """The fields of a frame that routing looks at."""
+    return parsed_object(raw, ROUTING_FIELDS)
 
 
 def is_object(raw: Column, tail: Column) -> Column:
@@ -71,6 +74,11 @@ def is_other_json(raw: Column) -> Column:
     return F.coalesce((F.size(items) == 2) & (second == F.xxhash64(raw).cast("string")), F.lit(False))
 
 
+def is_json(raw: Column) -> Column:
+    """Whether a text is exactly one JSON value."""
+    return is_object(raw, parsed_frame(raw)[TAIL_KEY]) | is_other_json(raw)
+
+
 def json_type(value: Column) -> Column:
     """Spark type name of a VARIANT: ``STRING``, ``VOID`` for null, SQL NULL if absent."""
     return F.schema_of_variant(value)

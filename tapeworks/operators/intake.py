@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapeworks import defaults
+from tapeworks.functions import envelope as env
 from tapeworks.functions import frames as fr
 from tapeworks.functions import routing
 
@@ -79,3 +80,85 @@ def classify(
         .otherwise("published")
     )
     return routed.withColumn("disposition", disposition)
+
+
+def rejected(classified: DataFrame, disposition: str) -> DataFrame:
+    """Frames that ended in one given way."""
+    return classified.filter(F.col("disposition") == disposition)
+
+
+def published(classified: DataFrame) -> DataFrame:
+    return rejected(classified, "published")
+
+
+def disposition_counts(classified: DataFrame) -> DataFrame:
+    """Frames per disposition, all seven always listed so that totals reconcile."""
+    outcomes = F.explode(F.array(*[F.lit(d) for d in DISPOSITIONS])).alias("disposition")
+    every = classified.sparkSession.range(1).select(outcomes, F.lit(0).cast("bigint").alias("n"))
+    seen = classified.groupBy("disposition").agg(F.count("*").alias("n"))
+    return every.unionByName(seen).groupBy("disposition").agg(F.sum("n").alias("frames"))
+
+
+def within_size(frames: DataFrame, max_bytes: int = defaults.MAX_MESSAGE_BYTES, raw: str = "raw") -> DataFrame:
+    return frames.filter(F.octet_length(raw) <= max_bytes)
+
+
+def subscribed_only(routed: DataFrame, subscriptions: Sequence[str] | DataFrame) -> DataFrame:
+    """Frames of subscribed streams.
+
+    A list becomes a literal filter, which reaches a columnar scan. A table of
+    subscriptions becomes a semi join; whether it is broadcast is left to
+    Spark, which decides on the table's actual size.
+    """
+    if isinstance(subscriptions, DataFrame):
+        return routed.join(subscriptions.select("stream"), "stream", "left_semi")
+    return routed.filter(F.col("stream").isin(list(subscriptions)))
+
+
+def validate_messages(messages: DataFrame, raw: str = "raw") -> DataFrame:
+    """Add ``error``, NULL for a valid message: ``stream`` and ``data`` are required.
+
+    A missing field is reported before a badly typed one, and ``stream``
+    before ``data``. A timestamp in the input does not matter.
+    """
+    text = F.col(raw)
+    fields = "stream variant, data variant, message_id variant"
+    known = messages.select("*", F.inline(F.array(fr.parsed_object(text, fields))))
+    stream, data, message_id = F.col("stream"), F.col("data"), F.col("message_id")
+    missing = lambda name: F.lit(f"Missing required field: '{name}'")
+    invalid = lambda why: F.lit(f"Invalid message format: {why}")
+    error = (
+        F.when(~fr.is_object(text, F.col(fr.TAIL_KEY)), invalid("not an object"))
+        .when(stream.isNull(), missing("stream"))
+        .when(data.isNull(), missing("data"))
+        .when(fr.json_type(stream) != "STRING", invalid("stream is not a string"))
+        .when(~F.startswith(fr.json_type(data), F.lit("OBJECT")), invalid("data is not an object"))
+        .when(~fr.json_type(message_id).isin("STRING", "VOID"), invalid("message_id is not a string"))
+    )
+    return known.withColumn("error", error).drop("stream", "data", "message_id", fr.TAIL_KEY)
+
+
+def missing_fields(
+    messages: DataFrame, required: Sequence[str] = defaults.REQUIRED_FIELDS, raw: str = "raw"
+) -> DataFrame:
+    """Add ``missing``: required keys a message does not have, in order."""
+    text = F.col(raw)
+    fields = ", ".join(f"`{name}` variant" for name in required)
+    parsed = F.col("_parsed")
+    absent = [F.when(parsed[name].isNull(), F.lit(name)) for name in required]
+    held = messages.select("*", F.explode(F.array(fr.parsed_object(text, fields))).alias("_parsed"))
+    return held.withColumn("missing", F.array_compact(F.array(*absent))).drop("_parsed")
+
+
+def attach_envelope(
+    routed: DataFrame,
+    ts: str = "recv_ts",
+    raw: str = "raw",
+    message_id: Column | None = None,
+    trace: Column | None = None,
+) -> DataFrame:
+    """Add ``envelope`` to published frames; the id defaults to a random one."""
+    identity = env.random_message_id() if message_id is None else message_id
+    return routed.withColumn(
+        "envelope", env.envelope(F.col("stream"), F.col(raw), F.col(ts), identity, trace)
+    )

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeworks import defaults
+from tapeworks.functions.frames import is_json
 
 
 def read_frames(spark: SparkSession, path: str) -> DataFrame:
@@ -94,5 +95,5 @@ def subscribe(messages: DataFrame, pattern: str, subject: str = "subject", value
     return (
         messages.filter(subject_matches(F.col(subject), pattern))
         .withColumn("text", text)
-        .withColumn("data", F.try_parse_json("text"))
+        .withColumn("data", F.when(is_json(F.col("text")), F.try_parse_json("text")))
     )
