@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tapeworks import defaults
 from tapeworks.functions.numbers import percent, subject
+from tapeworks.operators.running import join_back
 
 EXACT_PRICE, EXACT_QUANTITY = "decimal(19,8)", "decimal(18,8)"
 
@@ -209,8 +210,7 @@ def batch_completion(
     listed = counted.groupBy(*keys).agg(
         F.array_sort(F.collect_list(F.struct("error", "n"))).alias("_errors")
     )
-    on = [totals[k].eqNullSafe(listed[k]) for k in keys]
-    joined = totals.join(listed, on, "left").drop(*[listed[k] for k in keys])
+    joined = join_back(totals, listed, keys, "left")
     errors = F.coalesce("_errors", F.array().cast("array<struct<error:string,n:bigint>>"))
     return (
         joined.withColumn("symbols_processed", F.size("symbols"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tapeworks import defaults
 from tapeworks.operators.folds import DEFAULT_CHUNK_SECONDS
 from tapeworks.operators.metrics import interval_index
-from tapeworks.operators.running import null_safe
+from tapeworks.operators.running import join_back
 
 
 def quota_shed(
@@ -37,9 +37,7 @@ def quota_shed(
         .groupBy(*keys, "interval")
         .agg(F.max(place).alias("_last"))
     )
-    on = [*keys, "interval"]
-    joined = numbered.join(last_in, null_safe(numbered, last_in, on), "left")
-    joined = joined.drop(*[last_in[c] for c in on])
+    joined = join_back(numbered, last_in, [*keys, "interval"], "left")
     return joined.withColumn("shed", F.coalesce(place > F.col("_last"), F.lit(True))).drop("_last")
 
 
@@ -118,8 +116,7 @@ def outage_episodes(
             (F.col("_fails_before") - F.coalesce("_cleared", F.lit(0))).alias("_pending"),
         )
     )
-    on = [name, "_chunk"]
-    rows = counted.join(carried, null_safe(counted, carried, on)).drop(*[carried[c] for c in on])
+    rows = join_back(counted, carried, [name, "_chunk"])
     fails_before_row = F.col("_fails") - (~F.col("_ok")).cast("bigint")
     attempt = F.when(
         F.col("_fails_at_ok").isNotNull(), fails_before_row - F.col("_fails_at_ok")

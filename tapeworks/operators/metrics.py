@@ -141,7 +141,7 @@ def heartbeat_records(
     candidates = [F.nullif(c, F.lit("")) for c in (subject, fallback_subject) if c is not None]
     record = F.struct(
         F.lit(defaults.SERVICE_NAME).alias("service"),
-        (F.col(tick_ms) / F.lit(1000.0)).alias("timestamp"),
+        (F.col(tick_ms) / F.lit(1000)).cast("decimal(20,3)").alias("timestamp"),
         F.lit(defaults.SERVICE_VERSION).alias("version"),
         F.lit(defaults.HEALTHY).alias("status"),
     )

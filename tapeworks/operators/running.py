@@ -15,8 +15,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def null_safe(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[n].eqNullSafe(right[n]) for n in names])
+def join_back(rows: DataFrame, derived: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join rows with something derived from them; missing keys match each other."""
+    renamed = derived.withColumnsRenamed({name: f"_on_{name}" for name in on})
+    same = reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(f"_on_{n}")) for n in on])
+    return rows.join(renamed, same, how).drop(*[f"_on_{n}" for n in on])
 
 
 def with_running(
@@ -44,9 +47,7 @@ def with_running(
         *[F.coalesce(F.sum(f"_sum_{n}").over(earlier), F.lit(0)).alias(f"_before_{n}") for n in sums],
         *[F.max(f"_max_{n}").over(earlier).alias(f"_before_{n}") for n in maxima],
     )
-    joined = bucketed.join(
-        before, null_safe(bucketed, before, [*keys, "_bucket"]), "inner"
-    ).drop(*[before[n] for n in [*keys, "_bucket"]])
+    joined = join_back(bucketed, before, [*keys, "_bucket"])
     within = (
         Window.partitionBy(*keys, "_bucket")
         .orderBy(*order)

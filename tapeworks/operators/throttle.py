@@ -46,16 +46,12 @@ def throttled_stats(
         totals = {"processed": n, "dropped": len(pdf) - n}
         if n == 0:
             return pd.DataFrame([{"upto": None, "emitted": None, **totals}]).astype("Int64")
-        # Where an emission at each row leads: follow "next emission" to the end
-        # by doubling. Index n means there is none.
-        following = np.append(np.maximum(times.searchsorted(times + gap), np.arange(1, n + 1)), n)
-        last = np.arange(n + 1)
-        while True:
-            onward = np.where(following[last] < n, following[last], last)
-            if (onward == last).all():
-                break
-            last = onward
-            following = following[following]
+        # The emission after one at each row; the last of a chunk leads to itself.
+        # Squaring the map until it stands still follows every sequence to its end.
+        after = np.maximum(times.searchsorted(times + gap), np.arange(1, n + 1))
+        last = np.where(after < n, after, np.arange(n))
+        while not (last[last] == last).all():
+            last = last[last]
         # Only rows before the first possible second emission can come first.
         heads = np.arange(min(n, times.searchsorted(times[0] + gap) + 1))
         ends = times[last[heads]]
