@@ -155,27 +155,28 @@ def _chain(tables: DataFrame, recovery: int, width: int) -> DataFrame:
     return folds.chain(tables, lambda _: (0, None, 0), advance, lambda s: s, STATE)
 
 
+def step(standing: tuple, t: int, ok: bool, counted: bool, threshold: int, recovery: int) -> tuple:
+    """One call: ``(state, last failure, failures)`` to the next, and its result."""
+    state, failed_at, failures = standing
+    if state == OPEN and t - failed_at < recovery:
+        return standing, "rejected"
+    if ok:
+        return (CLOSED, failed_at, 0), "ok"
+    passed = HALF_OPEN if state == OPEN else state
+    if not counted:
+        return (passed, failed_at, failures), "uncounted"
+    return (OPEN if failures + 1 >= threshold else passed, t, failures + 1), "failed"
+
+
 def _run(pdf: pd.DataFrame, start: pd.Series, threshold: int, recovery: int, width: int) -> pd.DataFrame:
     """One pass over a chunk from a known state."""
-    state = STATES[int(start["state"])]
     failed_at = 0 if pd.isna(start["failed_at"]) else int(start["failed_at"]) - int(start["chunk"]) * width
-    failures = int(start["failures_before"])
+    standing = STATES[int(start["state"])], failed_at, int(start["failures_before"])
     out = []
     for t, ok, counted in zip(pdf["t"].tolist(), pdf["ok"].tolist(), pdf["counted"].tolist()):
-        before = state
-        if state == OPEN and t - failed_at < recovery:
-            result = "rejected"
-        elif ok:
-            state, failures, result = CLOSED, 0, "ok"
-        elif counted:
-            failures, failed_at, result = failures + 1, t, "failed"
-            if failures >= threshold:
-                state = OPEN
-            elif state == OPEN:
-                state = HALF_OPEN
-        else:
-            state, result = HALF_OPEN if state == OPEN else state, "uncounted"
-        out.append((before, state, result, failures))
+        before = standing[0]
+        standing, result = step(standing, t, ok, counted, threshold, recovery)
+        out.append((before, standing[0], result, standing[2]))
     frame = pd.DataFrame(out, columns=["state_before", "state_after", "result", "failure_count"])
     for name in ("ok", "seq", "t"):
         frame.insert(0, name, pdf[name].to_numpy())
@@ -200,12 +201,13 @@ def breaker_replay(
     seq: str = "seq",
     ok: str = "ok",
     counted: str | None = None,
-    chunk_seconds: int = folds.DEFAULT_CHUNK_SECONDS,
+    chunk_seconds: int | None = None,
 ) -> DataFrame:
     """``name, ts, seq, ok, state_before, state_after, result, failure_count``.
 
     Rows are taken in (ts, seq) order per name; ``seq`` must tell equal times apart.
     """
+    chunk_seconds = chunk_seconds or folds.chunk_seconds_for(log, name, ts)
     width, recovery = chunk_seconds * 1_000_000, recovery_seconds * 1_000_000
     rows = _prepared(log, name, ts, seq, ok, counted, chunk_seconds)
     tables = folds.transfer_tables(rows, lambda pdf: _summarise(pdf, threshold, recovery), TABLE)
@@ -228,12 +230,13 @@ def breaker_metrics(
     seq: str = "seq",
     ok: str = "ok",
     counted: str | None = None,
-    chunk_seconds: int = folds.DEFAULT_CHUNK_SECONDS,
+    chunk_seconds: int | None = None,
 ) -> DataFrame:
     """Where each breaker stands after its whole log. Needs no replay, only the chain.
 
     Without a failure so far there is no last failure, and no time since one.
     """
+    chunk_seconds = chunk_seconds or folds.chunk_seconds_for(log, name, ts)
     width, recovery = chunk_seconds * 1_000_000, recovery_seconds * 1_000_000
     rows = _prepared(log, name, ts, seq, ok, counted, chunk_seconds)
     tables = folds.transfer_tables(rows, lambda pdf: _summarise(pdf, threshold, recovery), TABLE)

@@ -24,7 +24,8 @@ STATE = "level bigint"
 ADMITTED = "t bigint, seq bigint, dropped boolean, backlog_units bigint"
 
 
-def _units(rate_per_second: int | str | Fraction) -> tuple[int, int]:
+def units(rate_per_second: int | str | Fraction) -> tuple[int, int]:
+    """Units per message, and units drained per microsecond."""
     per_us = Fraction(rate_per_second) / 1_000_000
     return per_us.denominator, per_us.numerator
 
@@ -92,13 +93,14 @@ def leaky_bucket(
     rate_per_second: int | str | Fraction = 250,
     ts: str = "recv_ts",
     order: str = "frame_id",
-    chunk_seconds: int = folds.DEFAULT_CHUNK_SECONDS,
+    chunk_seconds: int | None = None,
 ) -> DataFrame:
     """``key, ts, seq, dropped, backlog`` per message; backlog counts it if admitted.
 
     Rows are taken in (ts, order) order per key, starting from an empty bucket.
     """
-    unit, drain = _units(rate_per_second)
+    unit, drain = units(rate_per_second)
+    chunk_seconds = chunk_seconds or folds.chunk_seconds_for(df, key, ts)
     width = chunk_seconds * 1_000_000
     rows = folds.chunked(df, key, ts, order, chunk_seconds)
 

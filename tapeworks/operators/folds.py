@@ -12,8 +12,8 @@ and folded in three steps:
    states soon end up in the same place;
 3. each chunk is replayed from its starting state.
 
-Steps 1 and 3 group the same narrow projection by the same (key, chunk), so
-one shuffle serves both. Results equal a single pass over the whole history.
+Steps 1 and 3 work on the same narrow rows, partitioned by (key, chunk), so one
+shuffle serves both. Results equal a single pass over the whole history.
 """
 
 from __future__ import annotations
@@ -24,36 +24,47 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_CHUNK_SECONDS = 3600
-
-# Rows of one chunk that a task should at most hold.
+# Rows of one chunk that a task should at most hold, and the longest chunk.
 TARGET_CHUNK_ROWS = 2_000_000
+LONGEST_CHUNK_SECONDS = 7 * 86400
+PROBE_SECONDS = 60
 
 
-def chunk_seconds_for(df: DataFrame, key: str, ts: str, probe_seconds: int = 60) -> int:
-    """Chunk length that keeps the busiest stretch of the busiest key within a task.
+def chunk_seconds_for(df: DataFrame, key: str, ts: str) -> int:
+    """Chunk length that keeps the busiest minute of the busiest key within a task.
 
     Runs one aggregation, combined map-side, and brings back a single number.
+    Pass ``chunk_seconds`` to an operator to spare it that pass.
     """
-    slot = F.call_function("div", F.unix_seconds(F.col(ts)), F.lit(probe_seconds))
+    slot = F.call_function("div", F.unix_seconds(F.col(ts)), F.lit(PROBE_SECONDS))
     busiest = df.groupBy(key, slot.alias("slot")).count().agg(F.max("count")).first()[0] or 1
-    return max(1, min(86400, TARGET_CHUNK_ROWS * probe_seconds // busiest))
+    return max(1, min(LONGEST_CHUNK_SECONDS, TARGET_CHUNK_ROWS * PROBE_SECONDS // busiest))
 
 
 def chunked(
     df: DataFrame, key: str, ts: str, order: str, chunk_seconds: int, **extra: Column
 ) -> DataFrame:
-    """Narrow rows ``key, chunk, t, seq`` plus extras; a missing key counts as ``''``.
+    """Narrow rows ``key, chunk, t, seq`` plus extras, partitioned by (key, chunk).
+
+    Times are microseconds; ``t`` counts from the start of the chunk. A missing
+    key counts as ``''``; rows without a time have no place in a history.
 
-    Times are microseconds; ``t`` counts from the start of the chunk.
+    The repartitioning is spelled out, and the keys are never NULL so that no
+    filter is added below it in only one of the places that use the rows:
+    both then share one shuffle.
     """
     us, width = F.unix_micros(F.col(ts)), F.lit(chunk_seconds * 1_000_000)
-    return df.select(
-        F.coalesce(F.col(key).cast("string"), F.lit("")).alias("key"),
-        F.floor(us / width).cast("bigint").alias("chunk"),
-        F.pmod(us, width).alias("t"),
-        F.col(order).cast("bigint").alias("seq"),
-        *[c.alias(n) for n, c in extra.items()],
+    number = F.call_function("div", us - F.pmod(us, width), width)
+    return (
+        df.filter(F.col(ts).isNotNull())
+        .select(
+            F.coalesce(F.col(key).cast("string"), F.lit("")).alias("key"),
+            F.coalesce(number, F.lit(0)).cast("bigint").alias("chunk"),
+            F.pmod(us, width).alias("t"),
+            F.col(order).cast("bigint").alias("seq"),
+            *[c.alias(n) for n, c in extra.items()],
+        )
+        .repartition("key", "chunk")
     )
 
 

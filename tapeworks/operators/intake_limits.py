@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapeworks import defaults
-from tapeworks.operators.folds import DEFAULT_CHUNK_SECONDS
 from tapeworks.operators.metrics import interval_index
 from tapeworks.operators.running import join_back
 
@@ -73,7 +72,7 @@ def outage_episodes(
     ok: str = "ok",
     delay: int = defaults.RECONNECT_DELAY_SECONDS,
     max_attempts: int = defaults.MAX_RECONNECT_ATTEMPTS,
-    chunk_seconds: int = DEFAULT_CHUNK_SECONDS,
+    chunk_seconds: int = 3600,
 ) -> DataFrame:
     """Add ``episode``, ``attempt``, ``expected_delay`` and ``outcome`` to each row.
 

@@ -30,14 +30,16 @@ def throttled_stats(
     gap_seconds: int = defaults.STATS_INTERVAL_SECONDS,
     ts: str = "recv_ts",
     order: str = "frame_id",
-    chunk_seconds: int = folds.DEFAULT_CHUNK_SECONDS,
+    chunk_seconds: int | None = None,
 ) -> DataFrame:
     """``key, ts, seq, processed, dropped, per_second`` for each emission.
 
     Totals run from ``start_ms`` on; rows before it are not part of the run.
     """
-    width, gap, start_us = chunk_seconds * 1_000_000, gap_seconds * 1_000_000, start_ms * 1000
+    gap, start_us = gap_seconds * 1_000_000, start_ms * 1000
     counted = df.filter((processed | dropped) & (F.unix_millis(ts) >= start_ms))
+    chunk_seconds = chunk_seconds or folds.chunk_seconds_for(counted, key, ts)
+    width = chunk_seconds * 1_000_000
     rows = folds.chunked(counted, key, ts, order, chunk_seconds, done=F.coalesce(processed, F.lit(False)))
 
     def summarise(pdf: pd.DataFrame) -> pd.DataFrame:

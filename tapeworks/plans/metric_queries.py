@@ -15,7 +15,6 @@ HOUR = 3600
 # Fixed report time and start: the events cover January 2024.
 REPORT_MS = 1706745600000
 START_MS = 1704067200000
-CHUNK = 6 * HOUR
 
 
 def running_totals(spark, d):
@@ -40,7 +39,7 @@ def metrics_snapshot(spark, d):
 
 def _bucket(spark, d):
     events = inputs.events(spark, d)
-    return bucket.leaky_bucket(events, "sym", 3, "1/7200", "ts", "event_id", CHUNK)
+    return bucket.leaky_bucket(events, "sym", 3, "1/7200", "ts", "event_id")
 
 
 def leaky_bucket(spark, d):
@@ -62,7 +61,7 @@ def throttled_stats(spark, d):
         "symbol", routing.stream_symbol(F.col("stream"))
     )
     emitted = throttle.throttled_stats(
-        keyed, "symbol", metrics.is_processed(), metrics.is_dropped(), START_MS, HOUR, chunk_seconds=CHUNK
+        keyed, "symbol", metrics.is_processed(), metrics.is_dropped(), START_MS, HOUR
     )
     return emitted.select("symbol", "seq", "processed", "dropped", "per_second")
 

@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 from tapeworks.operators import breaker, intake_limits, payloads
 from tapeworks.plans import inputs, sql
 from tapeworks.plans.frame_queries import published
-from tapeworks.plans.metric_queries import CHUNK, HOUR, REPORT_MS
+from tapeworks.plans.metric_queries import HOUR, REPORT_MS
 
 THRESHOLD, RECOVERY = 3, HOUR
 
 
 def _replay(spark, d):
-    return breaker.breaker_replay(inputs.outcomes(spark, d), THRESHOLD, RECOVERY, chunk_seconds=CHUNK)
+    return breaker.breaker_replay(inputs.outcomes(spark, d), THRESHOLD, RECOVERY)
 
 
 def breaker_replay(spark, d):
@@ -24,7 +24,7 @@ def breaker_replay(spark, d):
 
 def breaker_metrics(spark, d):
     return breaker.breaker_metrics(
-        inputs.outcomes(spark, d), THRESHOLD, RECOVERY, REPORT_MS, chunk_seconds=CHUNK
+        inputs.outcomes(spark, d), THRESHOLD, RECOVERY, REPORT_MS
     )
 
 
@@ -35,7 +35,7 @@ def recent_transitions(spark, d):
 
 def outage_episodes(spark, d):
     episodes = intake_limits.outage_episodes(
-        inputs.outcomes(spark, d), max_attempts=3, chunk_seconds=CHUNK
+        inputs.outcomes(spark, d), max_attempts=3
     )
     return episodes.select("name", "seq", "ok", "episode", "attempt", "expected_delay", "outcome")
 
