@@ -89,20 +89,32 @@ def string_value(value: Column) -> Column:
     return F.when(json_type(value) == "STRING", value.cast("string"))
 
 
-def is_truthy(value: Column) -> Column:
+def is_truthy(kind: Column, text: Column) -> Column:
     """Python truth of a JSON value: null, "", 0, false, [] and {} are false."""
-    kind, text = json_type(value), value.cast("string")
     return (
         F.when(kind == "STRING", text != "")
-        .when(value.isNull() | (kind == "VOID"), False)
+        .when(kind.isNull() | (kind == "VOID"), False)
         .when(kind == "BOOLEAN", text == "true")
-        .when(kind.startswith("ARRAY"), text != "[]")
-        .when(kind.startswith("OBJECT"), text != "{}")
+        .when(F.startswith(kind, F.lit("ARRAY")), text != "[]")
+        .when(F.startswith(kind, F.lit("OBJECT")), text != "{}")
         .otherwise(F.coalesce(text.try_cast("double") != 0, F.lit(True)))
     )
 
 
-def display_text(value: Column) -> Column:
+def display_text(kind: Column, text: Column) -> Column:
     """A JSON value inside a stream name: strings verbatim, true as ``True``."""
-    text = value.cast("string")
-    return F.when(json_type(value) == "BOOLEAN", F.initcap(text)).otherwise(text)
+    return F.when(kind == "BOOLEAN", F.initcap(text)).otherwise(text)
+
+
+def frame_facts(frame: Column) -> Column:
+    """Types and texts of ``e`` and ``s``, and whether the book keys are there."""
+    e, s = frame["e"], frame["s"]
+    book = [frame[name].isNotNull() for name in ("lastUpdateId", "bids", "asks")]
+    return F.struct(
+        json_type(e).alias("e_type"),
+        e.cast("string").alias("e_text"),
+        json_type(s).alias("s_type"),
+        s.cast("string").alias("s_text"),
+        (book[0] & book[1] & book[2]).alias("is_book"),
+        frame[TAIL_KEY].alias(TAIL_KEY),
+    )

@@ -8,23 +8,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tapeworks import defaults
-from tapeworks.functions.frames import display_text, is_truthy, string_value
+from tapeworks.functions.frames import display_text, is_truthy
 
 
-def routing_keys(
-    e: Column, s: Column, last_update_id: Column, bids: Column, asks: Column
-) -> dict[str, Column]:
-    """What routing looks at, from the VARIANT fields of ``frames.parsed_frame``.
+def routing_keys(e_type: Column, e_text: Column, s_type: Column, s_text: Column) -> dict[str, Column]:
+    """``event`` and ``symbol``, NULL where the key is missing or its value false.
 
-    ``event`` and ``symbol`` are NULL where the key is missing or its value
-    false; ``odd_symbol`` marks a symbol that is there but no string.
+    ``odd_symbol`` marks a symbol that is there but no string.
     """
-    symbol = F.nullif(F.lower(string_value(s)), F.lit(""))
     return {
-        "event": F.when(is_truthy(e), display_text(e)),
-        "symbol": symbol,
-        "odd_symbol": is_truthy(s) & string_value(s).isNull(),
-        "is_book": last_update_id.isNotNull() & bids.isNotNull() & asks.isNotNull(),
+        "event": F.when(is_truthy(e_type, e_text), display_text(e_type, e_text)),
+        "symbol": F.when((s_type == "STRING") & (s_text != ""), F.lower(s_text)),
+        "odd_symbol": (s_type != "STRING") & is_truthy(s_type, s_text),
     }
 
 

@@ -44,6 +44,89 @@ def _admit(drained: list[int], level: int, capacity: int, unit: int):
     return levels, dropped
 
 
+class _Pieces:
+    """What became of every possible start level, as pieces of starts.
+
+    Piece ``i`` holds the starts up to ``upto[i]``. If it is ``fixed``, they
+    all stand at level ``value[i]`` by now, otherwise each at itself plus
+    ``value[i]``.
+    """
+
+    def __init__(self, first: int, top: int, capacity: int, unit: int):
+        self.first, self.unit, self.room = first, unit, (capacity - 1) * unit
+        self.upto = np.array([first, top])
+        self.fixed = np.array([True, False])
+        self.value = np.array([first, 0])
+
+    def range(self) -> tuple[np.ndarray, np.ndarray]:
+        """Lowest and highest level of each piece."""
+        starts = np.append(self.first, self.upto[:-1] + 1)
+        return (
+            np.where(self.fixed, self.value, starts + self.value),
+            np.where(self.fixed, self.value, self.upto + self.value),
+        )
+
+    def _cut(self, levels: list[int]) -> None:
+        """Split pieces so that none reaches across one of the levels."""
+        for level in levels:
+            low, high = self.range()
+            split = np.flatnonzero((low <= level) & (level < high))
+            if len(split):
+                self.upto = np.insert(self.upto, split, level - self.value[split])
+                self.fixed = np.insert(self.fixed, split, False)
+                self.value = np.insert(self.value, split, self.value[split])
+
+    def _merge(self) -> None:
+        same = (self.fixed[1:] == self.fixed[:-1]) & (self.value[1:] == self.value[:-1])
+        if same.any():
+            keep = np.append(~same, True)
+            self.upto, self.fixed, self.value = self.upto[keep], self.fixed[keep], self.value[keep]
+
+    def arrive(self, now: int) -> None:
+        """One message."""
+        self._cut([now, now + self.room])
+        low, high = self.range()
+        empty = high <= now
+        self.value = np.where(empty, now, self.value)
+        self.fixed = self.fixed | empty
+        low = np.where(empty, now, low)
+        self.value = self.value + np.where(low <= now + self.room, self.unit, 0)
+        self._merge()
+
+    def busy_rows(self, drained: np.ndarray) -> int:
+        """How many of the next messages surely find no bucket empty.
+
+        While none is, the number admitted out of the first ``n`` is
+        ``min(n, n + 1 + min over k of floor((limit_k - k * unit - level) / unit))``
+        for a level that is below the limit of the first. Other starts stay
+        less than one message below the lowest.
+        """
+        low, high = self.range()
+        level = int(low.min())
+        if int(high.max()) > int(drained[0]) + self.room or level - self.unit <= int(drained[0]):
+            return 0
+        numbers = np.arange(1, len(drained) + 1)
+        slack = np.minimum.accumulate(drained + self.room - numbers * self.unit)
+        admitted = numbers + np.minimum(0, (slack - level) // self.unit + 1)
+        levels = level + np.append(0, admitted[:-1]) * self.unit
+        emptied = levels - self.unit <= drained
+        return int(np.argmax(emptied)) if emptied.any() else len(drained)
+
+    def arrive_busy(self, drained: np.ndarray) -> None:
+        """All of some messages at once, none of which finds a bucket empty."""
+        n = len(drained)
+        slack = int((drained + self.room - np.arange(1, n + 1) * self.unit).min())
+        low, high = self.range()
+        top = int(high.max())
+        # Beyond ``slack`` every further unit of level means one message less.
+        self._cut([slack + i * self.unit for i in range(max(0, (top - slack) // self.unit + 1))
+                   if int(low.min()) <= slack + i * self.unit])
+        low, _ = self.range()
+        admitted = n + np.minimum(0, (slack - low) // self.unit + 1)
+        self.value = self.value + admitted * self.unit
+        self._merge()
+
+
 def _summarise(pdf: pd.DataFrame, capacity: int, unit: int, drain: int) -> pd.DataFrame:
     """Lines ``start level up to -> end level`` or, unless fixed, ``-> start + value``."""
     drained = pdf["t"].to_numpy() * drain
@@ -56,34 +139,23 @@ def _summarise(pdf: pd.DataFrame, capacity: int, unit: int, drain: int) -> pd.Da
         rest = drained[empty[0]:]
         levels, _ = _admit(rest.tolist(), int(rest[0]), capacity, unit)
         return pd.DataFrame({"upto": [top], "fixed": [True], "value": [levels[-1]]})
-    # Otherwise carry every start along, as pieces of starts that share a fate.
-    upto = np.array([first, top])
-    fixed = np.array([True, False])
-    value = np.array([first, 0])
-    room = (capacity - 1) * unit
-    for position, now in enumerate(drained.tolist()):
-        high = np.where(fixed, value, upto + value)
-        low = np.where(fixed, value, np.append(first, upto[:-1] + 1) + value)
-        cuts = [c for c in (now, now + room) if ((low <= c) & (c < high)).any()]
-        for cut in cuts:
-            split = np.flatnonzero((low <= cut) & (cut < high))
-            upto = np.insert(upto, split, cut - value[split])
-            fixed, value = np.insert(fixed, split, False), np.insert(value, split, value[split])
-            high = np.where(fixed, value, upto + value)
-            low = np.where(fixed, value, np.append(first, upto[:-1] + 1) + value)
-        drained_empty = high <= now
-        value = np.where(drained_empty, now, value)
-        fixed = fixed | drained_empty
-        value = value + np.where(np.where(fixed, value, low) <= now + room, unit, 0)
-        same = (fixed[1:] == fixed[:-1]) & (value[1:] == value[:-1])
-        if same.any():
-            keep = np.append(~same, True)
-            upto, fixed, value = upto[keep], fixed[keep], value[keep]
-        if len(upto) == 1 and fixed[0] and position + 1 < n:
-            levels, _ = _admit(drained[position + 1:].tolist(), int(value[0]), capacity, unit)
-            value = np.array([levels[-1]])
+    # Otherwise carry every start along, in one go while the bucket is busy.
+    pieces, row, wait = _Pieces(first, top, capacity, unit), 0, 0
+    while row < n:
+        if len(pieces.upto) == 1 and pieces.fixed[0]:
+            levels, _ = _admit(drained[row:].tolist(), int(pieces.value[0]), capacity, unit)
+            pieces.value = np.array([levels[-1]])
             break
-    return pd.DataFrame({"upto": upto, "fixed": fixed, "value": value})
+        busy = pieces.busy_rows(drained[row:]) if wait == 0 else 0
+        if busy > 1:
+            pieces.arrive_busy(drained[row:row + busy])
+            row += busy
+        else:
+            # Looking ahead costs more than a row; do it every so often.
+            wait = 32 if wait == 0 else wait - 1
+            pieces.arrive(int(drained[row]))
+            row += 1
+    return pd.DataFrame({"upto": pieces.upto, "fixed": pieces.fixed, "value": pieces.value})
 
 
 def leaky_bucket(

@@ -92,7 +92,7 @@ def _python_type(value: Column) -> Column:
 
 def _stream_error(value: Column) -> Column:
     text = fr.string_value(value)
-    shown = F.when(fr.json_type(value) == "VOID", "None").otherwise(fr.display_text(value))
+    shown = F.when(fr.json_type(value) == "VOID", "None").otherwise(fr.display_text(fr.json_type(value), value.cast("string")))
     not_text = _error(
         "streams",
         F.concat(F.lit("Stream must be a string, got "), _python_type(value)),

@@ -51,8 +51,10 @@ def chunked(
 
     The repartitioning is spelled out, and the keys are never NULL so that no
     filter is added below it in only one of the places that use the rows:
-    both then share one shuffle.
+    both then share one shuffle. It keeps to the session's number of shuffle
+    partitions, since what follows costs computing time rather than bytes.
     """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     us, width = F.unix_micros(F.col(ts)), F.lit(chunk_seconds * 1_000_000)
     number = F.call_function("div", us - F.pmod(us, width), width)
     return (
@@ -64,7 +66,7 @@ def chunked(
             F.col(order).cast("bigint").alias("seq"),
             *[c.alias(n) for n, c in extra.items()],
         )
-        .repartition("key", "chunk")
+        .repartition(partitions, "key", "chunk")
     )
 
 

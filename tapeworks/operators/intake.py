@@ -32,21 +32,21 @@ ROUTING_KEYS = ("event", "symbol", "odd_symbol", "is_book")
 def parse(frames: DataFrame, raw: str = "raw") -> DataFrame:
     """Add ``shape`` and the routing keys ``event, symbol, odd_symbol, is_book``.
 
-    Both steps are generated with ``inline`` rather than projected: a filter on
-    their results is then evaluated after them, while a projection would have
-    it pushed below and the JSON read again, once per filter.
+    What the keys are made of is generated with ``inline`` rather than
+    projected: a filter on the result is then evaluated after the parse, while
+    a projection would have it pushed below and the JSON read again for it.
     """
     text = F.col(raw)
-    parsed = frames.select("*", F.inline(F.array(fr.parsed_frame(text))))
-    fields = ("e", "s", "lastUpdateId", "bids", "asks")
+    facts = F.transform(F.array(fr.parsed_frame(text)), fr.frame_facts)
+    parsed = frames.select("*", F.inline(facts))
     shape = (
         F.when(fr.is_object(text, F.col(fr.TAIL_KEY)), OBJECT)
         .when(fr.is_other_json(text), OTHER_JSON)
         .otherwise(MALFORMED)
     )
+    fields = ("e_type", "e_text", "s_type", "s_text")
     keys = routing.routing_keys(*[F.col(c) for c in fields])
-    known = F.struct(shape.alias("shape"), *[v.alias(k) for k, v in keys.items()])
-    return parsed.select(*frames.columns, F.inline(F.array(known)))
+    return parsed.withColumns({"shape": shape, **keys}).drop(*fields, fr.TAIL_KEY)
 
 
 def route(parsed: DataFrame, subscriptions: Sequence[str] = defaults.DEFAULT_STREAMS) -> DataFrame:

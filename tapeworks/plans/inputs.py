@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tapeworks.defaults import JOB_ORDER
 from tapeworks.session import prepare
+from tapeworks.sources import readers
 
 SYMBOLS = ("BTCUSDT", "ETHUSDT", "BNBUSDT", "SOLUSDT", "ADAUSDT")
 
@@ -22,7 +23,8 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     symbols = F.array(*[F.lit(s) for s in SYMBOLS])
     ts = F.col("ts").cast("timestamp")
-    return spark.read.parquet(f"{sf_dir}/events.parquet").select(
+    table = readers.spread(spark.read.parquet(f"{sf_dir}/events.parquet"), "event_id")
+    return table.select(
         "event_id",
         "user_id",
         "event_type",

@@ -35,6 +35,16 @@ def _landed(lines: DataFrame) -> DataFrame:
     )
 
 
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """Deal out an input that comes in fewer splits than there are cores.
+
+    One large unsplittable file would otherwise be parsed by a single task.
+    An input with enough splits, the normal case on a cluster, is left alone.
+    """
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted, *by)
+
+
 def kafka_frames(
     spark: SparkSession,
     servers: str,
