@@ -30,28 +30,31 @@ def looks_like_object(raw: Column) -> Column:
     return F.substring(_body(raw), 1, 1) == "{"
 
 
-def parsed_object(raw: Column, fields: str) -> Column:
-    """Chosen fields of an object frame, ``~tail`` set only if all of it parsed.
+def object_probe(raw: Column) -> Column:
+    """An object frame with one more field, ``~tail``, holding a hash of the frame.
 
     Spark's JSON reader stops at the end of the first value, so text after it
-    goes unnoticed. Before parsing, the closing brace is therefore replaced by
-    one more field holding a hash of the frame: the reader only gets to see it
-    if everything before the last brace was one well-formed object.
+    goes unnoticed. The extra field takes the place of the closing brace: the
+    reader only gets to see it if everything before the last brace was one
+    well-formed object. NULL for a frame that does not begin like an object.
     """
     body = _body(raw)
-    probe = F.concat(
+    extended = F.concat(
         F.substring(body, F.lit(1), F.length(body) - 1),
         F.lit(f',"{TAIL_KEY}":'),
         F.xxhash64(raw).cast("string"),
         F.lit("}"),
     )
-    schema = f"{fields}, `{TAIL_KEY}` bigint"
-    return F.from_json(F.when(looks_like_object(raw), probe), schema, JSON_OPTIONS)
+    return F.when(looks_like_object(raw), extended)
 
 
-def parsed_frame(raw: Column) -> Column:
-    """The fields of a frame that routing looks at."""
-    return parsed_object(raw, ROUTING_FIELDS)
+def parsed_probe(probe: Column, fields: str = ROUTING_FIELDS) -> Column:
+    """Chosen fields of a probe, ``~tail`` set only if all of it could be read."""
+    return F.from_json(probe, f"{fields}, `{TAIL_KEY}` bigint", JSON_OPTIONS)
+
+
+def parsed_object(raw: Column, fields: str = ROUTING_FIELDS) -> Column:
+    return parsed_probe(object_probe(raw), fields)
 
 
 def is_object(raw: Column, tail: Column) -> Column:
@@ -76,7 +79,7 @@ def is_other_json(raw: Column) -> Column:
 
 def is_json(raw: Column) -> Column:
     """Whether a text is exactly one JSON value."""
-    return is_object(raw, parsed_frame(raw)[TAIL_KEY]) | is_other_json(raw)
+    return is_object(raw, parsed_object(raw)[TAIL_KEY]) | is_other_json(raw)
 
 
 def json_type(value: Column) -> Column:
@@ -106,15 +109,16 @@ def display_text(kind: Column, text: Column) -> Column:
     return F.when(kind == "BOOLEAN", F.initcap(text)).otherwise(text)
 
 
-def frame_facts(frame: Column) -> Column:
-    """Types and texts of ``e`` and ``s``, and whether the book keys are there."""
+def frame_facts(frame: Column, raw: Column) -> Column:
+    """What is needed of a parsed frame: whether it is an object, types and texts
+    of ``e`` and ``s``, and whether the keys of a book are there."""
     e, s = frame["e"], frame["s"]
     book = [frame[name].isNotNull() for name in ("lastUpdateId", "bids", "asks")]
     return F.struct(
+        is_object(raw, frame[TAIL_KEY]).alias("is_object"),
         json_type(e).alias("e_type"),
         e.cast("string").alias("e_text"),
         json_type(s).alias("s_type"),
         s.cast("string").alias("s_text"),
         (book[0] & book[1] & book[2]).alias("is_book"),
-        frame[TAIL_KEY].alias(TAIL_KEY),
     )

@@ -125,8 +125,8 @@ def validate_config(requests: DataFrame, config_type: str = "config_type", param
 
     Columns: ``validation_passed, errors, warnings, suggested_fixes,
     risk_level, affected_scope, impact, conflicts``. Where ``streams`` is a
-    number, a boolean or null the reference service fails internally; those
-    rows have ``validation_passed`` and ``errors`` NULL.
+    number, a boolean or null the service itself fails internally; those rows
+    have ``validation_passed`` and ``errors`` NULL.
     """
     fields = ", ".join(f"{name} variant" for name in PARAMETER_FIELDS)
     known = requests.select("*", F.inline(F.array(fr.parsed_object(F.col(parameters), fields)))).drop(

@@ -26,33 +26,32 @@ COUNTED_AS_DROPPED = ("queue_full", "not_connected")
 OBJECT, OTHER_JSON, MALFORMED = "object", "other_json", "malformed"
 
 
-ROUTING_KEYS = ("event", "symbol", "odd_symbol", "is_book")
+ROUTING_KEYS = ("is_object", "event", "symbol", "odd_symbol", "is_book")
 
 
 def parse(frames: DataFrame, raw: str = "raw") -> DataFrame:
-    """Add ``shape`` and the routing keys ``event, symbol, odd_symbol, is_book``.
+    """Add ``shape`` and the routing keys ``is_object, event, symbol, odd_symbol, is_book``.
 
     What the keys are made of is generated with ``inline`` rather than
     projected: a filter on the result is then evaluated after the parse, while
     a projection would have it pushed below and the JSON read again for it.
+    The text to parse is projected first, where it is compiled code.
     """
     text = F.col(raw)
-    facts = F.transform(F.array(fr.parsed_frame(text)), fr.frame_facts)
-    parsed = frames.select("*", F.inline(facts))
-    shape = (
-        F.when(fr.is_object(text, F.col(fr.TAIL_KEY)), OBJECT)
-        .when(fr.is_other_json(text), OTHER_JSON)
-        .otherwise(MALFORMED)
-    )
+    probed = frames.withColumn("_probe", fr.object_probe(text))
+    facts = F.transform(F.array(fr.parsed_probe(F.col("_probe"))), lambda f: fr.frame_facts(f, text))
+    parsed = probed.select(*frames.columns, F.inline(facts))
+    shape = F.when(F.col("is_object"), OBJECT).when(fr.is_other_json(text), OTHER_JSON).otherwise(MALFORMED)
     fields = ("e_type", "e_text", "s_type", "s_text")
     keys = routing.routing_keys(*[F.col(c) for c in fields])
-    return parsed.withColumns({"shape": shape, **keys}).drop(*fields, fr.TAIL_KEY)
+    return parsed.withColumns({"shape": shape, **keys}).drop(*fields)
 
 
 def route(parsed: DataFrame, subscriptions: Sequence[str] = defaults.DEFAULT_STREAMS) -> DataFrame:
     """Replace the routing keys by ``stream``, NULL where there is none."""
-    stream = routing.route_stream(*[F.col(c) for c in ROUTING_KEYS], subscriptions)
-    return parsed.withColumn("stream", F.when(F.col("shape") == OBJECT, stream)).drop(*ROUTING_KEYS)
+    keys = [F.col(c) for c in ROUTING_KEYS[1:]]
+    stream = F.when(F.col("is_object"), routing.route_stream(*keys, subscriptions))
+    return parsed.withColumn("stream", stream).drop(*ROUTING_KEYS)
 
 
 def classify(

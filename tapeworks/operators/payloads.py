@@ -94,8 +94,7 @@ def books(routed: DataFrame, raw: str = "raw", keep: tuple[str, ...] = ()) -> Da
     return _typed(chosen, BOOK_KEYS, raw, ("stream", *keep))
 
 
-def book_levels(books: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per ``side, level, price, quantity``; level 0 is the first listed."""
+def _sides(keep: tuple[str, ...], rows: DataFrame) -> DataFrame:
     side = lambda name: F.transform(
         F.coalesce(F.col(name), F.array().cast("array<array<string>>")),
         lambda pair, pos: F.struct(
@@ -105,6 +104,20 @@ def book_levels(books: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
             to_price(F.get(pair, 1)).alias("quantity"),
         ),
     )
-    return books.select(*keep, F.inline(F.concat(side("bids"), side("asks"))))
+    return rows.select(*keep, F.inline(F.concat(side("bids"), side("asks"))))
 
 
+def levels_of(typed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per ``side, level, price, quantity``; level 0 is the first listed."""
+    return _sides(keep, typed)
+
+
+def book_levels(routed: DataFrame, raw: str = "raw", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Levels of depth diffs and partial books alike, in one pass over the frames."""
+    chosen = routed.filter(_on(defaults.BOOK_SUFFIX))
+    keys = [(key, f"{name}_{i}", how) for i, table in enumerate((DEPTH_KEYS, BOOK_KEYS))
+            for key, name, how in table if how == "levels"]
+    is_diff = F.coalesce(_of_event("depthUpdate", raw), F.lit(False))
+    typed = _typed(chosen.withColumn("_is_diff", is_diff), tuple(keys), raw, (*keep, "_is_diff"))
+    pick = lambda name: F.when(F.col("_is_diff"), F.col(f"{name}_0")).otherwise(F.col(f"{name}_1"))
+    return _sides(keep, typed.select(*keep, pick("bids").alias("bids"), pick("asks").alias("asks")))

@@ -231,9 +231,7 @@ def book_typed(spark, d):
 
 
 def book_levels(spark, d):
-    depth = payloads.depth_updates(published(spark, d), keep=("frame_id",)).select("frame_id", "bids", "asks")
-    book = payloads.books(published(spark, d), keep=("frame_id",)).select("frame_id", "bids", "asks")
-    return payloads.book_levels(depth.unionByName(book), keep=("frame_id",))
+    return payloads.book_levels(published(spark, d), keep=("frame_id",))
 
 
 _PUB = "FROM cl WHERE disposition = 'published'"

@@ -78,14 +78,9 @@ def subject_filter(spark, d):
         numbers.subject("binance.extraction", *columns).alias("subject"),
         F.encode(value, "UTF-8").alias("value"),
     )
-    found = None
-    for pattern in PATTERNS:
-        matched = readers.subscribe(messages, pattern).select(
-            F.lit(pattern).alias("pattern"), "event_id", "text",
-            F.try_variant_get("data", "$.symbol", "string").alias("symbol"),
-        )
-        found = matched if found is None else found.unionByName(matched)
-    return found
+    return readers.subscribe(messages, PATTERNS).select(
+        "pattern", "event_id", "text", F.try_variant_get("data", "$.symbol", "string").alias("symbol")
+    )
 
 
 _JSON_LIST = "'[' || coalesce(array_to_string(list_transform(errors, lambda x: '\"' || x || '\"'), ','), '') || ']'"

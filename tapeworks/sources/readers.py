@@ -35,6 +35,25 @@ def _landed(lines: DataFrame) -> DataFrame:
     )
 
 
+def read_routed(
+    spark: SparkSession,
+    path: str,
+    streams: Sequence[str] | None = None,
+    first_date: str | None = None,
+    last_date: str | None = None,
+) -> DataFrame:
+    """Frames landed by ``writers.land_routed``; only the folders asked for are read."""
+    landed = spark.read.parquet(path)
+    if first_date:
+        landed = landed.filter(F.col("date") >= F.lit(first_date).cast("date"))
+    if last_date:
+        landed = landed.filter(F.col("date") <= F.lit(last_date).cast("date"))
+    if streams is not None:
+        types = sorted({s.split("@")[1] for s in streams if "@" in s})
+        landed = landed.filter(F.col("stream_type").isin(types) & F.col("stream").isin(list(streams)))
+    return landed
+
+
 def spread(df: DataFrame, *by: str) -> DataFrame:
     """Deal out an input that comes in fewer splits than there are cores.
 
@@ -95,15 +114,20 @@ def subject_matches(subject: Column, pattern: str) -> Column:
     return F.regexp_like(subject, F.lit(subject_regex(pattern)))
 
 
-def subscribe(messages: DataFrame, pattern: str, subject: str = "subject", value: str = "value") -> DataFrame:
-    """Messages under a subject pattern, with ``text`` and, where it is JSON, ``data``.
+def subscribe(
+    messages: DataFrame, patterns: str | Sequence[str], subject: str = "subject", value: str = "value"
+) -> DataFrame:
+    """Messages under subject patterns, with ``pattern``, ``text`` and, if JSON, ``data``.
 
-    Bytes are decoded as UTF-8. Text that is no JSON keeps ``data`` NULL and
-    stays readable as ``text``.
+    A message under several of the patterns comes once for each. Bytes are
+    decoded as UTF-8. Text that is no JSON keeps ``data`` NULL and stays
+    readable as ``text``.
     """
+    listed = [patterns] if isinstance(patterns, str) else list(patterns)
+    hits = F.array(*[F.when(subject_matches(F.col(subject), p), F.lit(p)) for p in listed])
     text = F.decode(F.col(value).cast("binary"), "UTF-8")
     return (
-        messages.filter(subject_matches(F.col(subject), pattern))
+        messages.select("*", F.explode(F.array_compact(hits)).alias("pattern"))
         .withColumn("text", text)
         .withColumn("data", F.when(is_json(F.col("text")), F.try_parse_json("text")))
     )

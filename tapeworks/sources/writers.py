@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tapeworks import defaults
 from tapeworks.functions.envelope import envelope_json
+from tapeworks.functions.routing import stream_type
 
 
 def to_messages(enveloped: DataFrame, subject: str = defaults.PUBLISH_SUBJECT) -> DataFrame:
@@ -25,6 +26,21 @@ def write_messages(messages: DataFrame, path: str, mode: str = "append") -> None
     messages.select("value").write.mode(mode).text(path)
 
 
+def land_routed(routed: DataFrame, path: str, ts: str = "recv_ts", mode: str = "append") -> None:
+    """Land routed frames as Parquet, by date and stream type.
+
+    Rebalancing brings the rows of a folder together into few files, and cuts
+    up the folder of a busy day or type instead of giving it to one task.
+    """
+    placed = routed.withColumns(
+        {"date": F.to_date(ts), "stream_type": stream_type(F.col("stream"))}
+    )
+    balanced = placed.hint("rebalance", "date", "stream_type").sortWithinPartitions(
+        "date", "stream_type", "stream"
+    )
+    balanced.write.mode(mode).partitionBy("date", "stream_type").parquet(path)
+
+
 def stream_messages(
     messages: DataFrame, path: str, checkpoint: str, once: bool = False
 ) -> StreamingQuery:
