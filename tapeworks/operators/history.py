@@ -20,6 +20,14 @@ def _quote(price: Column, quantity: Column) -> Column:
     return F.coalesce(exact, F.try_multiply(price, quantity).try_cast("decimal(38,16)"))
 
 
+def _place(ms: Column, trade_id: Column) -> Column:
+    """Time, then id, as one number: with a struct to order by, Spark would sort
+    all trades before aggregating them instead of hashing."""
+    step = F.lit("100000000000000000000").cast("decimal(21,0)")
+    earlier = (ms.cast("decimal(15,0)") * step).cast("decimal(38,0)")
+    return (earlier + F.coalesce(trade_id, F.lit(-1)).cast("decimal(20,0)")).cast("decimal(38,0)")
+
+
 def candles(
     trades: DataFrame,
     periods: Mapping[str, int] | Sequence[str] = tuple(defaults.CANDLE_PERIODS),
@@ -28,7 +36,8 @@ def candles(
     """Candles of ``symbol`` for each period, from typed trades.
 
     Trades are aggregated once, to the shortest period; longer periods that
-    are its multiples are rolled up from those few candles.
+    are its multiples are rolled up from those few candles. Trades of the same
+    millisecond count in the order of their ids.
     """
     lengths = dict(periods) if isinstance(periods, Mapping) else {
         p: defaults.CANDLE_PERIODS[p] for p in periods
@@ -37,7 +46,7 @@ def candles(
     if any(seconds % base for seconds in lengths.values()):
         raise ValueError("every period must be a multiple of the shortest")
     ms, price, quantity = F.unix_millis(ts), F.col("price"), F.col("quantity")
-    place = F.struct(ms.alias("ms"), F.col("trade_id"))
+    place = _place(ms, F.col("trade_id"))
     quote = _quote(price, quantity)
     taker = ~F.col("is_buyer_maker")
     shortest = trades.groupBy(
