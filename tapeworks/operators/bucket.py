@@ -96,34 +96,49 @@ class _Pieces:
     def busy_rows(self, drained: np.ndarray) -> int:
         """How many of the next messages surely find no bucket empty.
 
-        While none is, the number admitted out of the first ``n`` is
-        ``min(n, n + 1 + min over k of floor((limit_k - k * unit - level) / unit))``
-        for a level that is below the limit of the first. Other starts stay
-        less than one message below the lowest.
+        Followed for the lowest level there is: other starts never fall a
+        whole message behind it. From the first message it can take, at
+        ``first``, it has taken ``min(k, k + min over the k so far of room_k - k)``
+        after ``k`` more, where ``room_k`` is what fits by then.
         """
-        low, high = self.range()
-        level = int(low.min())
-        if int(high.max()) > int(drained[0]) + self.room or level - self.unit <= int(drained[0]):
+        low = int(self.range()[0].min())
+        if low - self.unit <= int(drained[0]):
             return 0
-        numbers = np.arange(1, len(drained) + 1)
-        slack = np.minimum.accumulate(drained + self.room - numbers * self.unit)
-        admitted = numbers + np.minimum(0, (slack - level) // self.unit + 1)
-        levels = level + np.append(0, admitted[:-1]) * self.unit
-        emptied = levels - self.unit <= drained
+        limits = drained + self.room
+        first = int(limits.searchsorted(low))
+        numbers = np.arange(1, len(limits) - first + 1)
+        fits = (limits[first:] - low) // self.unit + 1
+        admitted = numbers + np.minimum(0, np.minimum.accumulate(fits - numbers))
+        before = np.concatenate([np.zeros(first + 1, dtype=np.int64), admitted])[: len(limits)]
+        emptied = low + (before - 1) * self.unit <= drained
         return int(np.argmax(emptied)) if emptied.any() else len(drained)
 
     def arrive_busy(self, drained: np.ndarray) -> None:
         """All of some messages at once, none of which finds a bucket empty."""
-        n = len(drained)
-        slack = int((drained + self.room - np.arange(1, n + 1) * self.unit).min())
+        n, unit, limits = len(drained), self.unit, drained + self.room
+        top = int(self.range()[1].max())
+        # Starts that are too full at first wait for the limit to reach them.
+        self._cut(np.unique(limits[limits < top]).tolist())
+        least = np.minimum.accumulate((limits - np.arange(1, n + 1) * unit)[::-1])[::-1]
         low, high = self.range()
-        top = int(high.max())
-        # Beyond ``slack`` every further unit of level means one message less.
-        self._cut([slack + i * self.unit for i in range(max(0, (top - slack) // self.unit + 1))
-                   if int(low.min()) <= slack + i * self.unit])
-        low, _ = self.range()
-        admitted = n + np.minimum(0, (slack - low) // self.unit + 1)
-        self.value = self.value + admitted * self.unit
+        first = limits.searchsorted(low)
+        # Beyond ``least`` every further unit of level means one message less.
+        pieces = []
+        for i, (lowest, highest, row) in enumerate(zip(low.tolist(), high.tolist(), first.tolist())):
+            upto, fixed, value = int(self.upto[i]), bool(self.fixed[i]), int(self.value[i])
+            if row == n:
+                pieces.append((upto, fixed, value))
+                continue
+            slack = int(least[row])
+            cut = slack + max(0, -((slack - lowest) // unit)) * unit
+            while cut < highest:
+                more = min(n - row, n + (slack - lowest) // unit + 1)
+                pieces.append((cut - value, False, value + more * unit))
+                lowest, cut = cut + 1, cut + unit
+            more = min(n - row, n + (slack - lowest) // unit + 1)
+            pieces.append((upto, fixed, value + more * unit))
+        columns = list(zip(*pieces))
+        self.upto, self.fixed, self.value = (np.array(column) for column in columns)
         self._merge()
 
 

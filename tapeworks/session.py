@@ -36,15 +36,19 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_local_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, for checkpoints and intermediate tables.
 
     The cluster names it in ``spark.checkpoint.dir``. Only when that is unset
-    (tests, a laptop) is a local folder made and recorded in its place.
+    (tests, a laptop) is a local folder made in its place, one per application.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
-    local = tempfile.mkdtemp(prefix="tapeworks-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+    application = spark.sparkContext.applicationId
+    if application not in _local_dirs:
+        _local_dirs[application] = tempfile.mkdtemp(prefix="tapeworks-")
+    return _local_dirs[application]

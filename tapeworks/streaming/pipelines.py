@@ -6,6 +6,7 @@ a bucket is asked for. Output files are written exactly once.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tapeworks import defaults
 from tapeworks.operators import intake, intake_limits
 from tapeworks.operators.metrics import is_dropped, is_processed
+from tapeworks.session import shared_dir
 from tapeworks.sources import readers, writers
 from tapeworks.streaming.observe import observed_stream
 
@@ -36,12 +38,18 @@ def publish(
     spark: SparkSession,
     source: str,
     target: str,
-    checkpoint: str,
+    checkpoint: str | None = None,
     subscriptions: Sequence[str] = defaults.DEFAULT_STREAMS,
     files_per_trigger: int | None = None,
     once: bool = False,
 ) -> StreamingQuery:
-    """Landed frames in, envelope messages out."""
+    """Landed frames in, envelope messages out.
+
+    The checkpoint defaults to a place in the shared folder that belongs to
+    the target, so that a restart finds it again.
+    """
+    if checkpoint is None:
+        checkpoint = f"{shared_dir(spark)}/publish-{hashlib.sha256(target.encode()).hexdigest()[:16]}"
     frames = readers.stream_frames(spark, source, files_per_trigger)
     return writers.stream_messages(messages(frames, subscriptions), target, checkpoint, once)
 

@@ -85,7 +85,7 @@ def test_publish_counts_and_envelopes(spark, tmp_path):
     totals = observe.RunningTotals()
     spark.streams.addListener(totals)
     try:
-        query = pipelines.publish(spark, source, target, str(tmp_path / "cp"), files_per_trigger=1, once=True)
+        query = pipelines.publish(spark, source, target, files_per_trigger=1, once=True)
         query.awaitTermination(240)
     finally:
         spark.streams.removeListener(totals)
@@ -95,7 +95,7 @@ def test_publish_counts_and_envelopes(spark, tmp_path):
     streams = sorted(json.loads(t)["stream"] for t in texts)
     assert streams == sorted(r.stream for r in expected.select("stream").collect())
     # Running it again finds nothing new: the checkpoint remembers.
-    pipelines.publish(spark, source, target, str(tmp_path / "cp"), once=True).awaitTermination(240)
+    pipelines.publish(spark, source, target, once=True).awaitTermination(240)
     assert spark.read.text(target).count() == len(texts)
     assert totals.totals["offered"] == frames.count()
     assert totals.totals["processed"] == len(texts)
