@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -31,23 +33,48 @@ def build_session(master: str | None = None, app: str = "tapeworks", **conf: str
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Pin the runtime setting results depend on: frame times are UTC."""
+    """Pin what results depend on (frame times are UTC) and give workers the package."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ship(spark)
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the package to the Python workers, once per application.
+
+    Workers then import it wherever they run; where it is installed on every
+    machine the copy sent is the same code.
+    """
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    with tempfile.TemporaryDirectory() as folder:
+        archive = Path(folder) / f"{package.name}.zip"
+        with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as into:
+            for source in sorted(package.rglob("*.py")):
+                into.write(source, source.relative_to(package.parent))
+        spark.sparkContext.addPyFile(str(archive))
+    _shipped.add(application)
+
+
 _local_dirs: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, for checkpoints and intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only when that is unset
-    (tests, a laptop) is a local folder made in its place, one per application.
+    The cluster names it in ``spark.checkpoint.dir``. Only on a local master,
+    where driver and executors are one process, does a temporary folder take its place.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     application = spark.sparkContext.applicationId
     if application not in _local_dirs:
         _local_dirs[application] = tempfile.mkdtemp(prefix="tapeworks-")
