@@ -39,7 +39,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-_shipped: set[str] = set()
+_shipped: dict[str, tempfile.TemporaryDirectory] = {}
 
 
 def ship(spark: SparkSession) -> None:
@@ -52,13 +52,13 @@ def ship(spark: SparkSession) -> None:
     if application in _shipped:
         return
     package = Path(__file__).resolve().parent
-    with tempfile.TemporaryDirectory() as folder:
-        archive = Path(folder) / f"{package.name}.zip"
-        with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as into:
-            for source in sorted(package.rglob("*.py")):
-                into.write(source, source.relative_to(package.parent))
-        spark.sparkContext.addPyFile(str(archive))
-    _shipped.add(application)
+    folder = tempfile.TemporaryDirectory()  # the driver serves the archive from here until it ends
+    archive = Path(folder.name) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as into:
+        for source in sorted(package.rglob("*.py")):
+            into.write(source, source.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _shipped[application] = folder
 
 
 _local_dirs: dict[str, str] = {}
