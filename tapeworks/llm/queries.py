@@ -1,13 +1,24 @@
 """The corpus queries: name -> (query, SQL with the same result or None)."""
 
-from tapeworks.llm import exact_dedup
-from tapeworks.llm.common import documents
+from tapeworks.llm import exact_dedup, mixing, url_cascade
+from tapeworks.llm.common import documents, prepare
 
 
 def op1_exact_dedup(spark, sf_dir):
     return exact_dedup.groups(documents(spark, sf_dir))
 
 
+def op3_url_filter(spark, sf_dir):
+    prepare(spark)
+    return url_cascade.judge(spark, spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op7_mix_sources(spark, sf_dir):
+    return mixing.mix(spark, documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_exact_dedup": (op1_exact_dedup, exact_dedup.OP1_SQL),
+    "op3_url_filter": (op3_url_filter, url_cascade.OP3_SQL),
+    "op7_mix_sources": (op7_mix_sources, mixing.OP7_SQL),
 }
