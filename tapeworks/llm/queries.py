@@ -1,6 +1,6 @@
 """The corpus queries: name -> (query, SQL with the same result or None)."""
 
-from tapeworks.llm import exact_dedup, mixing, url_cascade
+from tapeworks.llm import exact_dedup, mixing, packing, quality_rules, token_codes, url_cascade
 from tapeworks.llm.common import documents, prepare
 
 
@@ -17,8 +17,23 @@ def op7_mix_sources(spark, sf_dir):
     return mixing.mix(spark, documents(spark, sf_dir))
 
 
+def op6_best_fit_packing(spark, sf_dir):
+    return packing.pack(spark, packing.pieces(documents(spark, sf_dir)))
+
+
+def op8_token_codes(spark, sf_dir):
+    return token_codes.round_trip(spark, documents(spark, sf_dir))
+
+
+def op10_quality_rules(spark, sf_dir):
+    return quality_rules.judge(spark, documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_exact_dedup": (op1_exact_dedup, exact_dedup.OP1_SQL),
     "op3_url_filter": (op3_url_filter, url_cascade.OP3_SQL),
     "op7_mix_sources": (op7_mix_sources, mixing.OP7_SQL),
+    "op6_best_fit_packing": (op6_best_fit_packing, None),
+    "op8_token_codes": (op8_token_codes, None),
+    "op10_quality_rules": (op10_quality_rules, None),
 }
