@@ -56,9 +56,9 @@ def divide(children: DataFrame, parent: list[str]) -> DataFrame:
     a child is full if the rest, divided by weight from it on, would exceed it.
     """
     by = Window.partitionBy(*parent) if parent else Window.partitionBy(F.lit(0))
-    order = by.orderBy("ratio", "capacity", "child")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    onward = order.rowsBetween(0, Window.unboundedFollowing)
+    place = ("ratio", "capacity", "child")
+    before = by.orderBy(*place).rowsBetween(Window.unboundedPreceding, -1)
+    onward = by.orderBy(*[F.desc(c) for c in place]).rowsBetween(Window.unboundedPreceding, 0)
     ranked = children.withColumn("ratio", F.when(F.col("weight") > 0, F.col("capacity") / F.col("weight")).otherwise(F.lit(float("inf"))))
     ranked = ranked.withColumns(
         {"used": F.coalesce(F.sum("capacity").over(before), F.lit(0.0)), "open": F.sum("weight").over(onward)}

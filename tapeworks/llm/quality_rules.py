@@ -32,7 +32,7 @@ MIN_WORDS = 50
 SHARE = 0.75
 STEPS = 6
 LEAST = 200
-TAIL = 1e-9
+TAIL = 1e-12
 # Least spread of each statistic, so that a group in which it never varies
 # doesn't reject the first document that does.
 STATISTICS = {"x_words": 0.7, "x_chars": 0.5, "x_symbols": 0.04, "x_lines": 0.08, "x_repeats": 0.08}

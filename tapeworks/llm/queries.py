@@ -1,6 +1,6 @@
 """The corpus queries: name -> (query, SQL with the same result or None)."""
 
-from tapeworks.llm import exact_dedup, mixing, packing, quality_rules, token_codes, url_cascade
+from tapeworks.llm import exact_dedup, mixing, packing, pii, quality_rules, secret_links, token_codes, url_cascade
 from tapeworks.llm.common import documents, prepare
 
 
@@ -29,6 +29,14 @@ def op10_quality_rules(spark, sf_dir):
     return quality_rules.judge(spark, documents(spark, sf_dir))
 
 
+def op2_personal_data(spark, sf_dir):
+    return pii.report(spark, documents(spark, sf_dir))
+
+
+def op4_secret_links(spark, sf_dir):
+    return secret_links.report(spark, documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_exact_dedup": (op1_exact_dedup, exact_dedup.OP1_SQL),
     "op3_url_filter": (op3_url_filter, url_cascade.OP3_SQL),
@@ -36,4 +44,6 @@ QUERIES = {
     "op6_best_fit_packing": (op6_best_fit_packing, None),
     "op8_token_codes": (op8_token_codes, None),
     "op10_quality_rules": (op10_quality_rules, None),
+    "op2_personal_data": (op2_personal_data, None),
+    "op4_secret_links": (op4_secret_links, None),
 }
