@@ -1,6 +1,6 @@
 """The corpus queries: name -> (query, SQL with the same result or None)."""
 
-from tapeworks.llm import exact_dedup, mixing, packing, pii, quality_rules, secret_links, token_codes, url_cascade
+from tapeworks.llm import exact_dedup, mixing, ngram_join, packing, pii, quality_rules, secret_links, token_codes, url_cascade
 from tapeworks.llm.common import documents, prepare
 
 
@@ -37,6 +37,10 @@ def op4_secret_links(spark, sf_dir):
     return secret_links.report(spark, documents(spark, sf_dir))
 
 
+def op9_ngram_join(spark, sf_dir):
+    return ngram_join.join(spark, documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_exact_dedup": (op1_exact_dedup, exact_dedup.OP1_SQL),
     "op3_url_filter": (op3_url_filter, url_cascade.OP3_SQL),
@@ -46,4 +50,5 @@ QUERIES = {
     "op10_quality_rules": (op10_quality_rules, None),
     "op2_personal_data": (op2_personal_data, None),
     "op4_secret_links": (op4_secret_links, None),
+    "op9_ngram_join": (op9_ngram_join, None),
 }
