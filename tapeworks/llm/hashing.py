@@ -43,3 +43,25 @@ def runs(hashes: np.ndarray, length: int) -> np.ndarray:
     for i in range(length):
         values = values * BASE + hashes[i : i + count]
     return mix(values)
+
+
+_powers: dict[str, np.ndarray] = {}
+
+
+def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse modulo 2^64."""
+    if len(_powers.get("up", ())) < n:
+        size = max(n, 1 << 16)
+        for name, base in (("up", int(BASE)), ("down", pow(int(BASE), -1, 2**64))):
+            steps = np.full(size, base, np.uint64)
+            steps[0] = 1
+            _powers[name] = np.multiply.accumulate(steps)
+    return _powers["up"], _powers["down"]
+
+
+def stretches(hashes: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of the words from each ``begin`` up to its ``end``, independent of ``runs``."""
+    up, down = _power(len(hashes) + 1)
+    sums = np.zeros(len(hashes) + 1, np.uint64)
+    np.cumsum(mix(hashes ^ MIX_1) * up[: len(hashes)], out=sums[1:])
+    return mix((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(np.uint64))

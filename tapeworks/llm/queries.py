@@ -1,6 +1,6 @@
 """The corpus queries: name -> (query, SQL with the same result or None)."""
 
-from tapeworks.llm import exact_dedup, mixing, ngram_join, packing, pii, quality_rules, secret_links, token_codes, url_cascade
+from tapeworks.llm import exact_dedup, mixing, ngram_join, packing, pii, quality_rules, secret_links, substring_dedup, token_codes, url_cascade
 from tapeworks.llm.common import documents, prepare
 
 
@@ -41,6 +41,10 @@ def op9_ngram_join(spark, sf_dir):
     return ngram_join.join(spark, documents(spark, sf_dir))
 
 
+def op5_substring_dedup(spark, sf_dir):
+    return substring_dedup.report(spark, documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_exact_dedup": (op1_exact_dedup, exact_dedup.OP1_SQL),
     "op3_url_filter": (op3_url_filter, url_cascade.OP3_SQL),
@@ -51,4 +55,5 @@ QUERIES = {
     "op2_personal_data": (op2_personal_data, None),
     "op4_secret_links": (op4_secret_links, None),
     "op9_ngram_join": (op9_ngram_join, None),
+    "op5_substring_dedup": (op5_substring_dedup, None),
 }

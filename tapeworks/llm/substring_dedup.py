@@ -3,17 +3,19 @@
 A window is ``window`` consecutive words. Every window holds a sample: the run
 of ``run`` words with the least hash in it, the first of equals. Windows of the
 same words hold the same sample at the same place, so only suffixes around
-samples that occur twice can share a window, and a stretch of text around such
-a sample holds all windows of it.
-
-Equal stretches are one leaf with a count. The others are dealt to suffix
-trees by their sample, the prefix they share. Where a sample has more stretches
-than a task should hold, its windows are dealt by a longer prefix instead, all
-of their words, and counted there. A tree's suffixes in order, with the length
-each shares with its neighbour, give its inner nodes; those at least ``window``
-words deep are the maximal repeats, and what lies below one is repeated.
-
-Words are compared as words; hashes only choose samples and groups.
+samples that occur twice can share a window, and the stretch of text around a
+sample holds all windows of it.
+
+Equal stretches are one leaf with a count; most repeats end here. Samples with
+several leaves need their words: one occurrence of each leaf is cut from the
+texts and dealt to suffix trees by the sample, the prefix its suffixes share.
+Where a sample occurs more often than a task should hold, its windows are dealt
+by a longer prefix, all of their words, and counted there. A tree's suffixes in
+order show its inner nodes; those at least ``window`` words deep are repeats,
+and the suffixes below them are removed wherever their leaf occurs.
+
+The texts cross the network once: both the cut and the removal read the same
+exchange. Samples, leaves and places are narrow rows.
 """
 
 from __future__ import annotations
@@ -27,11 +29,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeworks.llm.common import whole_text, written
-from tapeworks.llm.hashing import WORDS, runs
+from tapeworks.llm.hashing import WORDS, runs, stretches
 
 WINDOW = 35
-RUN = 12
-TREE = 4000  # stretches of one tree
+RUN = 8
+TREE = 4000  # occurrences of a sample in one tree
 
 
 def words_of(text: str) -> list[bytes]:
@@ -57,47 +59,49 @@ def samples(hashes: np.ndarray, window: int, run: int) -> tuple[np.ndarray, np.n
 
 
 def _samples(window: int, run: int):
+    """Of every sample its hash, its stretch's hash, first window start and number of windows."""
+
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, rows, places = [], [], []
-            for row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            parts = []
+            for k, c, text in zip(*(column.to_pylist() for column in batch.columns)):
                 words = words_of(text)
                 if len(words) < window:
                     continue
-                hashes = runs(WORDS.of(words), run)
-                place = samples(hashes, window, run)[0]
-                keys.append(hashes[place])
-                rows.append(np.full(len(place), row, np.int64))
-                places.append(place)
-            if keys:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(rows)), pa.array(np.concatenate(places).astype(np.int32))],
-                    names=["key", "row", "place"],
-                )
+                named = WORDS.of(words)
+                hashes = runs(named, run)
+                place, first, last = samples(hashes, window, run)
+                leaf = stretches(named, first, last + window)
+                parts.append((hashes[place].view(np.int64), leaf.view(np.int64), np.full(len(place), k), np.full(len(place), c), first, last - first + 1))
+            if parts:
+                columns = [np.concatenate(c) for c in zip(*parts)]
+                kinds = [pa.int64()] * 4 + [pa.int32()] * 2
+                yield pa.RecordBatch.from_arrays([pa.array(c.astype(t.to_pandas_dtype()), t) for c, t in zip(columns, kinds)], names=["key", "leaf", "k", "c", "first", "n"])
 
     return find
 
 
-def _stretches(window: int, run: int):
-    """For each wanted sample the stretch of all its windows."""
+def _cut(window: int, whole: bool):
+    """The wanted stretches of each text; or each window of them, named by its words' digest."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = {"key": [], "row": [], "first": [], "leaf": [], "stretch": []}
-            for row, text, wanted in zip(*(column.to_pylist() for column in batch.columns)):
+            rows = []
+            for text, wanted in zip(batch.column("text").to_pylist(), batch.column("wanted").to_pylist()):
                 words = words_of(text)
-                hashes = runs(WORDS.of(words), run)
-                place, first, last = samples(hashes, window, run)
-                at = np.searchsorted(place, np.array(sorted(wanted)))
-                for i in at.tolist():
-                    stretch = b" ".join(words[first[i] : last[i] + window])
-                    out["key"].append(int(hashes[place[i]].astype(np.int64)))
-                    out["row"].append(row)
-                    out["first"].append(int(first[i]))
-                    out["leaf"].append(hashlib.blake2b(stretch, digest_size=16, salt=b"%d" % (place[i] - first[i])).digest())
-                    out["stretch"].append(stretch.decode("utf-8"))
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), kinds)], names=list(out))
+                for w in wanted:
+                    first, n = w["first"], w["n"]
+                    if whole:
+                        rows.append((w["key"], w["leaf"], 0, b" ".join(words[first : first + n + window - 1])))
+                    else:
+                        rows += [
+                            (w["key"], w["leaf"], p, hashlib.sha256(b" ".join(words[first + p : first + p + window])).digest())
+                            for p in range(n)
+                        ]
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=["key", "leaf", "place", "words"]
+            )
 
     return cut
 
@@ -116,74 +120,49 @@ def repeated_suffixes(suffixes: list[tuple[bytes, int, int]], window: int) -> li
     return found
 
 
-def windows_of(stretch: str, window: int) -> list[bytes]:
-    words = stretch.encode("utf-8").split(b" ")
+def windows_of(stretch: bytes, window: int) -> list[bytes]:
+    words = stretch.split(b" ")
     return [b" ".join(words[i : i + window]) for i in range(len(words) - window + 1)]
 
 
 def _trees(window: int):
     """Builds a tree for each run of rows with one key; gives each leaf its repeated places."""
 
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.int32())
-
-        def flush(leaves, stretches):
-            suffixes = [(w, i, p) for i, s in enumerate(stretches) for p, w in enumerate(windows_of(s, window))]
-            places = {}
-            for i, p in repeated_suffixes(suffixes, window):
-                places.setdefault(i, []).append(p)
-            return [(leaves[i], sorted(p)) for i, p in places.items()]
+    def grow(key, leaves):
+        suffixes = [(w, leaf, p) for leaf, stretch in leaves.items() for p, w in enumerate(windows_of(stretch, window))]
+        return [(key, leaf, place) for leaf, place in repeated_suffixes(suffixes, window)]
 
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def batch_of(found):
-            return pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.binary()), pa.array([f[1] for f in found], kind)], names=["leaf", "places"])
+            return pa.RecordBatch.from_arrays(
+                [pa.array([f[i] for f in found], t) for i, t in enumerate([pa.int64(), pa.int64(), pa.int32()])], names=["key", "leaf", "place"]
+            )
 
-        now, leaves, stretches, found = None, [], [], []
+        now, leaves, found = None, {}, []
         for batch in batches:
             for key, leaf, stretch in zip(*(column.to_pylist() for column in batch.columns)):
                 if key != now:
-                    if len(leaves) > 1:
-                        found += flush(leaves, stretches)
-                    now, leaves, stretches = key, [], []
-                leaves.append(leaf)
-                stretches.append(stretch)
-            if len(found) > 10_000:
+                    found += grow(now, leaves)
+                    now, leaves = key, {}
+                leaves[leaf] = stretch
+            if len(found) > 50_000:
                 yield batch_of(found)
                 found = []
-        if len(leaves) > 1:
-            found += flush(leaves, stretches)
-        yield batch_of(found)
+        yield batch_of(found + grow(now, leaves))
 
     return build
 
 
-def _windows(window: int):
-    """Every window of a stretch, as the digest of its words."""
-
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            leaves, places, names = [], [], []
-            for leaf, stretch in zip(*(column.to_pylist() for column in batch.columns)):
-                for p, words in enumerate(windows_of(stretch, window)):
-                    leaves.append(leaf)
-                    places.append(p)
-                    names.append(hashlib.blake2b(words, digest_size=32).digest())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(leaves, pa.binary()), pa.array(places, pa.int32()), pa.array(names, pa.binary())], names=["leaf", "place", "prefix"]
-            )
-
-    return spread
-
-
 def _remove(window: int):
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = {"doc_id": [], "n_words": [], "n_removed": [], "kept_text": []}
-            for doc_id, text, starts in zip(*(column.to_pylist() for column in batch.columns)):
+            for doc_id, text, spans in zip(*(column.to_pylist() for column in batch.columns)):
                 words, kept, free, count = words_of(text), [], 0, 0
-                for start in sorted(starts or []):
+                for start, end in sorted((s["place"], s["place"] + s["n"] + window - 1) for s in spans or []):
                     kept += words[free:start]
-                    count += start + window - max(start, free)
-                    free = start + window
+                    count += max(0, end - max(start, free))
+                    free = max(free, end)
                 kept += words[free:]
                 out["doc_id"].append(doc_id)
                 out["n_words"].append(len(words))
@@ -208,39 +187,46 @@ def remove_repeats(
 
     A word goes if a window that covers it starts with the same words anywhere
     else, in the same text or another. Null texts have no words; texts of fewer
-    words than a window lose none. Rows that repeat an id are texts of their own.
+    words than a window lose none. Rows that repeat an id are texts of their
+    own, told apart by a checksum; null ids are treated alike.
     """
     if not 0 < run <= window:
         raise ValueError("a sample must fit into a window")
     kind = dict(docs.dtypes)[id_col]
-    # A row is named by its id and, so that rows with one id stay apart, a hash of its text.
     text = whole_text(text_col)
-    texts = docs.select(F.xxhash64(F.col(id_col), text).alias("row"), F.col(id_col).alias("doc_id"), text.alias("text"))
-    found = texts.select("row", "text").mapInArrow(_samples(window, run), "key long, row long, place int")
+    texts = docs.select(
+        F.coalesce(F.col(id_col).cast("bigint"), F.lit(0)).alias("k"), F.crc32(text).alias("c"), F.col(id_col).alias("doc_id"), text.alias("text")
+    )
+    row = ["k", "c"]
+    found = texts.select(*row, "text").mapInArrow(_samples(window, run), "key long, leaf long, k long, c long, first int, n int")
     found = written(spark, found, "samples")
-    often = found.groupBy("key").count().where("count > 1").select("key")
-    wanted = found.join(often, "key").groupBy("row").agg(F.collect_set("place").alias("wanted"))
-    cut = texts.join(wanted, "row").select("row", "text", "wanted")
-    cut = cut.mapInArrow(_stretches(window, run), "key long, row long, first int, leaf binary, stretch string")
-    cut = written(spark, cut, "stretches")
-
-    # Leaves: the distinct stretches of a sample, and how often each occurs.
-    leaves = cut.groupBy("key", "leaf", "stretch").agg(F.count("*").alias("n"))
+    often = found.groupBy("key").agg(F.count("*").alias("times")).where("times > 1")
+    repeated = found.join(often, "key")
+    leaves = repeated.groupBy("key", "leaf", "times", "n").agg(F.count("*").alias("held"), *[F.first(c).alias(c) for c in (*row, "first")])
     leaves = written(spark, leaves, "leaves")
-    whole = leaves.where("n > 1").select("leaf", F.expr(f"transform(sequence(0, size(split(stretch, ' ')) - {window}), p -> cast(p as int))").alias("places"))
-    sizes = leaves.groupBy("key").agg(F.count("*").alias("leaves"))
-    dealt = leaves.join(sizes.where("leaves > 1"), "key")
-    small = dealt.where(F.col("leaves") <= tree).select("key", "leaf", "stretch")
-    trees = small.repartition("key").sortWithinPartitions("key").mapInArrow(_trees(window), "leaf binary, places array<int>")
-    large = dealt.where(F.col("leaves") > tree).select("leaf", "stretch")
-    spread = written(spark, large.mapInArrow(_windows(window), "leaf binary, place int, prefix binary"), "windows")
-    deep = spread.groupBy("prefix").count().where("count > 1").select("prefix")
-    deep = spread.join(deep, "prefix").groupBy("leaf").agg(F.collect_list("place").alias("places"))
-    repeats = whole.unionByName(trees).unionByName(deep)
-
-    starts = cut.select("row", "first", "leaf").join(repeats, "leaf").select("row", F.explode("places").alias("place"), "first")
-    starts = starts.groupBy("row").agg(F.collect_set(F.col("first") + F.col("place")).alias("starts"))
-    return texts.join(starts, "row", "left").select("doc_id", "text", "starts").mapInArrow(
+
+    # Equal stretches repeat whole; one occurrence of every leaf beside others is cut.
+    whole = leaves.where("held > 1").select("key", "leaf", F.lit(0).alias("place"), "n")
+    beside = leaves.where("held < times")
+
+    def cut(wanted, entire):
+        wanted = wanted.groupBy(*row).agg(F.collect_list(F.struct("key", "leaf", "first", "n")).alias("wanted"))
+        at = texts.join(wanted, row).select("doc_id", "text", "wanted")
+        return at.mapInArrow(_cut(window, entire), "key long, leaf long, place int, words binary")
+
+    stretched = cut(beside.where(F.col("times") <= tree), True).select("key", "leaf", "words")
+    trees = stretched.repartition("key").sortWithinPartitions("key").mapInArrow(_trees(window), "key long, leaf long, place int")
+    places = trees
+    if not beside.where(F.col("times") > tree).isEmpty():
+        spread = written(spark, cut(beside.where(F.col("times") > tree), False), "windows")
+        deep = spread.groupBy("words").count().where("count > 1").select("words")
+        places = places.unionByName(spread.join(deep, "words").select("key", "leaf", "place"))
+    spans = whole.unionByName(places.select("key", "leaf", "place", F.lit(1).alias("n")))
+    spans = spans.groupBy("key", "leaf").agg(F.collect_set(F.struct("place", "n")).alias("spans"))
+    hit = repeated.select("key", "leaf", *row, "first").join(spans, ["key", "leaf"])
+    moved = F.transform("spans", lambda s: F.struct((s.getField("place") + F.col("first")).alias("place"), s.getField("n").alias("n")))
+    hit = hit.select(*row, moved.alias("spans")).groupBy(*row).agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    return texts.join(hit, row, "left").select("doc_id", "text", "spans").mapInArrow(
         _remove(window), f"doc_id {kind}, n_words long, n_removed long, kept_text string"
     )
 
