@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tapeworks import defaults
+from tapeworks.functions.frames import one_line
 
 TRACE_FIELD = "_otel_trace_context"
 
@@ -65,18 +66,18 @@ def _quoted(text: Column) -> Column:
 
 
 def envelope_json(env: Column) -> Column:
-    """Envelope as JSON text, with the frame spliced in as it was received.
+    """Envelope as one line of JSON, with the frame spliced in as it was received.
 
     ``to_json`` on a parsed frame would turn nested arrays into strings and
-    renumber floats, so the raw text goes in unchanged. The trace map is left
-    out when there is none.
+    renumber floats, so the raw text goes in, but for line breaks and numbers
+    that are not finite. The trace map is left out when there is none.
     """
     trace = env[TRACE_FIELD]
     return F.concat(
         F.lit('{"stream":'),
         _quoted(env["stream"]),
         F.lit(',"data":'),
-        env["data"],
+        one_line(env["data"]),
         F.lit(',"timestamp":"'),
         format_envelope_ts(env["timestamp"]),
         F.lit('","message_id":'),

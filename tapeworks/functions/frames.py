@@ -82,6 +82,25 @@ def is_json(raw: Column) -> Column:
     return is_object(raw, parsed_object(raw)[TAIL_KEY]) | is_other_json(raw)
 
 
+# A quote that is not escaped, that is, not behind an odd number of backslashes.
+QUOTE = r'(?<!(?<!\\)(?:\\\\){0,30}\\)"'
+
+
+def one_line(raw: Column) -> Column:
+    """A well-formed frame as one line of strict JSON, otherwise unchanged.
+
+    Line breaks are mere space in JSON, as inside strings they are escaped.
+    Numbers that are not finite, which JSON has no form for, become null; they
+    are looked for between strings only.
+    """
+    line = F.translate(raw, "\r\n", "  ")
+    strict = F.transform(
+        F.split(line, QUOTE, -1),
+        lambda part, i: F.when(i % 2 == 0, F.regexp_replace(part, "[+-]?(NaN|Infinity|INF)", "null")).otherwise(part),
+    )
+    return F.when(line.rlike("NaN|Infinity|INF"), F.array_join(strict, '"')).otherwise(line)
+
+
 def json_type(value: Column) -> Column:
     """Spark type name of a VARIANT: ``STRING``, ``VOID`` for null, SQL NULL if absent."""
     return F.schema_of_variant(value)

@@ -17,6 +17,7 @@ from tapeworks.operators import folds
 
 CLOSED, HALF_OPEN, OPEN = "closed", "half_open", "open"
 STATES = (CLOSED, HALF_OPEN, OPEN)
+NO_TIME = "no_time"
 
 TABLE = "in_state int, in_value bigint, out_state int, last bigint, fresh boolean, failures bigint"
 STATE = "state int, failed_at bigint, failures_before bigint"
@@ -136,20 +137,20 @@ def _summarise(pdf: pd.DataFrame, threshold: int, recovery: int) -> pd.DataFrame
     return frame
 
 
-def _chain(tables: DataFrame, recovery: int, width: int) -> DataFrame:
+def _chain(tables: DataFrame, recovery: int) -> DataFrame:
     """A state is ``(state, last failure in absolute time, failures)``."""
 
     def advance(state, chunk, table):
         kind, failed_at, failures = state
         lines = table[table["in_state"] == kind].sort_values("in_value")
-        wanted = failures if kind == 0 else 0 if kind == 1 else failed_at - chunk * width + recovery
+        wanted = failures if kind == 0 else 0 if kind == 1 else failed_at - chunk + recovery
         at = int(lines["in_value"].to_numpy().searchsorted(wanted))
         if at == len(lines):
             return state, state
         line = lines.iloc[at]
         count = int(line["failures"]) + (0 if line["fresh"] else failures)
         if not pd.isna(line["last"]):
-            failed_at = int(line["last"]) + chunk * width
+            failed_at = int(line["last"]) + chunk
         return state, (int(line["out_state"]), failed_at, count)
 
     return folds.chain(tables, lambda _: (0, None, 0), advance, lambda s: s, STATE)
@@ -168,9 +169,9 @@ def step(standing: tuple, t: int, ok: bool, counted: bool, threshold: int, recov
     return (OPEN if failures + 1 >= threshold else passed, t, failures + 1), "failed"
 
 
-def _run(pdf: pd.DataFrame, start: pd.Series, threshold: int, recovery: int, width: int) -> pd.DataFrame:
+def _run(pdf: pd.DataFrame, start: pd.Series, threshold: int, recovery: int) -> pd.DataFrame:
     """One pass over a chunk from a known state."""
-    failed_at = 0 if pd.isna(start["failed_at"]) else int(start["failed_at"]) - int(start["chunk"]) * width
+    failed_at = 0 if pd.isna(start["failed_at"]) else int(start["failed_at"]) - int(start["chunk"])
     standing = STATES[int(start["state"])], failed_at, int(start["failures_before"])
     out = []
     for t, ok, counted in zip(pdf["t"].tolist(), pdf["ok"].tolist(), pdf["counted"].tolist()):
@@ -184,11 +185,11 @@ def _run(pdf: pd.DataFrame, start: pd.Series, threshold: int, recovery: int, wid
 
 
 def _prepared(
-    log: DataFrame, name: str, ts: str, seq: str, ok: str, counted: str | None, chunk_seconds: int
+    log: DataFrame, name: str, ts: str, seq: str, ok: str, counted: str | None, chunk_rows: int
 ) -> DataFrame:
     counts = F.lit(True) if counted is None else F.coalesce(F.col(counted), F.lit(True))
     return folds.chunked(
-        log, name, ts, seq, chunk_seconds, ok=F.coalesce(F.col(ok), F.lit(False)), counted=counts
+        log, name, ts, seq, chunk_rows, ok=F.coalesce(F.col(ok), F.lit(False)), counted=counts
     )
 
 
@@ -201,23 +202,28 @@ def breaker_replay(
     seq: str = "seq",
     ok: str = "ok",
     counted: str | None = None,
-    chunk_seconds: int | None = None,
+    chunk_rows: int = folds.CHUNK_ROWS,
 ) -> DataFrame:
     """``name, ts, seq, ok, state_before, state_after, result, failure_count``.
 
-    Rows are taken in (ts, seq) order per name; ``seq`` must tell equal times apart.
+    Rows are taken in (ts, seq) order per name; ``seq`` must tell equal times
+    apart. Rows without a name are one history; rows without a time are part
+    of none and come back with the result ``no_time``.
     """
-    chunk_seconds = chunk_seconds or folds.chunk_seconds_for(log, name, ts)
-    width, recovery = chunk_seconds * 1_000_000, recovery_seconds * 1_000_000
-    rows = _prepared(log, name, ts, seq, ok, counted, chunk_seconds)
+    recovery = recovery_seconds * 1_000_000
+    rows = _prepared(log, name, ts, seq, ok, counted, chunk_rows)
     tables = folds.transfer_tables(rows, lambda pdf: _summarise(pdf, threshold, recovery), TABLE)
     outcome = folds.replay(
         rows,
-        _chain(tables, recovery, width),
-        lambda pdf, start: _run(pdf, start, threshold, recovery, width),
+        _chain(tables, recovery),
+        lambda pdf, start: _run(pdf, start, threshold, recovery),
         OUTCOME,
     )
-    return folds.absolute_time(outcome, chunk_seconds).withColumnRenamed("key", name)
+    timed = folds.decoded(folds.absolute_time(outcome), log, name)
+    nothing = {c: F.lit(None).cast("string") for c in ("state_before", "state_after")}
+    unknown = folds.untimed(log, name, ts, seq).withColumn("ok", F.coalesce(F.col(ok), F.lit(False)))
+    unknown = unknown.withColumns({**nothing, "result": F.lit(NO_TIME), "failure_count": F.lit(None).cast("bigint")})
+    return timed.unionByName(unknown.select(*timed.columns))
 
 
 def breaker_metrics(
@@ -230,21 +236,21 @@ def breaker_metrics(
     seq: str = "seq",
     ok: str = "ok",
     counted: str | None = None,
-    chunk_seconds: int | None = None,
+    chunk_rows: int = folds.CHUNK_ROWS,
 ) -> DataFrame:
     """Where each breaker stands after its whole log. Needs no replay, only the chain.
 
     Without a failure so far there is no last failure, and no time since one.
+    Rows without a time tell nothing of where a breaker stands.
     """
-    chunk_seconds = chunk_seconds or folds.chunk_seconds_for(log, name, ts)
-    width, recovery = chunk_seconds * 1_000_000, recovery_seconds * 1_000_000
-    rows = _prepared(log, name, ts, seq, ok, counted, chunk_seconds)
+    recovery = recovery_seconds * 1_000_000
+    rows = _prepared(log, name, ts, seq, ok, counted, chunk_rows)
     tables = folds.transfer_tables(rows, lambda pdf: _summarise(pdf, threshold, recovery), TABLE)
-    final = _chain(tables, recovery, width).filter(F.col("chunk").isNull())
+    final = folds.decoded(_chain(tables, recovery).filter(F.col("chunk").isNull()), log, name)
     report = report_ms if isinstance(report_ms, Column) else F.lit(report_ms)
     last_ms = F.call_function("div", F.col("failed_at"), F.lit(1000))
     return final.select(
-        F.col("key").alias(name),
+        name,
         F.get(F.array(*[F.lit(s) for s in STATES]), F.col("state")).alias("state"),
         F.col("failures_before").alias("failure_count"),
         F.lit(threshold).alias("failure_threshold"),

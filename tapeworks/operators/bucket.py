@@ -25,8 +25,16 @@ ADMITTED = "t bigint, seq bigint, dropped boolean, backlog_units bigint"
 
 
 def units(rate_per_second: int | str | Fraction) -> tuple[int, int]:
-    """Units per message, and units drained per microsecond."""
+    """Units per message, and units drained per microsecond.
+
+    Rates are whole numbers or fractions such as ``"1/7200"``; a binary float
+    would rarely be the rate that is meant, and its units too many to count.
+    """
+    if isinstance(rate_per_second, float):
+        raise TypeError("give the rate as an integer, a text such as '0.5' or '1/7200', or a Fraction")
     per_us = Fraction(rate_per_second) / 1_000_000
+    if per_us <= 0:
+        raise ValueError("the rate must be positive")
     return per_us.denominator, per_us.numerator
 
 
@@ -176,25 +184,29 @@ def _summarise(pdf: pd.DataFrame, capacity: int, unit: int, drain: int) -> pd.Da
 def leaky_bucket(
     df: DataFrame,
     key: str,
+    rate_per_second: int | str | Fraction,
     capacity: int = defaults.QUEUE_CAPACITY,
-    rate_per_second: int | str | Fraction = 250,
     ts: str = "recv_ts",
     order: str = "frame_id",
-    chunk_seconds: int | None = None,
+    keep: tuple[str, ...] = (),
+    chunk_rows: int = folds.CHUNK_ROWS,
 ) -> DataFrame:
     """``key, ts, seq, dropped, backlog`` per message; backlog counts it if admitted.
 
     Rows are taken in (ts, order) order per key, starting from an empty bucket.
+    Rows without a key share one bucket; rows without a time meet none and come
+    back with ``dropped`` and ``backlog`` NULL. ``keep`` names further columns
+    to carry along, so that ``dropped`` can go straight into ``classify``.
     """
     unit, drain = units(rate_per_second)
-    chunk_seconds = chunk_seconds or folds.chunk_seconds_for(df, key, ts)
-    width = chunk_seconds * 1_000_000
-    rows = folds.chunked(df, key, ts, order, chunk_seconds)
+    if unit * capacity >= 2**53:
+        raise ValueError("rate and capacity need more units than can be counted")
+    rows = folds.chunked(df, key, ts, order, chunk_rows, **{c: F.col(c) for c in keep})
 
     def advance(state, chunk, table):
         last_chunk, level = state
         # Levels count from the start of a chunk; below 0 the bucket is just empty.
-        level = max(level - (chunk - last_chunk) * width * drain, -1)
+        level = max(level - (chunk - last_chunk) * drain, -1)
         lines = table.sort_values("upto")
         at = int(lines["upto"].to_numpy().searchsorted(level))
         line = lines.iloc[min(at, len(lines) - 1)]
@@ -205,17 +217,21 @@ def leaky_bucket(
         drained = (pdf["t"].to_numpy() * drain).tolist()
         levels, dropped = _admit(drained, int(start["level"]), capacity, unit)
         backlog = np.array(levels) - np.array(drained)
-        return pd.DataFrame(
-            {"t": pdf["t"].to_numpy(), "seq": pdf["seq"].to_numpy(), "dropped": dropped, "backlog_units": backlog}
-        )
+        columns = {c: pdf[c].to_numpy() for c in ("t", "seq", *keep)}
+        return pd.DataFrame({**columns, "dropped": dropped, "backlog_units": backlog})
 
     tables = folds.transfer_tables(rows, lambda pdf: _summarise(pdf, capacity, unit, drain), TABLE)
     starts = folds.chain(tables, lambda _: (0, -1), advance, lambda s: (s[1],), STATE)
-    admitted = folds.absolute_time(folds.replay(rows, starts, run, ADMITTED), chunk_seconds)
-    return admitted.select(
-        F.col("key").alias(key),
+    kept = "".join(f", {c} {dict(df.dtypes)[c]}" for c in keep)
+    carried = ADMITTED.replace(", dropped", f"{kept}, dropped")
+    admitted = folds.decoded(folds.absolute_time(folds.replay(rows, starts, run, carried)), df, key)
+    unknown = {"dropped": F.lit(None).cast("boolean"), "backlog_units": F.lit(None).cast("bigint")}
+    unknown = folds.untimed(df, key, ts, order).withColumns(unknown).select(*admitted.columns)
+    return admitted.unionByName(unknown).select(
+        key,
         "ts",
         "seq",
+        *keep,
         "dropped",
         "backlog_units",
         (F.col("backlog_units") / F.lit(float(unit))).alias("backlog"),

@@ -21,52 +21,61 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rows of one chunk that a task should at most hold, and the longest chunk.
-TARGET_CHUNK_ROWS = 2_000_000
-LONGEST_CHUNK_SECONDS = 7 * 86400
-PROBE_SECONDS = 60
+# Rows a chunk has at least, once its key has so many, and the steps in which
+# chunks are cut. Rows of one step are never separated.
+CHUNK_ROWS = 200_000
+STEP_US = 10_000_000
 
 
-def chunk_seconds_for(df: DataFrame, key: str, ts: str) -> int:
-    """Chunk length that keeps the busiest minute of the busiest key within a task.
+def encoded(key: Column) -> Column:
+    """A key as text that is never NULL and keeps NULL apart from ``''``."""
+    return F.coalesce(F.concat(F.lit("="), key.cast("string")), F.lit(""))
 
-    Runs one aggregation, combined map-side, and brings back a single number.
-    Pass ``chunk_seconds`` to an operator to spare it that pass.
-    """
-    slot = F.call_function("div", F.unix_seconds(F.col(ts)), F.lit(PROBE_SECONDS))
-    busiest = df.groupBy(key, slot.alias("slot")).count().agg(F.max("count")).first()[0] or 1
-    return max(1, min(LONGEST_CHUNK_SECONDS, TARGET_CHUNK_ROWS * PROBE_SECONDS // busiest))
+
+def decoded(df: DataFrame, source: DataFrame, name: str) -> DataFrame:
+    """``key`` back as the column ``name`` of ``source``, of the same type."""
+    key = F.when(F.col("key") != "", F.expr("substring(key, 2)")).cast(source.schema[name].dataType)
+    return df.withColumn("key", key).withColumnRenamed("key", name)
 
 
 def chunked(
-    df: DataFrame, key: str, ts: str, order: str, chunk_seconds: int, **extra: Column
+    df: DataFrame, key: str, ts: str, order: str, chunk_rows: int = CHUNK_ROWS, **extra: Column
 ) -> DataFrame:
     """Narrow rows ``key, chunk, t, seq`` plus extras, partitioned by (key, chunk).
 
-    Times are microseconds; ``t`` counts from the start of the chunk. A missing
-    key counts as ``''``; rows without a time have no place in a history.
+    Times are microseconds; ``chunk`` is the time at which a chunk begins and
+    ``t`` counts from there. Rows without a time have no place in a history.
 
-    The repartitioning is spelled out, and the keys are never NULL so that no
-    filter is added below it in only one of the places that use the rows:
-    both then share one shuffle. It keeps to the session's number of shuffle
-    partitions, since what follows costs computing time rather than bytes.
+    Chunks are cut by rows counted per step of time: a quiet key is one chunk,
+    a busy one has many. Counting and cutting read one exchange by (key, step).
     """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    us, width = F.unix_micros(F.col(ts)), F.lit(chunk_seconds * 1_000_000)
-    number = F.call_function("div", us - F.pmod(us, width), width)
-    return (
+    us = F.unix_micros(F.col(ts))
+    rows = (
         df.filter(F.col(ts).isNotNull())
         .select(
-            F.coalesce(F.col(key).cast("string"), F.lit("")).alias("key"),
-            F.coalesce(number, F.lit(0)).cast("bigint").alias("chunk"),
-            F.pmod(us, width).alias("t"),
+            encoded(F.col(key)).alias("key"),
+            F.coalesce(F.call_function("div", us - F.pmod(us, F.lit(STEP_US)), F.lit(STEP_US)), F.lit(0)).alias("step"),
+            us.alias("us"),
             F.col(order).cast("bigint").alias("seq"),
             *[c.alias(n) for n, c in extra.items()],
         )
-        .repartition(partitions, "key", "chunk")
+        .repartition("key", "step")
+    )
+    upto = Window.partitionBy("key").orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
+    steps = rows.groupBy("key", "step").agg(F.count("*").alias("rows"))
+    steps = steps.withColumn("part", F.call_function("div", F.coalesce(F.sum("rows").over(upto), F.lit(0)), F.lit(chunk_rows)))
+    begin = F.min("step").over(Window.partitionBy("key", "part")) * STEP_US
+    placed = rows.join(steps.select("key", "step", begin.alias("chunk")), ["key", "step"])
+    return placed.withColumn("t", F.col("us") - F.col("chunk")).drop("us", "step").repartition("key", "chunk")
+
+
+def untimed(df: DataFrame, key: str, ts: str, order: str) -> DataFrame:
+    """The rows that have no time, as ``key`` (by its name), ``ts, seq`` and the rest."""
+    return df.filter(F.col(ts).isNull()).withColumns({"_ts": F.col(ts), "_seq": F.col(order).cast("bigint")}).select(
+        F.col(key), F.col("_ts").alias("ts"), F.col("_seq").alias("seq"), *[F.col(c) for c in df.columns if c not in (key, "ts", "seq")]
     )
 
 
@@ -127,10 +136,9 @@ def replay(rows: DataFrame, starts: DataFrame, run_chunk: Callable, columns: str
     return started.groupBy("key", "chunk").applyInPandas(run, f"key string, chunk bigint, {columns}")
 
 
-def absolute_time(df: DataFrame, chunk_seconds: int) -> DataFrame:
+def absolute_time(df: DataFrame) -> DataFrame:
     """``ts`` out of ``chunk`` and ``t``."""
-    us = F.col("chunk") * (chunk_seconds * 1_000_000) + F.col("t")
-    return df.withColumn("ts", F.timestamp_micros(us)).drop("chunk", "t")
+    return df.withColumn("ts", F.timestamp_micros(F.col("chunk") + F.col("t"))).drop("chunk", "t")
 
 
 def first_at_or_after(times, needs: Iterable[int]):

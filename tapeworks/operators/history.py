@@ -15,9 +15,21 @@ EXACT_PRICE, EXACT_QUANTITY = "decimal(19,8)", "decimal(18,8)"
 
 
 def _quote(price: Column, quantity: Column) -> Column:
-    """Price times quantity to all 16 places where both fit the exchange's 8."""
-    exact = price.try_cast(EXACT_PRICE) * quantity.try_cast(EXACT_QUANTITY)
-    return F.coalesce(exact, F.try_multiply(price, quantity).try_cast("decimal(38,16)"))
+    """Price times quantity to 16 places.
+
+    One exact product where both have no more than the exchange's 8 places.
+    Otherwise the products of their whole parts and fractions, each of which
+    is exact, are added up and rounded once. NULL beyond 20 whole digits.
+    """
+    short_price, short_quantity = price.try_cast(EXACT_PRICE), quantity.try_cast(EXACT_QUANTITY)
+    short = (short_price == price) & (short_quantity == quantity)
+    whole = lambda c: F.when(c < 0, F.ceil(c)).otherwise(F.floor(c)).try_cast("decimal(19,0)")
+    (pw, pf), (qw, qf) = ((whole(c), (c - whole(c)).try_cast("decimal(18,18)")) for c in (price, quantity))
+    terms = [(pw * qw).try_cast("decimal(38,18)"), pw * qf, pf * qw, (pf * qf).try_cast("decimal(38,18)")]
+    total = terms[0]
+    for term in terms[1:]:
+        total = F.try_add(total, term.try_cast("decimal(38,18)")).try_cast("decimal(38,18)")
+    return F.when(short, short_price * short_quantity).otherwise(total.try_cast("decimal(38,16)"))
 
 
 def _place(ms: Column, trade_id: Column) -> Column:

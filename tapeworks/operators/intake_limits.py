@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,8 +47,13 @@ def within_ttl(
     seconds: int = defaults.MESSAGE_TTL_SECONDS,
     ts: str = "recv_ts",
 ) -> DataFrame:
-    """Frames received no later than ``seconds`` after their event time."""
-    return frames.filter(F.unix_micros(ts) - F.unix_micros(event_time) <= seconds * 1_000_000)
+    """Frames received no later than ``seconds`` after their event time.
+
+    Frames without one of the times (partial books have no event time) have no
+    age and stay.
+    """
+    fresh = F.unix_micros(ts) - F.unix_micros(event_time) <= seconds * 1_000_000
+    return frames.filter(F.coalesce(fresh, F.lit(True)))
 
 
 def deduplicate(
@@ -55,13 +61,14 @@ def deduplicate(
 ) -> DataFrame:
     """One frame per identity: the first received.
 
-    An aggregation, so copies are merged before the shuffle and any number of
-    copies of one frame is no more work for one task than two.
+    Spark limits the ranking to one row per identity before the shuffle, so
+    any number of copies is little work for one task. Frames that lack a part
+    of their identity are no copies of each other and stay.
     """
-    rest = [c for c in frames.columns if c not in identity]
-    first = F.min_by(F.struct(*rest), F.struct(F.col(ts), F.col(order)))
-    kept = frames.groupBy(*identity).agg(first.alias("_first"))
-    return kept.select(*identity, "_first.*").select(*frames.columns)
+    nameless = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in identity])
+    nth = F.row_number().over(Window.partitionBy(*identity).orderBy(ts, order))
+    named = frames.filter(~nameless).withColumn("_nth", nth).filter("_nth = 1").drop("_nth")
+    return named.unionByName(frames.filter(nameless))
 
 
 def outage_episodes(

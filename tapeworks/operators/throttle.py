@@ -30,17 +30,16 @@ def throttled_stats(
     gap_seconds: int = defaults.STATS_INTERVAL_SECONDS,
     ts: str = "recv_ts",
     order: str = "frame_id",
-    chunk_seconds: int | None = None,
+    chunk_rows: int = folds.CHUNK_ROWS,
 ) -> DataFrame:
     """``key, ts, seq, processed, dropped, per_second`` for each emission.
 
-    Totals run from ``start_ms`` on; rows before it are not part of the run.
+    Totals run from ``start_ms`` on; rows before it, or without a time, are not
+    part of the run. Rows without a key have totals of their own.
     """
     gap, start_us = gap_seconds * 1_000_000, start_ms * 1000
     counted = df.filter((processed | dropped) & (F.unix_millis(ts) >= start_ms))
-    chunk_seconds = chunk_seconds or folds.chunk_seconds_for(counted, key, ts)
-    width = chunk_seconds * 1_000_000
-    rows = folds.chunked(counted, key, ts, order, chunk_seconds, done=F.coalesce(processed, F.lit(False)))
+    rows = folds.chunked(counted, key, ts, order, chunk_rows, done=F.coalesce(processed, F.lit(False)))
 
     def summarise(pdf: pd.DataFrame) -> pd.DataFrame:
         times = pdf["t"].to_numpy()[pdf["done"].to_numpy()]
@@ -63,14 +62,14 @@ def throttled_stats(
 
     def advance(state, chunk, table):
         since, done, lost = state
-        local = since - chunk * width
+        local = since - chunk
         later = (local, done, lost)
         done, lost = done + int(table["processed"].iloc[0]), lost + int(table["dropped"].iloc[0])
         if table["upto"].notna().any():
             lines = table.sort_values("upto")
             line = int(lines["upto"].to_numpy().searchsorted(local + gap))
             if line < len(lines):
-                since = int(lines["emitted"].iloc[line]) + chunk * width
+                since = int(lines["emitted"].iloc[line]) + chunk
         return later, (since, done, lost)
 
     def emit(pdf: pd.DataFrame, state) -> pd.DataFrame:
@@ -93,6 +92,6 @@ def throttled_stats(
 
     tables = folds.transfer_tables(rows, summarise, TABLE)
     starts = folds.chain(tables, lambda _: (start_us, 0, 0), advance, lambda s: s, STATE)
-    emitted = folds.absolute_time(folds.replay(rows, starts, emit, EMITTED), chunk_seconds)
+    emitted = folds.decoded(folds.absolute_time(folds.replay(rows, starts, emit, EMITTED)), df, key)
     rate = per_second(F.col("processed"), F.unix_millis("ts") - start_ms)
-    return emitted.select(F.col("key").alias(key), "ts", "seq", "processed", "dropped", rate.alias("per_second"))
+    return emitted.select(key, "ts", "seq", "processed", "dropped", rate.alias("per_second"))

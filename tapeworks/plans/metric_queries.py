@@ -39,7 +39,7 @@ def metrics_snapshot(spark, d):
 
 def _bucket(spark, d):
     events = inputs.events(spark, d)
-    return bucket.leaky_bucket(events, "sym", 3, "1/7200", "ts", "event_id")
+    return bucket.leaky_bucket(events, "sym", "1/7200", 3, "ts", "event_id")
 
 
 def leaky_bucket(spark, d):

@@ -82,14 +82,14 @@ def logs():
     }
 
 
-@pytest.mark.parametrize("chunk_seconds", [5, 60, 3600])
-def test_breaker(spark, logs, chunk_seconds):
-    replayed = breaker.breaker_replay(table(spark, logs), 3, 20, counted="counted", chunk_seconds=chunk_seconds)
+@pytest.mark.parametrize("chunk_rows", [1, 60, 10**6])
+def test_breaker(spark, logs, chunk_rows):
+    replayed = breaker.breaker_replay(table(spark, logs), 3, 20, counted="counted", chunk_rows=chunk_rows)
     got = {}
     for r in replayed.collect():
         got.setdefault(r.name, []).append((r.seq, r.state_before, r.state_after, r.result, r.failure_count))
     final = breaker.breaker_metrics(
-        table(spark, logs), 3, 20, T0_US // 1000 + 700_000, counted="counted", chunk_seconds=chunk_seconds
+        table(spark, logs), 3, 20, T0_US // 1000 + 700_000, counted="counted", chunk_rows=chunk_rows
     )
     final = {r.name: r for r in final.collect()}
     for name, entries in logs.items():
@@ -120,11 +120,11 @@ def test_breaker_sequences_of_the_contract(spark):
     assert by_name["resets"][-1] == ("failed", "closed", 1)
 
 
-@pytest.mark.parametrize("chunk_seconds", [5, 60, 3600])
+@pytest.mark.parametrize("chunk_rows", [1, 60, 10**6])
 @pytest.mark.parametrize("rate,capacity", [("1/2", 3), (5, 2), ("1/50", 4)])
-def test_leaky_bucket(spark, logs, chunk_seconds, rate, capacity):
+def test_leaky_bucket(spark, logs, chunk_rows, rate, capacity):
     unit, drain = bucket.units(rate)
-    out = bucket.leaky_bucket(table(spark, logs), "name", capacity, rate, "ts", "seq", chunk_seconds)
+    out = bucket.leaky_bucket(table(spark, logs), "name", rate, capacity, "ts", "seq", chunk_rows=chunk_rows)
     got = {}
     for r in out.collect():
         got.setdefault(r.name, []).append((r.seq, r.dropped, r.backlog_units))
@@ -132,10 +132,10 @@ def test_leaky_bucket(spark, logs, chunk_seconds, rate, capacity):
         assert sorted(got[name]) == bucket_pass([e[:2] for e in entries], capacity, unit, drain)
 
 
-@pytest.mark.parametrize("chunk_seconds", [5, 60, 3600])
-def test_throttle(spark, logs, chunk_seconds):
+@pytest.mark.parametrize("chunk_rows", [1, 60, 10**6])
+def test_throttle(spark, logs, chunk_rows):
     out = throttle.throttled_stats(
-        table(spark, logs), "name", F.col("ok"), ~F.col("ok"), T0_US // 1000, 17, "ts", "seq", chunk_seconds
+        table(spark, logs), "name", F.col("ok"), ~F.col("ok"), T0_US // 1000, 17, "ts", "seq", chunk_rows
     )
     got = {}
     for r in out.collect():
@@ -148,7 +148,7 @@ def test_throttle(spark, logs, chunk_seconds):
 def test_throttle_is_not_one_per_calendar_minute(spark):
     entries = [(T0_US + s * 1_000_000, s, True, True) for s in (10, 59, 60, 100, 121, 180, 200)]
     out = throttle.throttled_stats(
-        table(spark, {"a": entries}), "name", F.lit(True), F.lit(False), T0_US // 1000, 60, "ts", "seq", 30
+        table(spark, {"a": entries}), "name", F.lit(True), F.lit(False), T0_US // 1000, 60, "ts", "seq", 1
     )
     assert sorted(r.seq for r in out.collect()) == [60, 121, 200]
 
@@ -173,18 +173,46 @@ def test_bucket_tables_hold_for_any_start(seed):
         assert int(line["value"]) + (0 if line["fixed"] else level) == levels[-1]
 
 
-def test_chunk_length_follows_the_busiest_minute(spark, monkeypatch):
-    entries = [(T0_US + i * 10_000, i, True, True) for i in range(3000)]
-    rows = table(spark, {"hot": entries, "sparse": [(T0_US, 0, True, True)]})
-    assert folds.chunk_seconds_for(rows, "name", "ts") == min(
-        folds.LONGEST_CHUNK_SECONDS, folds.TARGET_CHUNK_ROWS * 60 // 3000
-    )
-    monkeypatch.setattr(folds, "TARGET_CHUNK_ROWS", 100)
-    assert folds.chunk_seconds_for(rows, "name", "ts") == 2
+def test_chunks_hold_the_rows_asked_for(spark):
+    entries = [(T0_US + i * 1_000_000, i, True, True) for i in range(3000)]
+    rows = table(spark, {"hot": entries, "sparse": [(T0_US + i * 10**9, i, True, True) for i in range(50)]})
+    sizes = folds.chunked(rows, "name", "ts", "seq", 100).groupBy("key", "chunk").count().collect()
+    assert {r["count"] for r in sizes if r.key == "=hot"} == {100}
+    assert [r["count"] for r in sizes if r.key == "=sparse"] == [50]
+
+
+def test_no_job_runs_before_the_caller_asks(spark, logs):
+    tracker, rows = spark.sparkContext.statusTracker(), table(spark, logs)
+    spark.sparkContext.setJobGroup("fold-plans", "")
+    breaker.breaker_replay(rows, 3, 20)
+    bucket.leaky_bucket(rows, "name", 5, 3, "ts", "seq")
+    throttle.throttled_stats(rows, "name", F.col("ok"), ~F.col("ok"), 0, 17, "ts", "seq")
+    assert list(tracker.getJobIdsForGroup("fold-plans")) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_rows_without_key_or_time(spark):
+    second = timedelta(seconds=1)
+    rows = [
+        (7, T0, 0, False), (None, T0, 1, False), (7, None, 2, True), (None, T0 + second, 3, True),
+        (7, T0 + 2 * second, 4, True), (None, None, 5, False),
+    ]
+    frame = spark.createDataFrame(rows, "name bigint, ts timestamp, seq bigint, ok boolean")
+    replayed = breaker.breaker_replay(frame, 1, 60)
+    assert dict(replayed.dtypes)["name"] == "bigint"
+    assert sorted((r.seq, r.name, r.result) for r in replayed.collect()) == [
+        (0, 7, "failed"), (1, None, "failed"), (2, 7, "no_time"), (3, None, "rejected"), (4, 7, "rejected"), (5, None, "no_time"),
+    ]
+    admitted = bucket.leaky_bucket(frame, "name", "1/100", 1, "ts", "seq", keep=("ok",))
+    assert sorted((r.seq, r.name, r.dropped, r.ok) for r in admitted.collect()) == [
+        (0, 7, False, False), (1, None, False, False), (2, 7, None, True), (3, None, True, True), (4, 7, True, True), (5, None, None, False),
+    ]
+    with pytest.raises(TypeError):
+        bucket.leaky_bucket(frame, "name", 0.1, 1, "ts", "seq")
 
 
 def test_rows_are_shuffled_once_for_both_steps(spark, logs):
-    out = breaker.breaker_replay(table(spark, logs), 3, 20, counted="counted", chunk_seconds=60)
+    out = breaker.breaker_replay(table(spark, logs), 3, 20, counted="counted", chunk_rows=60)
     out.collect()
     assert "ReusedExchange" in out._jdf.queryExecution().executedPlan().toString()
 
@@ -239,3 +267,10 @@ def test_duplicates_keep_the_first_received(spark):
     kept = intake_limits.deduplicate(frames, ["trade_id"])
     assert kept.columns == frames.columns
     assert sorted(r.frame_id for r in kept.collect()) == list(range(43, 50))
+    nameless = frames.withColumn("trade_id", F.lit(None).cast("bigint"))
+    assert intake_limits.deduplicate(nameless, ["trade_id"]).count() == 50
+
+
+def test_frames_without_event_time_stay(spark):
+    frames = spark.createDataFrame([(0, T0, None), (1, T0, T0), (2, T0 + timedelta(seconds=61), T0)], "i int, recv_ts timestamp, sent timestamp")
+    assert sorted(r.i for r in intake_limits.within_ttl(frames, F.col("sent")).collect()) == [0, 1]

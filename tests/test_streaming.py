@@ -49,7 +49,7 @@ def rows(df, *columns):
 def test_breaker(spark, tmp_path, landed):
     events, folder = landed
     columns = ("sym", "seq", "state_before", "state_after", "result", "failure_count")
-    batch = breaker.breaker_replay(events.withColumnRenamed("event_id", "seq"), 2, 7200, "sym", chunk_seconds=86400)
+    batch = breaker.breaker_replay(events.withColumnRenamed("event_id", "seq"), 2, 7200, "sym", chunk_rows=200)
     stream = stateful.breaker_stream(
         read(spark, folder).withColumnRenamed("event_id", "seq"), 2, 7200, "sym", delay="31 days"
     )
@@ -60,7 +60,7 @@ def test_breaker(spark, tmp_path, landed):
 def test_leaky_bucket(spark, tmp_path, landed):
     events, folder = landed
     columns = ("sym", "seq", "dropped", "backlog_units")
-    batch = bucket.leaky_bucket(events, "sym", 2, "1/14400", "ts", "event_id", 86400)
+    batch = bucket.leaky_bucket(events, "sym", "1/14400", 2, "ts", "event_id", chunk_rows=200)
     stream = stateful.leaky_bucket_stream(
         read(spark, folder), "sym", 2, "1/14400", "ts", "event_id", delay="31 days"
     )
@@ -71,7 +71,7 @@ def test_throttled_stats(spark, tmp_path, landed):
     events, folder = landed
     done, lost = F.col("ok"), ~F.col("ok")
     columns = ("sym", "seq", "processed", "dropped")
-    batch = throttle.throttled_stats(events, "sym", done, lost, START_MS, 7200, "ts", "event_id", 86400)
+    batch = throttle.throttled_stats(events, "sym", done, lost, START_MS, 7200, "ts", "event_id", 200)
     stream = stateful.throttled_stats_stream(
         read(spark, folder), "sym", done, lost, START_MS, 7200, "ts", "event_id", delay="31 days"
     )
