@@ -25,6 +25,8 @@ EVENT_SUFFIXES = {
     "fundingRate": "fundingRate@1s",
 }
 BOOK_SUFFIX = "depth20@100ms"
+# Stream types that get a folder of their own when frames are landed.
+LANDED_TYPES = ("trade", "ticker", "depth20", "markPrice", "fundingRate", "kline", "aggTrade")
 
 # Message kind by substring of the stream id, tested in this order.
 KIND_MARKERS = (("@trade", "trade"), ("@ticker", "ticker"), ("@depth", "depth"))
@@ -45,11 +47,7 @@ STATS_INTERVAL_SECONDS = 60
 RECONNECT_DELAY_SECONDS = 5
 MAX_RECONNECT_ATTEMPTS = 10
 
-# Circuit breaker presets: (failure threshold, recovery seconds).
-BREAKER_PRESETS = {"websocket": (5, 60), "nats": (3, 30)}
-
 # Heartbeat record.
-SERVICE_NAME = "socket-client"
 SERVICE_VERSION = "1.0.0"
 HEALTHY = "healthy"
 

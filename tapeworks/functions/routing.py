@@ -65,6 +65,12 @@ def stream_type(stream: Column) -> Column:
     return F.try_element_at(F.split(stream, "@"), F.lit(2))
 
 
+def landed_type(stream: Column) -> Column:
+    """The stream type if it is a known one, else ``other``."""
+    kind = stream_type(stream)
+    return F.when(kind.isin(list(defaults.LANDED_TYPES)), kind).otherwise("other")
+
+
 def stream_qualifier(stream: Column) -> Column:
     """Whatever follows the stream type (a speed or interval), else NULL."""
     parts = F.split(stream, "@")

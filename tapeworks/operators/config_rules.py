@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -60,6 +61,11 @@ def _error(field: str, message: Column | str, code: str, suggested: Column | str
     )
 
 
+def _is_vast(value: Column) -> Column:
+    """Whether a JSON value is an integer beyond 64 bits."""
+    return F.coalesce(fr.json_type(value).rlike(r"^DECIMAL\((19|2\d|3\d),0\)$"), F.lit(False))
+
+
 def _as_integer(value: Column) -> Column:
     """Value of a JSON integer; true and false count as 1 and 0; else NULL."""
     kind, text = fr.json_type(value), value.cast("string")
@@ -73,7 +79,7 @@ def _integer_error(value: Column, field: str, low: int, high: int, unit: str, de
     absent = value.isNull() | (fr.json_type(value) == "VOID")
     wrong_type = _error(field, "Must be an integer", "INVALID_TYPE", str(default))
     out_of_range = _error(field, f"Must be between {low} and {high}{unit}", "OUT_OF_RANGE", str(default))
-    return F.when(absent, F.lit(None)).when(number.isNull(), wrong_type).when(
+    return F.when(absent, F.lit(None)).when(_is_vast(value), out_of_range).when(number.isNull(), wrong_type).when(
         ~number.between(low, high), out_of_range
     )
 
@@ -83,7 +89,7 @@ def _python_type(value: Column) -> Column:
     return (
         F.when(kind == "VOID", "NoneType")
         .when(kind == "BOOLEAN", "bool")
-        .when(kind == "BIGINT", "int")
+        .when((kind == "BIGINT") | _is_vast(value), "int")
         .when(kind.startswith("ARRAY"), "list")
         .when(kind.startswith("OBJECT"), "dict")
         .otherwise("float")
@@ -178,15 +184,20 @@ def validate_config(requests: DataFrame, config_type: str = "config_type", param
     )
 
 
-def request_ranges(requests: DataFrame) -> DataFrame:
-    """Add ``out_of_range`` (field names) and ``error_count`` for typed request fields."""
+def request_ranges(requests: DataFrame, required: Sequence[str] = ()) -> DataFrame:
+    """Add ``out_of_range`` and ``missing`` (field names) and ``error_count``.
+
+    ``required`` fields are missing where NULL, or everywhere without such a column.
+    """
+    absent = [F.when(F.col(f).isNull(), F.lit(f)) if f in requests.columns else F.lit(f) for f in required]
     outside = [
         F.when(~F.col(field).between(low, high), F.lit(field))
         for field, (low, high) in REQUEST_RANGES.items()
         if field in requests.columns
     ]
-    return requests.withColumn("out_of_range", F.array_compact(F.array(*outside))).withColumn(
-        "error_count", F.size("out_of_range")
+    named = lambda names: F.array_compact(F.array(*names)).cast("array<string>")
+    return requests.withColumns({"out_of_range": named(outside), "missing": named(absent)}).withColumn(
+        "error_count", F.size("out_of_range") + F.size("missing")
     )
 
 

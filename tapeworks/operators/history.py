@@ -203,14 +203,18 @@ def completion_events(completions: DataFrame, prefix: str = defaults.EXTRACTION_
     )
 
 
+def batch_errors(completions: DataFrame, batch: Sequence[str] = ("extraction_type", "period")) -> DataFrame:
+    """``error, n`` of each batch, one row per error text: texts may all be different."""
+    every = completions.select(*batch, F.explode("errors").alias("error"))
+    return every.groupBy(*batch, "error").agg(F.count("*").alias("n"))
+
+
 def batch_completion(
     completions: DataFrame, batch: Sequence[str] = ("extraction_type", "period")
 ) -> DataFrame:
-    """One row per batch: totals, symbols, whether all succeeded, and the errors.
+    """One row per batch: totals, symbols, number of errors, whether all succeeded.
 
-    ``errors`` lists each error text once, ``error_counts`` says how often it
-    occurred. Symbols and errors are counted before they are listed, so a
-    batch with very many records does not become one very long list.
+    ``batch_errors`` has the error texts.
     """
     keys = list(batch)
     totals = completions.groupBy(*keys).agg(
@@ -222,23 +226,9 @@ def batch_completion(
         F.sum("gaps_found").alias("total_gaps_found"),
         F.sum("gaps_filled").alias("total_gaps_filled"),
         F.array_sort(F.collect_set("symbol")).alias("symbols"),
+        F.sum(F.coalesce(F.size("errors"), F.lit(0))).alias("total_errors"),
     )
-    counted = (
-        completions.select(*keys, F.explode("errors").alias("error"))
-        .groupBy(*keys, "error")
-        .agg(F.count("*").alias("n"))
-    )
-    listed = counted.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct("error", "n"))).alias("_errors")
-    )
-    joined = join_back(totals, listed, keys, "left")
-    errors = F.coalesce("_errors", F.array().cast("array<struct<error:string,n:bigint>>"))
-    return (
-        joined.withColumn("symbols_processed", F.size("symbols"))
-        .withColumn("errors", F.transform(errors, lambda e: e["error"]))
-        .withColumn("error_counts", F.transform(errors, lambda e: e["n"]))
-        .drop("_errors")
-    )
+    return totals.withColumn("symbols_processed", F.size("symbols"))
 
 
 def failed_extractions(completions: DataFrame) -> DataFrame:
@@ -247,18 +237,20 @@ def failed_extractions(completions: DataFrame) -> DataFrame:
     return failed.withColumn("error_count", F.size("errors"))
 
 
-def job_rollup(results: DataFrame) -> DataFrame:
+def job_rollup(results: DataFrame, jobs: Sequence[str] = defaults.JOB_ORDER, attempt: str = "attempt") -> DataFrame:
     """One row per run: its jobs in order, total duration, whether all succeeded.
 
-    A job without a result counts as failed. Results are merged per job before
-    they are listed, so a list is never longer than the number of job names.
+    Every run should have all of ``jobs``; one that is absent, or has no
+    result, failed. Of a job that was tried again the last attempt decides,
+    while all attempts count for its duration.
     """
-    passed = F.every(F.coalesce("success", F.lit(False)))
-    per_job = results.groupBy("run_id", "job").agg(
-        F.min("ord").alias("ord"),
-        passed.alias("success"),
+    tried = results.groupBy("run_id", "job").agg(
+        F.max_by(F.coalesce("success", F.lit(False)), attempt).alias("success"),
         F.sum("duration_seconds").alias("duration_seconds"),
     )
+    expected = F.posexplode(F.array(*[F.lit(j) for j in jobs])).alias("ord", "job")
+    due = results.groupBy("run_id").agg(F.count("*").alias("_n")).select("run_id", expected)
+    per_job = due.join(tried, ["run_id", "job"], "left").withColumn("success", F.coalesce("success", F.lit(False)))
     listed = F.array_sort(F.collect_list(F.struct("ord", "job", "success", "duration_seconds")))
     return (
         per_job.groupBy("run_id")

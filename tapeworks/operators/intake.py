@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -23,6 +24,9 @@ DISPOSITIONS = (
 )
 COUNTED_AS_DROPPED = ("queue_full", "not_connected")
 
+# Subscriptions to a partial book, whatever its depth and speed.
+ANY_BOOK = r"@depth[0-9]*(@[0-9]+ms)?$"
+
 OBJECT, OTHER_JSON, MALFORMED = "object", "other_json", "malformed"
 
 
@@ -48,10 +52,10 @@ def parse(frames: DataFrame, raw: str = "raw") -> DataFrame:
 
 
 def route(parsed: DataFrame, subscriptions: Sequence[str] = defaults.DEFAULT_STREAMS) -> DataFrame:
-    """Replace the routing keys by ``stream``, NULL where there is none."""
+    """Replace the routing keys, but for ``event``, by ``stream``, NULL where there is none."""
     keys = [F.col(c) for c in ROUTING_KEYS[1:]]
     stream = F.when(F.col("is_object"), routing.route_stream(*keys, subscriptions))
-    return parsed.withColumn("stream", stream).drop(*ROUTING_KEYS)
+    return parsed.withColumn("stream", stream).drop(*[k for k in ROUTING_KEYS if k != "event"])
 
 
 def classify(
@@ -102,16 +106,29 @@ def within_size(frames: DataFrame, max_bytes: int = defaults.MAX_MESSAGE_BYTES,
     return frames.filter(F.octet_length(raw) <= max_bytes)
 
 
-def subscribed_only(routed: DataFrame, subscriptions: Sequence[str] | DataFrame) -> DataFrame:
+def subscribed_only(routed: DataFrame, subscriptions: Sequence[str] | DataFrame, raw: str = "raw") -> DataFrame:
     """Frames of subscribed streams.
 
+    Frames don't say all that a subscription does. The interval of candles is
+    in the frame rather than in the stream's name, and books of any depth
+    and speed come as one stream; so those match on symbol and interval, and on
+    symbol alone.
+
     A list becomes a literal filter, which reaches a columnar scan. A table of
     subscriptions becomes a semi join; whether it is broadcast is left to
     Spark, which decides on the table's actual size.
     """
+    stream = F.col("stream")
+    with_interval = F.concat(stream, F.lit("_"), F.get_json_object(raw, "$.k.i"))
     if isinstance(subscriptions, DataFrame):
-        return routed.join(subscriptions.select("stream"), "stream", "left_semi")
-    return routed.filter(F.col("stream").isin(list(subscriptions)))
+        wanted = F.regexp_replace("stream", ANY_BOOK, "@" + defaults.BOOK_SUFFIX)
+        named = routed.withColumn("_named", F.when(stream.endswith("@kline"), with_interval).otherwise(stream))
+        return named.join(subscriptions.select(wanted.alias("_named")), "_named", "left_semi").select(*routed.columns)
+    wanted = [re.sub(ANY_BOOK, "@" + defaults.BOOK_SUFFIX, s) for s in subscriptions]
+    klines = [s for s in wanted if "@kline_" in s]
+    plain = [s for s in wanted if "@kline_" not in s]
+    candidates = stream.isin(plain + [s.split("_")[0] for s in klines])
+    return routed.filter(candidates & (~stream.endswith("@kline") | with_interval.isin(klines)))
 
 
 def validate_messages(messages: DataFrame, raw: str = "raw") -> DataFrame:

@@ -130,23 +130,28 @@ def heartbeat_report(
 
 def heartbeat_records(
     ticks: DataFrame,
+    service: str,
     subject: Column | None = None,
     fallback_subject: Column | None = None,
     tick_ms: str = "tick_ms",
+    **details: Column,
 ) -> DataFrame:
     """``subject, value``: one service heartbeat per tick, as JSON.
 
     The subject is the one given, else the fallback, else ``heartbeat.<service>``.
+    ``details`` are further fields (queue size, connection states, attempts,
+    last ping); fields that are NULL are left out.
     """
     candidates = [F.nullif(c, F.lit("")) for c in (subject, fallback_subject) if c is not None]
     record = F.struct(
-        F.lit(defaults.SERVICE_NAME).alias("service"),
+        F.lit(service).alias("service"),
         (F.col(tick_ms) / F.lit(1000)).cast("decimal(20,3)").alias("timestamp"),
         F.lit(defaults.SERVICE_VERSION).alias("version"),
         F.lit(defaults.HEALTHY).alias("status"),
+        *[column.alias(name) for name, column in details.items()],
     )
     return ticks.select(
-        F.coalesce(*candidates, F.lit(f"heartbeat.{defaults.SERVICE_NAME}")).alias("subject"),
+        F.coalesce(*candidates, F.lit(f"heartbeat.{service}")).alias("subject"),
         F.to_json(record).alias("value"),
     )
 
@@ -159,6 +164,7 @@ def metrics_snapshot(
     queue_size: int = 0,
     capacity: int = defaults.QUEUE_CAPACITY,
     connected: bool = True,
+    bus_connected: bool = True,
     running: bool = True,
     reconnect_attempts: int = 0,
     last_ping_ms: int | None = None,
@@ -181,7 +187,7 @@ def metrics_snapshot(
     )
     start = F.col("_first") if start_ms is None else F.lit(start_ms)
     report = F.col("_final") if report_ms is None else F.lit(report_ms)
-    link = F.lit("connected" if connected else "disconnected")
+    link, bus = (F.lit("connected" if up else "disconnected") for up in (connected, bus_connected))
     uptime = report - start
     return totals.select(
         F.lit(connected).alias("is_connected"),
@@ -196,7 +202,7 @@ def metrics_snapshot(
         "last_message_ms",
         F.lit(last_ping_ms).cast("bigint").alias("last_ping_ms"),
         link.alias("websocket_state"),
-        link.alias("nats_state"),
+        bus.alias("nats_state"),
         uptime.alias("uptime_ms"),
         per_second(F.col("processed_messages"), uptime).alias("messages_per_second"),
         percent(F.lit(queue_size).cast("bigint"), F.lit(capacity).cast("bigint")).alias(
@@ -267,14 +273,18 @@ def health_alerts(
     max_queue_percent: float = defaults.MAX_QUEUE_PERCENT,
     max_staleness_seconds: float = defaults.MAX_STALENESS_SECONDS,
 ) -> DataFrame:
-    """Add ``alerts``: which of the monitoring rules a report breaks, in order."""
-    broken = [
-        F.when(rate < min_rate, F.lit("low_rate")),
-        F.when(dropped > 0, F.lit("dropped_messages")),
-        F.when(queue_percent >= max_queue_percent, F.lit("queue_full")),
-        F.when(~connected, F.lit("disconnected")),
-        F.when(staleness_ms >= max_staleness_seconds * 1000, F.lit("stale")),
-    ]
+    """Add ``alerts``: which of the monitoring rules a report breaks, in order.
+
+    What isn't known, such as the age of a message that never came, breaks its rule.
+    """
+    rules = {
+        "low_rate": rate < min_rate,
+        "dropped_messages": dropped > 0,
+        "queue_full": queue_percent >= max_queue_percent,
+        "disconnected": ~connected,
+        "stale": staleness_ms >= max_staleness_seconds * 1000,
+    }
+    broken = [F.when(F.coalesce(rule, F.lit(True)), F.lit(name)) for name, rule in rules.items()]
     return report.withColumn("alerts", F.array_compact(F.array(*broken)))
 
 

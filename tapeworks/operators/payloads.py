@@ -63,10 +63,6 @@ def _on(suffix: str) -> Column:
     return F.substring(stream, F.instr(stream, "@"), F.length(stream)) == "@" + suffix
 
 
-def _of_event(event: str, raw: str) -> Column:
-    return F.get_json_object(raw, "$.e") == event
-
-
 def trades(routed: DataFrame, raw: str = "raw", keep: tuple[str, ...] = ()) -> DataFrame:
     chosen = routed.filter(_on(defaults.EVENT_SUFFIXES["trade"]))
     return _typed(chosen, TRADE_KEYS, raw, keep)
@@ -79,9 +75,7 @@ def tickers(routed: DataFrame, raw: str = "raw", keep: tuple[str, ...] = ()) ->
 
 def depth_updates(routed: DataFrame, raw: str = "raw", keep: tuple[str, ...] = ()) -> DataFrame:
     """Depth diffs. They share a stream with partial books and differ by event type."""
-    chosen = routed.filter(
-        _on(defaults.BOOK_SUFFIX) & _of_event("depthUpdate", raw)
-    )
+    chosen = routed.filter(_on(defaults.BOOK_SUFFIX) & (F.col("event") == "depthUpdate"))
     return _typed(chosen, DEPTH_KEYS, raw, keep)
 
 
@@ -89,7 +83,7 @@ def books(routed: DataFrame, raw: str = "raw", keep: tuple[str, ...] = ()) -> Da
     """Partial books; their symbol is that of the stream they were routed to."""
     chosen = routed.filter(
         _on(defaults.BOOK_SUFFIX)
-        & F.coalesce(~_of_event("depthUpdate", raw), F.lit(True))
+        & F.coalesce(F.col("event") != "depthUpdate", F.lit(True))
     )
     return _typed(chosen, BOOK_KEYS, raw, ("stream", *keep))
 
@@ -117,7 +111,7 @@ def book_levels(routed: DataFrame, raw: str = "raw", keep: tuple[str, ...] = ())
     chosen = routed.filter(_on(defaults.BOOK_SUFFIX))
     keys = [(key, f"{name}_{i}", how) for i, table in enumerate((DEPTH_KEYS, BOOK_KEYS))
             for key, name, how in table if how == "levels"]
-    is_diff = F.coalesce(_of_event("depthUpdate", raw), F.lit(False))
+    is_diff = F.coalesce(F.col("event") == "depthUpdate", F.lit(False))
     typed = _typed(chosen.withColumn("_is_diff", is_diff), tuple(keys), raw, (*keep, "_is_diff"))
     pick = lambda name: F.when(F.col("_is_diff"), F.col(f"{name}_0")).otherwise(F.col(f"{name}_1"))
     return _sides(keep, typed.select(*keep, pick("bids").alias("bids"), pick("asks").alias("asks")))

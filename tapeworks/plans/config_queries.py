@@ -43,15 +43,16 @@ def request_ranges(spark, d):
     k = F.col("k")
     requests = inputs.events(spark, d).select(
         "event_id",
-        (k * 4).alias("reconnect_delay"),
+        F.when(k % 11 != 0, k * 4).alias("reconnect_delay"),
         (k + 3).alias("max_reconnect_attempts"),
         (k / F.lit(8.0)).alias("backoff_multiplier"),
         k.alias("failure_threshold"),
         (k * 8).alias("recovery_timeout"),
         (k % 13).alias("half_open_max_calls"),
     )
-    return config_rules.request_ranges(requests).select(
+    return config_rules.request_ranges(requests, ("reconnect_delay", "changed_by")).select(
         "event_id",
+        F.array_join("missing", ",").alias("missing"),
         F.array_join("out_of_range", ",").alias("out_of_range"),
         F.col("error_count").cast("bigint").alias("error_count"),
     )
@@ -138,13 +139,15 @@ QUERIES = {
       SELECT event_id, list_transform(list_filter(errors, lambda e: e[3] IS NOT NULL), lambda e: 'Set ' || e[1] || ' to ' || e[3]) AS fixes FROM ve)
       SELECT event_id, CAST(unnest(range(len(fixes))) AS INTEGER) AS pos, unnest(fixes) AS fix FROM fx"""),
     "request_ranges": (request_ranges, f"""WITH {sql.EV}, f AS (SELECT event_id, list_filter([
-        CASE WHEN k * 4 NOT BETWEEN 1 AND 300 THEN 'reconnect_delay' END,
+        CASE WHEN k % 11 <> 0 AND k * 4 NOT BETWEEN 1 AND 300 THEN 'reconnect_delay' END,
         CASE WHEN k + 3 NOT BETWEEN 1 AND 100 THEN 'max_reconnect_attempts' END,
         CASE WHEN k / 8.0 NOT BETWEEN 1 AND 10 THEN 'backoff_multiplier' END,
         CASE WHEN k NOT BETWEEN 1 AND 50 THEN 'failure_threshold' END,
         CASE WHEN k * 8 NOT BETWEEN 10 AND 600 THEN 'recovery_timeout' END,
-        CASE WHEN k % 13 NOT BETWEEN 1 AND 10 THEN 'half_open_max_calls' END], lambda x: x IS NOT NULL) AS bad FROM ev)
-      SELECT event_id, coalesce(array_to_string(bad, ','), '') AS out_of_range, len(bad) AS error_count FROM f"""),
+        CASE WHEN k % 13 NOT BETWEEN 1 AND 10 THEN 'half_open_max_calls' END], lambda x: x IS NOT NULL) AS bad,
+        CASE WHEN k % 11 = 0 THEN ['reconnect_delay', 'changed_by'] ELSE ['changed_by'] END AS gone FROM ev)
+      SELECT event_id, coalesce(array_to_string(bad, ','), '') AS out_of_range, array_to_string(gone, ',') AS missing,
+        len(bad) + len(gone) AS error_count FROM f"""),
     "update_outcome": (update_outcome, f"""WITH {sql.EV}, u AS (
       SELECT event_id, k % 3 AS t, event_id % 2 = 0 AS dry, k % 3 = 0 AND k % 4 = 0 AS bad_stream,
         k % 3 <> 0 AND k NOT BETWEEN 1 AND 80 AS bad_range, sym FROM ev)

@@ -57,7 +57,11 @@ def subscription_list(spark, d):
 
 
 def sink_envelope_json(spark, d):
-    return writers.to_messages(enveloped(spark, d))
+    """Some frames come with line breaks, numbers that are not finite and such words in strings."""
+    raw = F.replace(F.col("raw"), F.lit('{"e":'), F.lit('{\n"x":NaN,\r\n"note":"a\\" NaN","e":'))
+    odd = inputs.frames(spark, d).withColumn("raw", F.when(F.col("frame_id") % 3 == 0, raw).otherwise(F.col("raw")))
+    identity = env.stable_message_id(F.col("stream"), F.col("frame_id"))
+    return writers.to_messages(intake.attach_envelope(intake.published(intake.classify(odd)), message_id=identity))
 
 
 def parse_frames(spark, d):
@@ -255,7 +259,9 @@ QUERIES = {
         ELSE [lower(sym) || '@depth5', event_type || '@x', ''] END AS streams FROM ev)
       SELECT event_id, CAST(unnest(range(len(streams))) AS INTEGER) AS pos, unnest(streams) AS stream FROM l"""),
     "sink_envelope_json": (sink_envelope_json, f"""WITH {sql.RAW}
-      SELECT 'binance.websocket.data' AS topic, stream AS key, {_MESSAGE_JSON} AS value {_RPUB}"""),
+      SELECT 'binance.websocket.data' AS topic, stream AS key, {_MESSAGE_JSON} AS value FROM (
+        SELECT * REPLACE (CASE WHEN frame_id % 3 = 0
+          THEN replace(raw, '{{"e":', '{{ "x":null,  "note":"a\\" NaN","e":') ELSE raw END AS raw) {_RPUB})"""),
     "parse_frames": (parse_frames, f"""WITH {sql.FR}
       SELECT frame_id, shape, CASE event_type
           WHEN 'purchase' THEN 'trade' WHEN 'view' THEN '24hrTicker' WHEN 'click' THEN 'depthUpdate'
@@ -277,7 +283,7 @@ QUERIES = {
     "size_filter": (size_filter, f"WITH {sql.RAW} SELECT frame_id, strlen(raw) AS bytes FROM rw WHERE strlen(raw) <= 100"),
     "subscribed_only": (subscribed_only, f"""WITH {sql.FR} SELECT frame_id, stream {_PUB}
       AND ls IN ('btcusdt', 'ethusdt') AND split_part(stream, '@', 1) IN ('btcusdt', 'ethusdt')
-      AND split_part(stream, '@', 2) IN ('trade', 'ticker', 'depth20')
+      AND (split_part(stream, '@', 2) IN ('trade', 'ticker', 'depth20') OR (stream LIKE '%@kline' AND event_id % 8 = 0))
       UNION ALL SELECT frame_id, stream {_PUB} AND ls NOT IN ('btcusdt', 'ethusdt') AND stream = 'btcusdt@depth20@100ms'"""),
     "disposition_counts": (disposition_counts, f"""WITH {sql.FR}, d AS (
       SELECT CASE WHEN disposition = 'malformed_json' THEN disposition WHEN k % 10 = 7 THEN 'queue_full'

@@ -20,7 +20,10 @@ def _candles(spark, d):
 
 
 def candles(spark, d):
-    return _candles(spark, d)
+    """With some trades of something very cheap."""
+    trades = payloads.trades(published(spark, d))
+    tiny = (F.col("price") * F.lit("0.0000000001").cast("decimal(12,10)")).cast("decimal(38,18)")
+    return history.candles(trades.withColumn("price", F.when(F.col("trade_id") % 4 == 0, tiny).otherwise(F.col("price"))), ("1h", "1d"))
 
 
 def candle_gaps(spark, d):
@@ -48,13 +51,15 @@ def batch_completion(spark, d):
     return batches.withColumns(
         {
             "symbols": F.array_join("symbols", ","),
-            "errors": F.array_join("errors", ","),
-            "error_counts": F.array_join(F.col("error_counts").cast("array<string>"), ","),
             "symbols_processed": F.col("symbols_processed").cast("bigint"),
         }
     )
 
 
+def batch_errors(spark, d):
+    return history.batch_errors(inputs.completions(spark, d))
+
+
 def failed_extractions(spark, d):
     return history.failed_extractions(inputs.completions(spark, d)).select(
         "event_id", "extraction_type", "symbol", "period", F.col("error_count").cast("bigint").alias("error_count")
@@ -63,6 +68,7 @@ def failed_extractions(spark, d):
 
 def job_rollup(spark, d):
     runs = history.job_rollup(inputs.job_results(spark, d))
+    runs = runs.withColumn("job_durations", F.array_compact("job_durations"))
     return runs.withColumns(
         {c: F.array_join(F.col(c).cast("array<string>"), ",") for c in ("jobs", "job_success", "job_durations")}
     )
@@ -86,7 +92,9 @@ def subject_filter(spark, d):
 _JSON_LIST = "'[' || coalesce(array_to_string(list_transform(errors, lambda x: '\"' || x || '\"'), ','), '') || ']'"
 
 QUERIES = {
-    "candles": (candles, f"WITH {sql.CANDLES} SELECT * FROM candles"),
+    "candles": (candles, "WITH " + sql.CANDLES.replace(", candles AS", """, tiny AS (
+      SELECT * REPLACE (CAST(p AS DECIMAL(24,12)) * CASE WHEN event_id % 4 = 0 THEN 0.0000000001 ELSE 1.0000000000 END AS p) FROM ev
+      ), candles AS""").replace("FROM ev CROSS", "FROM tiny CROSS") + " SELECT * FROM candles"),
     "candle_gaps": (candle_gaps, f"WITH {sql.GAPS} SELECT * FROM gaps"),
     "gap_chunks": (gap_chunks, f"""WITH {sql.GAPS}, c AS (
       SELECT symbol, period, gap_start_ms, gap_end_ms,
@@ -111,18 +119,19 @@ QUERIES = {
         CAST(sum(records_fetched) AS BIGINT) AS total_records_fetched, CAST(sum(records_written) AS BIGINT) AS total_records_written,
         sum(duration_seconds) AS duration_seconds, CAST(sum(gaps_found) AS BIGINT) AS total_gaps_found,
         CAST(sum(gaps_filled) AS BIGINT) AS total_gaps_filled,
-        string_agg(DISTINCT symbol, ',' ORDER BY symbol) AS symbols, count(DISTINCT symbol) AS symbols_processed
-      FROM comp GROUP BY 1, 2), e AS (
+        string_agg(DISTINCT symbol, ',' ORDER BY symbol) AS symbols, count(DISTINCT symbol) AS symbols_processed,
+        CAST(sum(len(errors)) AS BIGINT) AS total_errors
+      FROM comp GROUP BY 1, 2)
+      SELECT * FROM t"""),
+    "batch_errors": (batch_errors, f"""WITH {sql.COMPLETIONS}
       SELECT extraction_type, period, error, count(*) AS n FROM (
-        SELECT extraction_type, period, unnest(errors) AS error FROM comp) GROUP BY 1, 2, 3), el AS (
-      SELECT extraction_type, period, string_agg(error, ',' ORDER BY error) AS errors,
-        string_agg(CAST(n AS VARCHAR), ',' ORDER BY error) AS error_counts FROM e GROUP BY 1, 2)
-      SELECT t.*, coalesce(errors, '') AS errors, coalesce(error_counts, '') AS error_counts
-      FROM t LEFT JOIN el USING (extraction_type, period)"""),
+        SELECT extraction_type, period, unnest(errors) AS error FROM comp) GROUP BY 1, 2, 3"""),
     "failed_extractions": (failed_extractions, f"""WITH {sql.COMPLETIONS}
       SELECT event_id, extraction_type, symbol, period, len(errors) AS error_count FROM comp WHERE NOT success"""),
     "job_rollup": (job_rollup, f"""WITH {sql.EV}, j AS (
-      SELECT event_id // 4 AS run_id, event_id % 4 AS ord, p, k % 10 <> 0 AND event_type <> 'error' AS ok FROM ev)
+      SELECT event_id // 4 AS run_id, event_id % 4 AS ord,
+        CASE WHEN event_id % 16 <> 3 THEN p * CASE WHEN event_id % 6 = 0 THEN 2 ELSE 1 END END AS p,
+        event_id % 16 <> 3 AND k % 10 <> 0 AND event_type <> 'error' AS ok FROM ev)
       SELECT run_id, bool_and(ok) AS success, sum(p) AS total_duration,
         string_agg(['klines', 'funding', 'trades', 'gap-filler'][ord + 1], ',' ORDER BY ord) AS jobs,
         string_agg(CAST(ok AS VARCHAR), ',' ORDER BY ord) AS job_success,

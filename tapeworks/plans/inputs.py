@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from tapeworks.defaults import JOB_ORDER
 from tapeworks.session import prepare
-from tapeworks.sources import readers
 
 SYMBOLS = ("BTCUSDT", "ETHUSDT", "BNBUSDT", "SOLUSDT", "ADAUSDT")
 
@@ -23,7 +22,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     symbols = F.array(*[F.lit(s) for s in SYMBOLS])
     ts = F.col("ts").cast("timestamp")
-    table = readers.spread(spark.read.parquet(f"{sf_dir}/events.parquet"), "event_id")
+    table = spark.read.parquet(f"{sf_dir}/events.parquet")
     return table.select(
         "event_id",
         "user_id",
@@ -77,6 +76,7 @@ def frames(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> Data
         F.when(kind == "purchase", trade)
         .when(kind == "view", ticker)
         .when(kind == "click", depth)
+        .when((kind == "signup") & (i % 4 == 0), _text(head(other), ',"k":{"i":"', F.when(i % 8 == 0, "1h").otherwise("5m"), '"}}'))
         .when(kind == "signup", _text(head(other), "}"))
         .otherwise(bad)
     )
@@ -112,6 +112,14 @@ def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def histories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcomes of which some have no name and some no time."""
+    i = F.col("seq")
+    return outcomes(spark, sf_dir).withColumns(
+        {"name": F.when(i % 50 != 0, F.col("name")), "ts": F.when(i % 51 != 0, F.col("ts"))}
+    )
+
+
 def config_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Configuration changes, one scope per user."""
     i, k, sym = F.col("event_id"), F.col("k"), F.lower(F.col("sym"))
@@ -162,7 +170,7 @@ def config_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     reconnection = pick(
         text('{"reconnect_delay":', k, ',"max_reconnect_attempts":', k + 40, "}"),
-        text('{"reconnect_delay":', k + 400, ',"max_reconnect_attempts":0}'),
+        text('{"reconnect_delay":92233720368547758', k + 400, ',"max_reconnect_attempts":0}'),
         text('{"reconnect_delay":"5"}'),
         text('{"reconnect_delay":5.5,"max_reconnect_attempts":null}'),
         text('{"reconnect_delay":true,"max_reconnect_attempts":false}'),
@@ -208,12 +216,14 @@ def completions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def job_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Four jobs per run; some without a result."""
+    """Four jobs per run; some absent, some without a result, some tried twice."""
     i, jobs = F.col("event_id"), F.array(*[F.lit(j) for j in JOB_ORDER])
+    done = F.when(F.col("k") % 10 != 0, F.col("event_type") != "error")
+    tries = F.when(i % 16 == 3, F.array().cast("array<int>")).when(i % 6 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(2)))
     return events(spark, sf_dir).select(
         F.call_function("div", i, F.lit(4)).alias("run_id"),
-        (i % 4).alias("ord"),
         F.get(jobs, (i % 4).cast("int")).alias("job"),
-        F.when(F.col("k") % 10 != 0, F.col("event_type") != "error").alias("success"),
+        done.alias("_done"),
         F.col("p").alias("duration_seconds"),
-    )
+        F.explode(tries).alias("attempt"),
+    ).withColumn("success", (F.col("attempt") == 2) & F.col("_done")).drop("_done")

@@ -29,17 +29,18 @@ def heartbeat_report(spark, d):
 
 def heartbeat_records(spark, d):
     own = F.when(F.col("total_processed") % 2 == 0, "ops.heartbeat")
-    return metrics.heartbeat_records(heartbeat_report(spark, d), own)
+    total = F.col("total_processed")
+    return metrics.heartbeat_records(heartbeat_report(spark, d), "frames", own, queue_size=F.when(total % 3 == 0, total))
 
 
 def metrics_snapshot(spark, d):
-    snapshot = metrics.metrics_snapshot(classified(spark, d), queue_size=45)
+    snapshot = metrics.metrics_snapshot(classified(spark, d), queue_size=45, bus_connected=False)
     return snapshot.withColumn("streams", F.array_join("streams", ","))
 
 
 def _bucket(spark, d):
-    events = inputs.events(spark, d)
-    return bucket.leaky_bucket(events, "sym", "1/7200", 3, "ts", "event_id")
+    log = inputs.histories(spark, d).withColumnsRenamed({"name": "sym", "seq": "event_id"})
+    return bucket.leaky_bucket(log, "sym", "1/7200", 3, "ts", "event_id")
 
 
 def leaky_bucket(spark, d):
@@ -77,8 +78,8 @@ def health_rules(spark, d):
         rate=F.col("messages_per_second"),
         dropped=F.col("processed_since_last") % 7 - 5,
         queue_percent=percent(F.col("processed_since_last"), F.lit(15).cast("bigint")),
-        connected=F.col("total_processed") % 5 != 0,
-        staleness_ms=F.col("ms_since_last_message"),
+        connected=F.when(F.col("total_processed") % 7 != 0, F.col("total_processed") % 5 != 0),
+        staleness_ms=F.when(F.col("total_processed") % 3 != 0, F.col("ms_since_last_message")),
         min_rate=0.01,
         max_staleness_seconds=600,
     )
@@ -118,8 +119,9 @@ QUERIES = {
       {_RATE.format(n='processed_since_last', ms='3600000')} AS messages_per_second,
       {_RATE.format(n='total_processed', ms='uptime_ms')} AS overall_rate_per_second FROM beat"""),
     "heartbeat_records": (heartbeat_records, f"""WITH {sql.BEAT}
-      SELECT CASE WHEN total_processed % 2 = 0 THEN 'ops.heartbeat' ELSE 'heartbeat.socket-client' END AS subject,
-        '{{"service":"socket-client","timestamp":' || tick_ms // 1000 || '.000,"version":"1.0.0","status":"healthy"}}' AS value
+      SELECT CASE WHEN total_processed % 2 = 0 THEN 'ops.heartbeat' ELSE 'heartbeat.frames' END AS subject,
+        '{{"service":"frames","timestamp":' || tick_ms // 1000 || '.000,"version":"1.0.0","status":"healthy"' ||
+          CASE WHEN total_processed % 3 = 0 THEN ',"queue_size":' || total_processed ELSE '' END || '}}' AS value
       FROM beat"""),
     "metrics_snapshot": (metrics_snapshot, f"""WITH {sql.FR}, t AS (
       SELECT count(*) FILTER (disposition = 'published') AS n, max(ms) FILTER (shape <> 'malformed') AS last_ms,
@@ -127,14 +129,15 @@ QUERIES = {
       SELECT true AS is_connected, true AS is_running, 'connected' AS connection_status, 0 AS reconnect_attempts,
         n AS processed_messages, 0 AS dropped_messages, 8 AS stream_count,
         '{",".join(defaults.DEFAULT_STREAMS)}' AS streams, 45 AS queue_size, last_ms AS last_message_ms,
-        NULL AS last_ping_ms, 'connected' AS websocket_state, 'connected' AS nats_state, b - a AS uptime_ms,
+        NULL AS last_ping_ms, 'connected' AS websocket_state, 'disconnected' AS nats_state, b - a AS uptime_ms,
         {_RATE.format(n='n', ms='(b - a)')} AS messages_per_second, 0.9::DOUBLE AS queue_utilization_percent,
         b - last_ms AS ms_since_last_message, true AS heartbeat_enabled, 60 AS heartbeat_interval FROM t"""),
     "queue_utilisation": (queue_utilisation, f"""{sql.BUCKET}
       SELECT sym, event_id AS seq, backlog_units / 7200000000.0::DOUBLE * 100.0::DOUBLE / 3 AS utilisation_percent
-      FROM steps WHERE rn > 0"""),
+      FROM steps WHERE rn > 0 UNION ALL SELECT sym, event_id, NULL FROM hist WHERE us IS NULL"""),
     "leaky_bucket": (leaky_bucket, f"""{sql.BUCKET}
-      SELECT sym, event_id AS seq, dropped, backlog_units FROM steps WHERE rn > 0"""),
+      SELECT sym, event_id AS seq, dropped, backlog_units FROM steps WHERE rn > 0 UNION ALL
+      SELECT sym, event_id, NULL, NULL FROM hist WHERE us IS NULL"""),
     "stream_staleness": (stream_staleness, f"""WITH {sql.FR} SELECT stream, max(ms) AS last_ms,
       {REPORT_MS} - max(ms) AS staleness_ms FROM cl WHERE stream IS NOT NULL GROUP BY 1"""),
     "throttled_stats": (throttled_stats, f"""WITH RECURSIVE {sql.FR}, o AS (
@@ -157,8 +160,8 @@ QUERIES = {
       CASE WHEN {_RATE.format(n='processed_since_last', ms='3600000')} < 0.01 THEN 'low_rate' END,
       CASE WHEN processed_since_last % 7 > 5 THEN 'dropped_messages' END,
       CASE WHEN processed_since_last >= 12 THEN 'queue_full' END,
-      CASE WHEN total_processed % 5 = 0 THEN 'disconnected' END,
-      CASE WHEN ms_since_last_message >= 600000 THEN 'stale' END) AS alerts FROM beat"""),
+      CASE WHEN total_processed % 5 = 0 OR total_processed % 7 = 0 THEN 'disconnected' END,
+      CASE WHEN ms_since_last_message >= 600000 OR total_processed % 3 = 0 THEN 'stale' END) AS alerts FROM beat"""),
     "latency_p95": (latency_p95, f"""WITH {sql.EV}, r AS (
       SELECT event_type, p, row_number() OVER (PARTITION BY event_type ORDER BY p) - 1 AS i,
         count(*) OVER (PARTITION BY event_type) AS n FROM ev)

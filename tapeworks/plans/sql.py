@@ -43,7 +43,8 @@ RAW = FR + """, rw AS (
       CAST(p + 1.00 AS DECIMAL(18,2)) || '","' || (k + 1) || '"],["' ||
       CAST(p + 2.00 AS DECIMAL(18,2)) || '","' || (k + 2) || '"]]}'
     WHEN 'signup' THEN '{"e":"' || ['kline','markPriceUpdate','fundingRate','aggTrade'][event_id % 4 + 1] ||
-      '","E":' || ms || ',"s":"' || sym || '"}'
+      '","E":' || ms || ',"s":"' || sym || '"' || CASE WHEN event_id % 8 = 0 THEN ',"k":{"i":"1h"}'
+        WHEN event_id % 8 = 4 THEN ',"k":{"i":"5m"}' ELSE '' END || '}'
     ELSE CASE event_id % 8
       WHEN 0 THEN '{"e":"trade","s":'
       WHEN 1 THEN '[1,2]'
@@ -71,13 +72,16 @@ BEAT = FR + """, agg AS (
   FROM spine LEFT JOIN agg USING (slot)
   WINDOW w AS (ORDER BY slot))"""
 
-SYMBOLS_BY_TIME = """ordered AS (
-  SELECT *, row_number() OVER (PARTITION BY sym ORDER BY us, event_id) AS rn FROM ev)"""
+# Histories, some without a key and some rows without a time.
+SYMBOLS_BY_TIME = """hist AS (
+  SELECT * REPLACE (CASE WHEN event_id % 50 <> 0 THEN sym END AS sym, CASE WHEN event_id % 51 <> 0 THEN us END AS us) FROM ev),
+  ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY sym ORDER BY us, event_id) AS rn FROM hist WHERE us IS NOT NULL)"""
 # Breaker with threshold 3 and recovery of an hour, stepped row by row.
 BREAKER = "WITH RECURSIVE " + EV + ", " + SYMBOLS_BY_TIME + """, steps AS (
   SELECT sym, 0::BIGINT AS rn, 0::BIGINT AS event_id, 0::BIGINT AS us, true AS ok, 'closed' AS state_before,
          'closed' AS state_after, '' AS result, 0::BIGINT AS failure_count, NULL::BIGINT AS failed_us
-  FROM (SELECT DISTINCT sym FROM ev)
+  FROM (SELECT DISTINCT sym FROM ordered)
   UNION ALL
   SELECT o.sym, o.rn, o.event_id, o.us, o.event_type <> 'error', s.state_after,
     CASE WHEN s.state_after = 'open' AND o.us - s.failed_us < 3600000000 THEN 'open'
@@ -89,19 +93,19 @@ BREAKER = "WITH RECURSIVE " + EV + ", " + SYMBOLS_BY_TIME + """, steps AS (
          WHEN o.event_type <> 'error' THEN 0 ELSE s.failure_count + 1 END,
     CASE WHEN s.state_after = 'open' AND o.us - s.failed_us < 3600000000 THEN s.failed_us
          WHEN o.event_type <> 'error' THEN s.failed_us ELSE o.us END
-  FROM steps s JOIN ordered o ON o.sym = s.sym AND o.rn = s.rn + 1)"""
+  FROM steps s JOIN ordered o ON o.sym IS NOT DISTINCT FROM s.sym AND o.rn = s.rn + 1)"""
 
 # Leaky bucket for 3 messages that drains one in two hours; one message is
 # 7,200,000,000 units and a microsecond drains one.
 BUCKET = "WITH RECURSIVE " + EV + ", " + SYMBOLS_BY_TIME + """, steps AS (
   SELECT sym, 0::BIGINT AS rn, 0::BIGINT AS event_id, 0::BIGINT AS us, false AS dropped, 0::BIGINT AS backlog_units
-  FROM (SELECT DISTINCT sym FROM ev)
+  FROM (SELECT DISTINCT sym FROM ordered)
   UNION ALL
   SELECT o.sym, o.rn, o.event_id, o.us,
     greatest(0, s.backlog_units - (o.us - s.us)) + 7200000000 > 21600000000,
     greatest(0, s.backlog_units - (o.us - s.us)) +
       CASE WHEN greatest(0, s.backlog_units - (o.us - s.us)) + 7200000000 > 21600000000 THEN 0 ELSE 7200000000 END
-  FROM steps s JOIN ordered o ON o.sym = s.sym AND o.rn = s.rn + 1)"""
+  FROM steps s JOIN ordered o ON o.sym IS NOT DISTINCT FROM s.sym AND o.rn = s.rn + 1)"""
 
 # Hourly and daily candles.
 CANDLES = EV + """, candles AS (

@@ -49,21 +49,12 @@ def read_routed(
     if last_date:
         landed = landed.filter(F.col("date") <= F.lit(last_date).cast("date"))
     if streams is not None:
-        types = sorted({s.split("@")[1] for s in streams if "@" in s})
+        named = {s.split("@")[1] for s in streams if "@" in s}
+        types = sorted({t if t in defaults.LANDED_TYPES else "other" for t in named})
         landed = landed.filter(F.col("stream_type").isin(types) & F.col("stream").isin(list(streams)))
     return landed
 
 
-def spread(df: DataFrame, *by: str) -> DataFrame:
-    """Deal out an input that comes in fewer splits than there are cores.
-
-    One large unsplittable file would otherwise be parsed by a single task.
-    An input with enough splits, the normal case on a cluster, is left alone.
-    """
-    wanted = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted, *by)
-
-
 def kafka_frames(
     spark: SparkSession,
     servers: str,

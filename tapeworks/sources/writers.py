@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tapeworks import defaults
 from tapeworks.functions.envelope import envelope_json
-from tapeworks.functions.routing import stream_type
+from tapeworks.functions.routing import landed_type
 
 
 def to_messages(enveloped: DataFrame, subject: str = defaults.PUBLISH_SUBJECT) -> DataFrame:
@@ -29,11 +29,13 @@ def write_messages(messages: DataFrame, path: str, mode: str = "append") -> None
 def land_routed(routed: DataFrame, path: str, ts: str = "recv_ts", mode: str = "append") -> None:
     """Land routed frames as Parquet, by date and stream type.
 
+    Known types have a folder each and all others share one, since an event
+    may call itself anything.
     Rebalancing brings the rows of a folder together into few files, and cuts
     up the folder of a busy day or type instead of giving it to one task.
     """
     placed = routed.withColumns(
-        {"date": F.to_date(ts), "stream_type": stream_type(F.col("stream"))}
+        {"date": F.to_date(ts), "stream_type": landed_type(F.col("stream"))}
     )
     balanced = placed.hint("rebalance", "date", "stream_type").sortWithinPartitions(
         "date", "stream_type", "stream"
@@ -42,16 +44,16 @@ def land_routed(routed: DataFrame, path: str, ts: str = "recv_ts", mode: str = "
 
 
 def stream_messages(
-    messages: DataFrame, path: str, checkpoint: str, once: bool = False
+    messages: DataFrame, path: str, checkpoint: str, once: bool = False, every: str = "10 seconds"
 ) -> StreamingQuery:
-    """Land messages as they come. Checkpointed, so each is written exactly once."""
+    """Land messages as they come, one batch of files per ``every``. Checkpointed, so each is written exactly once."""
     writer = (
         messages.select("value")
         .writeStream.format("text")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
     )
-    return (writer.trigger(availableNow=True) if once else writer).start()
+    return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every)).start()
 
 
 def stream_to_kafka(messages: DataFrame, servers: str, checkpoint: str) -> StreamingQuery:

@@ -63,10 +63,10 @@ def test_snapshot_without_frames(spark):
 
 def test_heartbeat_subjects(spark):
     ticks = spark.createDataFrame([(T0_MS, "own", "env"), (T0_MS, "", "env"), (T0_MS, None, None)], "tick_ms bigint, a string, b string")
-    records = metrics.heartbeat_records(ticks, F.col("a"), F.col("b")).collect()
-    assert [r.subject for r in records] == ["own", "env", "heartbeat.socket-client"]
+    records = metrics.heartbeat_records(ticks, "feed", F.col("a"), F.col("b"), last_ping=F.lit(None).cast("long"), queue_size=F.lit(3)).collect()
+    assert [r.subject for r in records] == ["own", "env", "heartbeat.feed"]
     assert records[0].value == (
-        '{"service":"socket-client","timestamp":1704067200.000,"version":"1.0.0","status":"healthy"}'
+        '{"service":"feed","timestamp":1704067200.000,"version":"1.0.0","status":"healthy","queue_size":3}'
     )
 
 
@@ -169,13 +169,15 @@ def test_long_gaps_are_cut_into_weeks(spark):
 
 
 def test_job_rollup_counts_missing_results_as_failed(spark):
-    rows = [("r1", 0, "klines", True, 1.5), ("r1", 1, "funding", None, 2.0), ("r2", 0, "klines", True, 1.0)]
-    out = history.job_rollup(spark.createDataFrame(rows, "run_id string, ord int, job string, success boolean, duration_seconds double"))
-    got = {r.run_id: (r.success, r.total_duration, r.jobs) for r in out.collect()}
-    assert got == {"r1": (False, 3.5, ["klines", "funding"]), "r2": (True, 1.0, ["klines"])}
+    rows = [("r1", 1, "a", True, 1.5), ("r1", 1, "b", None, 2.0), ("r2", 1, "b", False, 1.0), ("r2", 2, "b", True, 1.0), ("r2", 1, "a", True, 4.0), ("r3", 1, "b", True, 1.0)]
+    results = spark.createDataFrame(rows, "run_id string, attempt int, job string, success boolean, duration_seconds double")
+    got = {r.run_id: (r.success, r.total_duration, r.jobs, r.job_success) for r in history.job_rollup(results, ("a", "b")).collect()}
+    assert got == {
+        "r1": (False, 3.5, ["a", "b"], [True, False]), "r2": (True, 6.0, ["a", "b"], [True, True]), "r3": (False, 1.0, ["a", "b"], [False, True]),
+    }
 
 
-def test_batch_completion_lists_each_error_once(spark):
+def test_batch_completion_and_errors(spark):
     rows = [
         ("klines", "15m", "BTC", True, 10, 10, 1.0, 0, 0, []),
         ("klines", "15m", "ETH", False, 0, 0, 2.0, 1, 0, ["limit", "timeout"]),
@@ -185,6 +187,8 @@ def test_batch_completion_lists_each_error_once(spark):
         "extraction_type string, period string, symbol string, success boolean, records_fetched bigint, "
         "records_written bigint, duration_seconds double, gaps_found bigint, gaps_filled bigint, errors array<string>"
     )
-    row = history.batch_completion(spark.createDataFrame(rows, schema)).first()
+    frame = spark.createDataFrame(rows, schema)
+    row = history.batch_completion(frame).first()
     assert (row.success, row.symbols, row.symbols_processed) == (False, ["BTC", "ETH"], 2)
-    assert (row.errors, row.error_counts) == (["limit", "timeout"], [2, 1])
+    assert row.total_errors == 3
+    assert sorted((r.error, r.n) for r in history.batch_errors(frame).collect()) == [("limit", 2), ("timeout", 1)]
