@@ -126,6 +126,8 @@ def _summarise(pdf: pd.DataFrame, threshold: int, recovery: int) -> pd.DataFrame
     heads = min(ends.n, int(ends.t.searchsorted(ends.t[0] + recovery)) + 1)
     previous, decided_before = None, None
     for row in range(heads):
+        if row and ends.t[row] == ends.t[row - 1]:
+            continue  # an earlier row of the same time is let through
         decided = int(ends.next_decided[row])
         end = previous if decided == decided_before else ends.from_half_open(row)
         if end == previous:
@@ -137,9 +139,62 @@ def _summarise(pdf: pd.DataFrame, threshold: int, recovery: int) -> pd.DataFrame
     return frame
 
 
+def _compose(recovery: int):
+    """Tables of two neighbouring stretches as one; times count from their own starts."""
+
+    def compose(chunk: int, table: pd.DataFrame, after: int, later: pd.DataFrame) -> pd.DataFrame:
+        shift = after - chunk
+        later = later.assign(last=later["last"] + shift)
+        later.loc[later["in_state"] == 2, "in_value"] += shift
+        by_state = {k: part.sort_values("in_value").reset_index(drop=True) for k, part in later.groupby("in_state")}
+        opened = by_state.get(2, later.iloc[:0])
+        # Which line of the later table each line's end meets; none if it stays open throughout.
+        table = table.sort_values(["in_state", "in_value"]).reset_index(drop=True)
+        state = table["out_state"].to_numpy()
+        count = table["failures"].to_numpy() + np.where(table["fresh"], 0, table["in_value"])
+        wanted = table["last"].fillna(0).to_numpy(dtype=np.int64) + recovery
+        found = np.where(state == 2, opened["in_value"].to_numpy().searchsorted(wanted), 0)
+        found = np.where(state == 0, count, found).astype(np.int64)
+        ends = table.copy()
+        for kind in (0, 1, 2):
+            lines = by_state.get(kind, later.iloc[:0])
+            at = np.flatnonzero((state == kind) & (found < len(lines)))
+            if not len(at):
+                continue
+            met = lines.iloc[found[at]].reset_index(drop=True)
+            own = table.iloc[at].reset_index(drop=True)
+            fresh = met["fresh"].to_numpy(dtype=bool)
+            merged = own.assign(
+                out_state=met["out_state"],
+                last=met["last"].fillna(own["last"]),
+                fresh=fresh | own["fresh"].to_numpy(dtype=bool),
+                failures=np.where(fresh, met["failures"], met["failures"] + own["failures"]),
+            )
+            ends = pd.concat([ends.drop(index=at), merged.set_index(pd.Index(at))])
+        ends = ends.sort_index()
+        # Failures so late that nothing is let through before the later stretch meet its own lines.
+        horizon = int(table.loc[table["in_state"] == 2, "in_value"].max())
+        whole = pd.concat([ends, opened[opened["in_value"] > horizon]])[table.columns]
+        return _pruned(whole)
+
+    return compose
+
+
+def _pruned(table: pd.DataFrame) -> pd.DataFrame:
+    """Of open lines in a row that end alike only the last."""
+    table = table.sort_values(["in_state", "in_value"]).reset_index(drop=True)
+    ends = table[["in_state", "out_state", "last", "fresh", "failures"]].fillna({"last": -(2**62)})
+    alike = (ends == ends.shift(-1)).all(axis=1) & (table["in_state"] == 2)
+    return table[~alike.fillna(False).to_numpy(dtype=bool)]
+
+
 def _chain(tables: DataFrame, recovery: int) -> DataFrame:
     """A state is ``(state, last failure in absolute time, failures)``."""
 
+    def restore(chunk, row):
+        failed_at = None if pd.isna(row["failed_at"]) else int(row["failed_at"])
+        return int(row["state"]), failed_at, int(row["failures_before"])
+
     def advance(state, chunk, table):
         kind, failed_at, failures = state
         lines = table[table["in_state"] == kind].sort_values("in_value")
@@ -153,7 +208,9 @@ def _chain(tables: DataFrame, recovery: int) -> DataFrame:
             failed_at = int(line["last"]) + chunk
         return state, (int(line["out_state"]), failed_at, count)
 
-    return folds.chain(tables, lambda _: (0, None, 0), advance, lambda s: s, STATE)
+    return folds.chain(
+        tables, lambda _: (0, None, 0), advance, _compose(recovery), lambda s: s, restore, STATE
+    )
 
 
 def step(standing: tuple, t: int, ok: bool, counted: bool, threshold: int, recovery: int) -> tuple:

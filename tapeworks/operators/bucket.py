@@ -181,6 +181,46 @@ def _summarise(pdf: pd.DataFrame, capacity: int, unit: int, drain: int) -> pd.Da
     return pd.DataFrame({"upto": pieces.upto, "fixed": pieces.fixed, "value": pieces.value})
 
 
+def _compose(drain: int):
+    """Tables of two neighbouring stretches as one, with levels as the first counts them."""
+
+    def compose(chunk: int, table: pd.DataFrame, after: int, later: pd.DataFrame) -> pd.DataFrame:
+        shift = (after - chunk) * drain
+        later = later.sort_values("upto")
+        bounds, fixed, value = later["upto"].to_numpy(), later["fixed"].to_numpy(dtype=bool), later["value"].to_numpy()
+
+        def line(level: int) -> int:
+            return min(int(bounds.searchsorted(max(level, -1))), len(bounds) - 1)
+
+        out, low = [], -1
+        for upto, is_fixed, add in table.sort_values("upto")[["upto", "fixed", "value"]].itertuples(index=False, name=None):
+            if is_fixed:
+                level = max(int(add) - shift, -1)
+                at = line(level)
+                out.append((upto, True, int(value[at]) + shift if fixed[at] else level + int(value[at]) + shift))
+            else:
+                start = low
+                while start <= upto:
+                    level = start + int(add) - shift
+                    at = line(level)
+                    # This line of the later table holds for starts up to here; an empty bucket is one case.
+                    end = -1 if level < -1 else int(bounds[at]) if at < len(bounds) - 1 else None
+                    stop = upto if end is None else min(upto, end - int(add) + shift)
+                    if level < -1:
+                        out.append((stop, True, (int(value[at]) if fixed[at] else int(value[at]) - 1) + shift))
+                    elif fixed[at]:
+                        out.append((stop, True, int(value[at]) + shift))
+                    else:
+                        out.append((stop, False, int(add) + int(value[at])))
+                    start = stop + 1
+            low = upto + 1
+        whole = pd.DataFrame(out, columns=["upto", "fixed", "value"])
+        alike = (whole[["fixed", "value"]] == whole[["fixed", "value"]].shift(-1)).all(axis=1)
+        return whole[~alike.to_numpy(dtype=bool)]
+
+    return compose
+
+
 def leaky_bucket(
     df: DataFrame,
     key: str,
@@ -221,7 +261,9 @@ def leaky_bucket(
         return pd.DataFrame({**columns, "dropped": dropped, "backlog_units": backlog})
 
     tables = folds.transfer_tables(rows, lambda pdf: _summarise(pdf, capacity, unit, drain), TABLE)
-    starts = folds.chain(tables, lambda _: (0, -1), advance, lambda s: (s[1],), STATE)
+    starts = folds.chain(
+        tables, lambda _: (0, -1), advance, _compose(drain), lambda s: (s[1],), lambda chunk, row: (chunk, int(row["level"])), STATE
+    )
     kept = "".join(f", {c} {dict(df.dtypes)[c]}" for c in keep)
     carried = ADMITTED.replace(", dropped", f"{kept}, dropped")
     admitted = folds.decoded(folds.absolute_time(folds.replay(rows, starts, run, carried)), df, key)

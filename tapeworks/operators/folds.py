@@ -2,14 +2,16 @@
 
 A breaker, a throttle or a bucket looks sequential: what a row does depends on
 all rows before it. Sending a key's whole history to one task would not
-survive a key with a third of the data, so histories are cut into time chunks
-and folded in three steps:
+survive a key with a third of the data, so histories are cut into chunks and
+folded in three steps:
 
 1. each chunk is summarised on its own as a *transfer table*: for every state
    the rule could be in at the start of the chunk, the state it ends in;
-2. per key, the tables are chained in time order, which gives the state each
-   chunk really starts in. A table has few lines, because different starting
-   states soon end up in the same place;
+2. tables of neighbouring chunks are composed into one, ``FAN`` at a time and
+   in ``LEVELS`` levels. A composed table answers for the states at its own
+   start only, so it is no larger than the table of its first chunk might be.
+   The few tables left of a key are chained in time order; going down again,
+   every group gets its starting state and passes it along its members;
 3. each chunk is replayed from its starting state.
 
 Steps 1 and 3 work on the same narrow rows, partitioned by (key, chunk), so one
@@ -28,6 +30,9 @@ from pyspark.sql import functions as F
 # chunks are cut. Rows of one step are never separated.
 CHUNK_ROWS = 200_000
 STEP_US = 10_000_000
+# Tables that are composed into one, and how often.
+FAN = 32
+LEVELS = 2
 
 
 def encoded(key: Column) -> Column:
@@ -44,10 +49,10 @@ def decoded(df: DataFrame, source: DataFrame, name: str) -> DataFrame:
 def chunked(
     df: DataFrame, key: str, ts: str, order: str, chunk_rows: int = CHUNK_ROWS, **extra: Column
 ) -> DataFrame:
-    """Narrow rows ``key, chunk, t, seq`` plus extras, partitioned by (key, chunk).
+    """Narrow rows ``key, part, chunk, t, seq`` plus extras, partitioned by (key, chunk).
 
-    Times are microseconds; ``chunk`` is the time at which a chunk begins and
-    ``t`` counts from there. Rows without a time have no place in a history.
+    Times are microseconds; ``chunk`` is the time at which a chunk begins,
+    ``part`` its number, and ``t`` counts from there. Rows without a time have no place in a history.
 
     Chunks are cut by rows counted per step of time: a quiet key is one chunk,
     a busy one has many. Counting and cutting read one exchange by (key, step).
@@ -68,7 +73,7 @@ def chunked(
     steps = rows.groupBy("key", "step").agg(F.count("*").alias("rows"))
     steps = steps.withColumn("part", F.call_function("div", F.coalesce(F.sum("rows").over(upto), F.lit(0)), F.lit(chunk_rows)))
     begin = F.min("step").over(Window.partitionBy("key", "part")) * STEP_US
-    placed = rows.join(steps.select("key", "step", begin.alias("chunk")), ["key", "step"])
+    placed = rows.join(steps.select("key", "step", "part", begin.alias("chunk")), ["key", "step"])
     return placed.withColumn("t", F.col("us") - F.col("chunk")).drop("us", "step").repartition("key", "chunk")
 
 
@@ -84,38 +89,79 @@ def transfer_tables(rows: DataFrame, summarise: Callable, columns: str) -> DataF
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         table = summarise(pdf.sort_values(["t", "seq"], kind="stable"))
-        table.insert(0, "key", pdf["key"].iloc[0])
-        table.insert(1, "chunk", pdf["chunk"].iloc[0])
+        for place, name in enumerate(("key", "part", "chunk")):
+            table.insert(place, name, pdf[name].iloc[0])
         return table
 
-    return rows.groupBy("key", "chunk").applyInPandas(run, f"key string, chunk bigint, {columns}")
+    return rows.groupBy("key", "chunk").applyInPandas(run, f"key string, part bigint, chunk bigint, {columns}")
+
+
+def _composed(tables: DataFrame, compose: Callable) -> DataFrame:
+    """One table for every ``FAN`` neighbouring parts."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        parts = [table for _, table in pdf.groupby("chunk", sort=True)]
+        first = parts[0]
+        key, part, chunk = first["key"].iloc[0], int(first["part"].iloc[0]) // FAN, int(first["chunk"].iloc[0])
+        whole, rest = first.drop(columns=["key", "part", "chunk", "group"]), parts[1:]
+        for table in rest:
+            whole = compose(chunk, whole, int(table["chunk"].iloc[0]), table.drop(columns=["key", "part", "chunk", "group"]))
+        whole = whole.reset_index(drop=True)
+        for place, (name, value) in enumerate((("key", key), ("part", part), ("chunk", chunk))):
+            whole.insert(place, name, value)
+        return whole
+
+    group = F.call_function("div", F.col("part"), F.lit(FAN))
+    return tables.withColumn("group", group).groupBy("key", "group").applyInPandas(run, tables.schema)
 
 
 def chain(
     tables: DataFrame,
     initial: Callable[[str], object],
     advance: Callable,
+    compose: Callable,
     export: Callable,
+    restore: Callable,
     columns: str,
 ) -> DataFrame:
     """Step 2. State at the start of each chunk, and after the last (``chunk`` NULL).
 
     ``advance(state, chunk, table)`` returns ``(state as the chunk sees it,
-    state after it)``; ``export(state)`` turns a state into ``columns``.
+    state after it)``; ``compose(chunk, table, next chunk, next table)`` the
+    table of both; ``export(state)`` turns a state into ``columns`` and
+    ``restore(chunk, row)`` turns them back.
     """
     names = [c.split()[0] for c in columns.split(", ")]
+    schema = f"key string, part bigint, chunk bigint, {columns}"
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        key, state, out = pdf["key"].iloc[0], initial(pdf["key"].iloc[0]), []
+    def passed_along(key, state, pdf: pd.DataFrame, last: bool) -> pd.DataFrame:
+        out = []
         for number, table in pdf.groupby("chunk", sort=True):
             at_start, state = advance(state, int(number), table)
-            out.append((key, int(number), *export(at_start)))
-        out.append((key, None, *export(state)))
-        frame = pd.DataFrame(out, columns=["key", "chunk", *names])
-        frame["chunk"] = frame["chunk"].astype("Int64")
-        return frame
-
-    return tables.groupBy("key").applyInPandas(run, f"key string, chunk bigint, {columns}")
+            out.append((key, int(table["part"].iloc[0]), int(number), *export(at_start)))
+        if last:
+            out.append((key, None, None, *export(state)))
+        frame = pd.DataFrame(out, columns=["key", "part", "chunk", *names])
+        return frame.astype({"part": "Int64", "chunk": "Int64"})
+
+    def top(pdf: pd.DataFrame) -> pd.DataFrame:
+        key = pdf["key"].iloc[0]
+        return passed_along(key, initial(key), pdf, True)
+
+    def down(pdf: pd.DataFrame) -> pd.DataFrame:
+        first = pdf.iloc[0]
+        return passed_along(first["key"], restore(int(first["_chunk"]), first), pdf, False)
+
+    levels = [tables]
+    for _ in range(LEVELS):
+        levels.append(_composed(levels[-1], compose))
+    states = levels.pop().groupBy("key").applyInPandas(top, schema)
+    final = states.filter(F.col("chunk").isNull())
+    while levels:
+        starts = states.filter(F.col("chunk").isNotNull()).withColumnsRenamed({"part": "group", "chunk": "_chunk"})
+        members = levels.pop().withColumn("group", F.call_function("div", F.col("part"), F.lit(FAN)))
+        states = members.join(starts, ["key", "group"]).groupBy("key", "group").applyInPandas(down, schema)
+    return states.unionByName(final).drop("part")
 
 
 def replay(rows: DataFrame, starts: DataFrame, run_chunk: Callable, columns: str) -> DataFrame:

@@ -55,11 +55,15 @@ def throttled_stats(
             last = last[last]
         # Only rows before the first possible second emission can come first.
         heads = np.arange(min(n, times.searchsorted(times[0] + gap) + 1))
+        heads = heads[np.append(True, times[heads][1:] != times[heads][:-1])]
         ends = times[last[heads]]
         keep = np.append(ends[1:] != ends[:-1], True)
         table = pd.DataFrame({"upto": times[heads][keep], "emitted": ends[keep]})
         return table.assign(**totals)
 
+    def restore(chunk, row):
+        return chunk + int(row["since"]), int(row["processed_before"]), int(row["dropped_before"])
+
     def advance(state, chunk, table):
         since, done, lost = state
         local = since - chunk
@@ -72,6 +76,22 @@ def throttled_stats(
                 since = int(lines["emitted"].iloc[line]) + chunk
         return later, (since, done, lost)
 
+    def compose(chunk: int, table: pd.DataFrame, after: int, later: pd.DataFrame) -> pd.DataFrame:
+        shift = after - chunk
+        totals = {c: int(table[c].iloc[0]) + int(later[c].iloc[0]) for c in ("processed", "dropped")}
+        lines, next_lines = (t[t["upto"].notna()].astype("int64").sort_values("upto") for t in (table, later))
+        times, ends = next_lines["upto"].to_numpy() + shift, next_lines["emitted"].to_numpy() + shift
+        emitted = lines["emitted"].to_numpy()
+        at = times.searchsorted(emitted + gap)
+        emitted = np.where(at < len(times), np.append(ends, 0)[np.minimum(at, len(times))], emitted)
+        # Starts that the first stretch has no emission for meet the later one's own lines.
+        beyond = times > (lines["upto"].iloc[-1] if len(lines) else -1)
+        upto, emitted = np.append(lines["upto"].to_numpy(), times[beyond]), np.append(emitted, ends[beyond])
+        if not len(upto):
+            return pd.DataFrame([{"upto": None, "emitted": None, **totals}]).astype("Int64")
+        keep = np.append(emitted[1:] != emitted[:-1], True)
+        return pd.DataFrame({"upto": upto[keep], "emitted": emitted[keep], **totals}).astype("Int64")
+
     def emit(pdf: pd.DataFrame, state) -> pd.DataFrame:
         done = pdf["done"].to_numpy()
         times, at = pdf["t"].to_numpy()[done], np.flatnonzero(done)
@@ -91,7 +111,9 @@ def throttled_stats(
         )
 
     tables = folds.transfer_tables(rows, summarise, TABLE)
-    starts = folds.chain(tables, lambda _: (start_us, 0, 0), advance, lambda s: s, STATE)
+    starts = folds.chain(
+        tables, lambda _: (start_us, 0, 0), advance, compose, lambda s: s, restore, STATE
+    )
     emitted = folds.decoded(folds.absolute_time(folds.replay(rows, starts, emit, EMITTED)), df, key)
     rate = per_second(F.col("processed"), F.unix_millis("ts") - start_ms)
     return emitted.select(key, "ts", "seq", "processed", "dropped", rate.alias("per_second"))

@@ -42,7 +42,8 @@ def streams_by_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def src_raw_frames(spark, d):
-    return inputs.frames(spark, d).select("frame_id", F.unix_millis("recv_ts").alias("recv_ms"), "raw")
+    frames = readers.table_frames(inputs.frames(spark, d))
+    return frames.select("frame_id", F.unix_millis("recv_ts").alias("recv_ms"), "raw")
 
 
 def subscription_list(spark, d):

@@ -10,6 +10,7 @@ from tapeworks.functions.numbers import percent
 from tapeworks.operators import bucket, metrics, quantile, throttle
 from tapeworks.plans import inputs, sql
 from tapeworks.plans.frame_queries import classified
+from tapeworks.streaming.observe import counters
 
 HOUR = 3600
 # Fixed report time and start: the events cover January 2024.
@@ -100,10 +101,8 @@ def op_summary(spark, d):
 
 
 def observed_counts(spark, d):
-    from tapeworks.streaming.observe import observed
-
-    frames, _ = observed(classified(spark, d))
-    return frames.select("frame_id", "disposition")
+    k = F.col("k")
+    return classified(spark, d, ("k",), not_connected=k % 10 == 3).agg(*counters())
 
 
 _RATE = "CASE WHEN {ms} > 0 THEN ({n} * 200000 + {ms}) // ({ms} * 2) / 100.0::DOUBLE ELSE 0.0::DOUBLE END"
@@ -174,5 +173,7 @@ QUERIES = {
       count(*) AS total_operations, CAST(sum(k) AS BIGINT) AS total_duration_ms,
       count(*) FILTER (event_type <> 'error') / count(*) AS success_rate, CAST(sum(k) AS BIGINT) / count(*) AS avg_duration_ms
       FROM ev WHERE ms >= {REPORT_MS} - 864000000 GROUP BY 1"""),
-    "observed_counts": (observed_counts, f"WITH {sql.FR} SELECT frame_id, disposition FROM cl"),
+    "observed_counts": (observed_counts, f"""WITH {sql.FR} SELECT count(*) AS offered,
+      count(*) FILTER (disposition = 'published' AND k % 10 <> 3) AS processed,
+      count(*) FILTER (disposition = 'published' AND k % 10 = 3) AS dropped FROM cl"""),
 }

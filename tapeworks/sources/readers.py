@@ -12,26 +12,46 @@ from tapeworks import defaults
 from tapeworks.functions.frames import is_json
 
 
-def read_frames(spark: SparkSession, path: str) -> DataFrame:
-    """Landed frames, one JSON text per line: ``raw, recv_ts``.
+def read_frames(spark: SparkSession, path: str, recv_ts: Column | None = None) -> DataFrame:
+    """Landed frames, one JSON text per line: ``raw, recv_ts, frame_id, file``.
 
-    The receive time of a landed frame is the modification time of its file.
+    ``frame_id`` follows the lines of a file. Without ``recv_ts``, an expression
+    over ``value`` (the line) and ``_metadata``, a frame counts as received when
+    its file was last modified, which is all that plain text knows.
     """
-    return _landed(spark.read.text(path))
+    return _landed(spark.read.text(path), recv_ts, F.monotonically_increasing_id())
+
+
+def table_frames(
+    table: DataFrame, raw: str = "raw", recv_ts: str = "recv_ts", frame_id: str = "frame_id", keep: Sequence[str] = ()
+) -> DataFrame:
+    """Frames of any table that has their text, receive time and position: ``frame_id, recv_ts, raw``."""
+    return table.select(
+        F.col(frame_id).cast("bigint").alias("frame_id"),
+        F.col(recv_ts).cast("timestamp").alias("recv_ts"),
+        F.col(raw).cast("string").alias("raw"),
+        *keep,
+    )
 
 
 def stream_frames(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
-    """Frames of files as they land; bounded reads per trigger, nothing is shed."""
+    """Frames of files as they land; bounded reads per trigger, nothing is shed.
+
+    ``frame_id`` is a hash of file and text: the same when a file is read again.
+    """
     reader = spark.readStream
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return _landed(reader.text(path))
+    return _landed(reader.text(path), None, F.xxhash64("_metadata.file_path", "value"))
 
 
-def _landed(lines: DataFrame) -> DataFrame:
+def _landed(lines: DataFrame, recv_ts: Column | None, frame_id: Column) -> DataFrame:
+    modified = F.col("_metadata.file_modification_time")
     return lines.select(
         F.col("value").alias("raw"),
-        F.col("_metadata.file_modification_time").alias("recv_ts"),
+        (modified if recv_ts is None else F.coalesce(recv_ts, modified)).alias("recv_ts"),
+        frame_id.alias("frame_id"),
+        F.col("_metadata.file_path").alias("file"),
     )
 
 
@@ -63,14 +83,21 @@ def kafka_frames(
     offsets_per_trigger: int | None = None,
     **options: str,
 ) -> DataFrame:
-    """Frames from a topic. Needs the Kafka connector on the class path."""
+    """Frames from a topic, in the order of their offsets within a partition.
+
+    Needs the Kafka connector on the class path.
+    """
     reader = spark.readStream if streaming else spark.read
     reader = reader.format("kafka").option("kafka.bootstrap.servers", servers)
     reader = reader.option("subscribe", topic)
     if offsets_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", offsets_per_trigger)
     return reader.options(**options).load().select(
-        F.decode("value", "UTF-8").alias("raw"), F.col("timestamp").alias("recv_ts")
+        F.decode("value", "UTF-8").alias("raw"),
+        F.col("timestamp").alias("recv_ts"),
+        (F.shiftleft(F.col("partition").cast("bigint"), 44) + F.col("offset")).alias("frame_id"),
+        "partition",
+        "offset",
     )
 
 

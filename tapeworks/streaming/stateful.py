@@ -2,8 +2,9 @@
 
 Rows of a key arrive in no particular order. They are kept until the watermark
 has passed them, when no earlier row can come any more, and are then folded in
-(time, seq) order: the results are those of the batch operators. What is kept
-is what arrives within the watermark delay. These queries need the RocksDB
+(time, seq) order: the results are those of the batch operators over the rows
+that arrive within the watermark delay. Later rows are dropped and counted, see
+``observe.RunningTotals``. These queries need the RocksDB
 state store, see ``state_store_conf``.
 """
 
@@ -164,8 +165,8 @@ def breaker_stream(
 
 
 def leaky_bucket_stream(
-    frames: DataFrame, key: str, capacity: int = defaults.QUEUE_CAPACITY,
-    rate_per_second: int | str | Fraction = 250, ts: str = "recv_ts", seq: str = "frame_id",
+    frames: DataFrame, key: str, rate_per_second: int | str | Fraction,
+    capacity: int = defaults.QUEUE_CAPACITY, ts: str = "recv_ts", seq: str = "frame_id",
     delay: str = "1 minute",
 ) -> DataFrame:
     """``key, us, seq, dropped, backlog_units``."""

@@ -6,7 +6,7 @@ from datetime import datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from tapeworks.operators import breaker, bucket, intake, metrics, throttle
+from tapeworks.operators import intake_limits, payloads, breaker, bucket, intake, metrics, throttle
 from tapeworks.plans import inputs
 from tapeworks.sources import readers
 from tapeworks.streaming import observe, pipelines, stateful
@@ -62,7 +62,7 @@ def test_leaky_bucket(spark, tmp_path, landed):
     columns = ("sym", "seq", "dropped", "backlog_units")
     batch = bucket.leaky_bucket(events, "sym", "1/14400", 2, "ts", "event_id", chunk_rows=200)
     stream = stateful.leaky_bucket_stream(
-        read(spark, folder), "sym", 2, "1/14400", "ts", "event_id", delay="31 days"
+        read(spark, folder), "sym", "1/14400", 2, "ts", "event_id", delay="31 days"
     )
     assert rows(run(stream, tmp_path, "bucket_out"), *columns) == rows(batch, *columns)
 
@@ -128,6 +128,7 @@ def test_observed_batch_counts(spark, tmp_path):
     frames, observation = observe.observed(intake.classify(inputs.frames(spark, SF)))
     frames.write.format("noop").mode("overwrite").save()
     counted = observation.get
+    assert intake.classify(inputs.frames(spark, SF)).agg(*observe.counters()).first().asDict() == counted
     assert counted["offered"] == 1000
     assert counted["processed"] == intake.published(intake.classify(inputs.frames(spark, SF))).count()
 
@@ -136,5 +137,17 @@ def test_reading_landed_text(spark, tmp_path):
     folder = str(tmp_path / "text")
     inputs.frames(spark, SF).select("raw").write.text(folder)
     read_back = readers.read_frames(spark, folder)
-    assert read_back.columns == ["raw", "recv_ts"]
+    assert read_back.columns == ["raw", "recv_ts", "frame_id", "file"]
     assert read_back.count() == 1000
+    assert read_back.select("frame_id").distinct().count() == 1000
+    # The operators take what the library's own source gives.
+    typed = payloads.trades(intake.published(intake.classify(read_back)), keep=("recv_ts", "frame_id"))
+    assert intake_limits.deduplicate(typed, ["symbol", "trade_id"]).count() == typed.count()
+    shed = intake_limits.quota_shed(read_back, 3600, 10)
+    assert shed.filter(~F.col("shed")).count() == 10
+    admitted = bucket.leaky_bucket(read_back.withColumn("feed", F.lit("x")), "feed", 1, 5, keep=("raw",))
+    assert admitted.filter(~F.col("dropped")).count() == 5
+    queued = intake.classify(admitted, queue_full=F.col("dropped"))
+    assert queued.filter(F.col("disposition") == "queue_full").count() > 900
+    by_event = F.timestamp_millis(F.get_json_object("value", "$.E").cast("bigint"))
+    assert readers.read_frames(spark, folder, by_event).select(F.min("recv_ts")).first()[0].year == 2024
