@@ -39,6 +39,22 @@ BOOK_KEYS = (
     ("lastUpdateId", "last_update_id", "id"), ("bids", "bids", "levels"), ("asks", "asks", "levels"),
 )
 
+# A candle is an object of its own within the frame, under ``k``.
+KLINE_KEYS = (
+    ("s", "symbol", "text"), ("i", "interval", "text"), ("t", "open_time", "time"), ("T", "close_time", "time"),
+    ("f", "first_trade_id", "id"), ("L", "last_trade_id", "id"), ("o", "open", "number"), ("c", "close", "number"),
+    ("h", "high", "number"), ("l", "low", "number"), ("v", "volume", "number"), ("n", "trade_count", "id"),
+    ("x", "is_closed", "flag"), ("q", "quote_volume", "number"), ("V", "taker_buy_volume", "number"),
+    ("Q", "taker_buy_quote_volume", "number"),
+)
+MARK_PRICE_KEYS = (
+    ("E", "event_time", "time"), ("s", "symbol", "text"), ("p", "mark_price", "number"), ("i", "index_price", "number"),
+    ("P", "settle_price", "number"), ("r", "funding_rate", "number"), ("T", "next_funding_time", "time"),
+)
+FUNDING_KEYS = (
+    ("E", "event_time", "time"), ("s", "symbol", "text"), ("r", "funding_rate", "number"), ("T", "funding_time", "time"),
+)
+
 READ_AS = {
     "text": lambda c: c,
     "number": to_price,
@@ -73,6 +89,22 @@ def tickers(routed: DataFrame, raw: str = "raw", keep: tuple[str, ...] = ()) ->
     return _typed(chosen, TICKER_KEYS, raw, keep)
 
 
+def klines(routed: DataFrame, raw: str = "raw", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Candles as the exchange sends them, open ones included; see ``is_closed``."""
+    chosen = routed.filter(_on("kline")).withColumn("_candle", F.get_json_object(raw, "$.k"))
+    return _typed(chosen, KLINE_KEYS, "_candle", keep)
+
+
+def mark_prices(routed: DataFrame, raw: str = "raw", keep: tuple[str, ...] = ()) -> DataFrame:
+    chosen = routed.filter(_on(defaults.EVENT_SUFFIXES["markPriceUpdate"]))
+    return _typed(chosen, MARK_PRICE_KEYS, raw, keep)
+
+
+def funding_rates(routed: DataFrame, raw: str = "raw", keep: tuple[str, ...] = ()) -> DataFrame:
+    chosen = routed.filter(_on(defaults.EVENT_SUFFIXES["fundingRate"]))
+    return _typed(chosen, FUNDING_KEYS, raw, keep)
+
+
 def depth_updates(routed: DataFrame, raw: str = "raw", keep: tuple[str, ...] = ()) -> DataFrame:
     """Depth diffs. They share a stream with partial books and differ by event type."""
     chosen = routed.filter(_on(defaults.BOOK_SUFFIX) & (F.col("event") == "depthUpdate"))

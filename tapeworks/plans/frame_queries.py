@@ -214,6 +214,22 @@ def subject_build(spark, d):
     )
 
 
+def klines_typed(spark, d):
+    typed = payloads.klines(published(spark, d), keep=("frame_id",))
+    return _as_ms(typed, "open_time", "close_time").select(
+        "frame_id", "symbol", "interval", "open_time_ms", "close_time_ms", "open", "close", "high", "low", "volume", "trade_count", "is_closed"
+    )
+
+
+def mark_prices_typed(spark, d):
+    typed = payloads.mark_prices(published(spark, d), keep=("frame_id",)).drop("settle_price")
+    return _as_ms(typed, "event_time", "next_funding_time")
+
+
+def funding_typed(spark, d):
+    return _as_ms(payloads.funding_rates(published(spark, d), keep=("frame_id",)), "event_time", "funding_time")
+
+
 def trades_typed(spark, d):
     return _as_ms(payloads.trades(published(spark, d)), "event_time", "trade_time")
 
@@ -322,6 +338,15 @@ QUERIES = {
     "subject_build": (subject_build, f"""WITH {sql.COMPLETIONS} SELECT event_id,
       'binance.extraction.' || extraction_type || '.' || symbol || '.' || period AS single,
       'binance.extraction.' || extraction_type || '.batch.' || period AS batch FROM comp"""),
+    "klines_typed": (klines_typed, f"""WITH {sql.EV} SELECT event_id AS frame_id, sym AS symbol,
+      CASE WHEN event_id % 8 = 0 THEN '1h' ELSE '5m' END AS interval, ms - ms % 60000 AS open_time_ms,
+      ms - ms % 60000 + 59999 AS close_time_ms, p AS open, p + 1 AS close, p + 2 AS high, p AS low, k + 1 AS volume,
+      k + 1 AS trade_count, event_id % 2 = 0 AS is_closed FROM ev WHERE event_type = 'signup' AND event_id % 4 = 0"""),
+    "mark_prices_typed": (mark_prices_typed, f"""WITH {sql.EV} SELECT event_id AS frame_id, ms AS event_time_ms, sym AS symbol,
+      p + 1 AS mark_price, p AS index_price, 0.0001 AS funding_rate, ms AS next_funding_time_ms
+      FROM ev WHERE event_type = 'signup' AND event_id % 4 = 1"""),
+    "funding_typed": (funding_typed, f"""WITH {sql.EV} SELECT event_id AS frame_id, ms AS event_time_ms, sym AS symbol,
+      -0.0003 AS funding_rate, ms AS funding_time_ms FROM ev WHERE event_type = 'signup' AND event_id % 4 = 2"""),
     "trades_typed": (trades_typed, f"""WITH {sql.FR} SELECT ms AS event_time_ms, sym AS symbol, event_id AS trade_id,
       CAST(p AS {_NUMBERS}) AS price, CAST(k + 1 AS {_NUMBERS}) AS quantity, user_id AS buyer_order_id,
       event_id % 97 AS seller_order_id, ms AS trade_time_ms, event_id % 2 = 0 AS is_buyer_maker, true AS ignore_flag

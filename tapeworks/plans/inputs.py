@@ -60,6 +60,11 @@ def frames(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> Data
         F.array(*[F.lit(e) for e in ("kline", "markPriceUpdate", "fundingRate", "aggTrade")]),
         (i % 4).cast("int"),
     )
+    kline = _text(
+        head(other), ',"k":{"t":', ms - ms % 60000, ',"T":', ms - ms % 60000 + 59999, ',"s":"', sym, '","i":"',
+        F.when(i % 8 == 0, "1h").otherwise("5m"), '","o":"', p, '","c":"', one_up, '","h":"', two_up, '","l":"', p,
+        '","v":"', q, '","n":', q, ',"x":', is_even, "}}",
+    )
     book = _text('{"lastUpdateId":', i, ',"bids":[["', p, '","', q, '"]],"asks":null')
     bad = (
         F.when(i % 8 == 0, F.lit('{"e":"trade","s":'))
@@ -76,7 +81,9 @@ def frames(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> Data
         F.when(kind == "purchase", trade)
         .when(kind == "view", ticker)
         .when(kind == "click", depth)
-        .when((kind == "signup") & (i % 4 == 0), _text(head(other), ',"k":{"i":"', F.when(i % 8 == 0, "1h").otherwise("5m"), '"}}'))
+        .when((kind == "signup") & (i % 4 == 0), kline)
+        .when((kind == "signup") & (i % 4 == 1), _text(head(other), ',"p":"', one_up, '","i":"', p, '","r":"0.0001","T":', ms, "}"))
+        .when((kind == "signup") & (i % 4 == 2), _text(head(other), ',"r":"-0.0003","T":', ms, "}"))
         .when(kind == "signup", _text(head(other), "}"))
         .otherwise(bad)
     )

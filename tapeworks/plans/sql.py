@@ -43,8 +43,13 @@ RAW = FR + """, rw AS (
       CAST(p + 1.00 AS DECIMAL(18,2)) || '","' || (k + 1) || '"],["' ||
       CAST(p + 2.00 AS DECIMAL(18,2)) || '","' || (k + 2) || '"]]}'
     WHEN 'signup' THEN '{"e":"' || ['kline','markPriceUpdate','fundingRate','aggTrade'][event_id % 4 + 1] ||
-      '","E":' || ms || ',"s":"' || sym || '"' || CASE WHEN event_id % 8 = 0 THEN ',"k":{"i":"1h"}'
-        WHEN event_id % 8 = 4 THEN ',"k":{"i":"5m"}' ELSE '' END || '}'
+      '","E":' || ms || ',"s":"' || sym || '"' || CASE event_id % 4
+        WHEN 0 THEN ',"k":{"t":' || (ms - ms % 60000) || ',"T":' || (ms - ms % 60000 + 59999) || ',"s":"' || sym || '","i":"' ||
+          CASE WHEN event_id % 8 = 0 THEN '1h' ELSE '5m' END || '","o":"' || p || '","c":"' || CAST(p + 1.00 AS DECIMAL(18,2)) ||
+          '","h":"' || CAST(p + 2.00 AS DECIMAL(18,2)) || '","l":"' || p || '","v":"' || (k + 1) || '","n":' || (k + 1) ||
+          ',"x":' || CASE WHEN event_id % 2 = 0 THEN 'true' ELSE 'false' END || '}'
+        WHEN 1 THEN ',"p":"' || CAST(p + 1.00 AS DECIMAL(18,2)) || '","i":"' || p || '","r":"0.0001","T":' || ms
+        WHEN 2 THEN ',"r":"-0.0003","T":' || ms ELSE '' END || '}'
     ELSE CASE event_id % 8
       WHEN 0 THEN '{"e":"trade","s":'
       WHEN 1 THEN '[1,2]'
