@@ -57,3 +57,22 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
         seen = mark
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
+
+
+BITMAP_BITS = 2**23
+
+
+def maybe_among(spark: SparkSession, ids: DataFrame, column: Column, bits: int = BITMAP_BITS) -> Column:
+    """Whether ``column`` may be in the only column of ``ids``: false at most for others.
+
+    A bitmap of hashes, ``bits`` long whatever the input, goes to the executors
+    as the value of a scalar subquery (1 MB). Rows that it rules out need not
+    take part in an exact join. The fuller it is the fewer it rules out.
+    """
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
+    words = ids.select(place(F.col(ids.columns[0])).alias("place")).groupBy(F.expr("shiftright(place, 6)").alias("id"))
+    words = words.agg(F.bit_or(F.expr("shiftleft(1L, cast(place % 64 as int))")).alias("word"))
+    dense = spark.range(bits // 64).join(words, "id", "left").select("id", F.coalesce("word", F.lit(0)).alias("word"))
+    row = dense.agg(F.sort_array(F.collect_list(F.struct("id", "word"))).alias("all")).select(F.col("all.word").alias("words"))
+    word = F.get(written(spark, row, "bitmap").scalar(), F.call_function("shiftright", place(column), F.lit(6)).cast("int"))
+    return F.call_function("getbit", word, (place(column) % 64).cast("int")) == 1

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tapeworks.llm.common import components, whole_text, written
+from tapeworks.llm.common import components, maybe_among, whole_text, written
 from tapeworks.llm.hashing import WORDS, mix, runs
 
 SHINGLE = 4
@@ -210,8 +210,9 @@ def _verify(length: int, percent: int):
     return verify
 
 
-def _edges(docs: DataFrame, placed: DataFrame, length: int, percent: int) -> DataFrame:
+def _edges(spark: SparkSession, docs: DataFrame, placed: DataFrame, length: int, percent: int) -> DataFrame:
     """Links found in the blocks that ``placed`` (``block, doc_id``) puts documents in."""
+    docs = docs.where(maybe_among(spark, placed.select("doc_id"), F.col("doc_id")))
     texts = placed.join(docs, "doc_id").select("block", "doc_id", "text").repartition("block").sortWithinPartitions("block", "doc_id")
     return texts.mapInArrow(_verify(length, percent), "a long, b long")
 
@@ -258,8 +259,8 @@ def join(
     chosen = members.where("shares > 1").withColumn("nth", nth).where(F.col("nth") <= pivots)
     chosen = chosen.select("cluster", "doc_id", F.explode(F.expr("sequence(0L, shares - 1L)")).alias("share"))
     placed = members.select("cluster", "doc_id", "share").unionByName(chosen).distinct()
-    placed = placed.select(F.concat_ws(":", "cluster", "share").alias("block"), "doc_id")
-    edges = written(spark, _edges(texts, placed, length, percent), "links")
+    placed = written(spark, placed.select(F.concat_ws(":", "cluster", "share").alias("block"), "doc_id"), "blocks")
+    edges = written(spark, _edges(spark, texts, placed, length, percent), "links")
     edges = edges.unionByName(same.select(F.col("doc_id").alias("a"), F.col("first").alias("b")))
     found = written(spark, components(spark, edges), "components")
 
@@ -271,7 +272,8 @@ def join(
     several = divided.groupBy("cluster").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     divided = written(spark, divided.join(several.where("low <> high").select("cluster"), "cluster"), "divided")
     if not divided.isEmpty():
-        met = written(spark, _edges(texts, _pairwise(divided, block, percent), length, percent), "links")
+        placed = written(spark, _pairwise(divided, block, percent), "blocks")
+        met = written(spark, _edges(spark, texts, placed, length, percent), "links")
         found = components(spark, edges.unionByName(met))
     answer = sets.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     return answer.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
