@@ -8,10 +8,9 @@ a row. Pieces repeat, so each is encoded once and then looked up.
 from __future__ import annotations
 
 import os
+import struct
 import unicodedata
 
-import numpy as np
-
 VOCABULARY = "word_bpe_49k.json"
 # Entries of a cache before it starts afresh; at about 200 bytes each.
 CACHED = 700_000
@@ -30,6 +29,21 @@ def _byte_alphabet() -> list[str]:
     return [chr(b) if b in plain else chr(next(moved)) for b in range(256)]
 
 
+class Cache(dict):
+    """What ``make`` gives for a key, kept for keys up to ``longest``; starts afresh when full."""
+
+    def __init__(self, make, size: int, longest: int):
+        self.make, self.size, self.longest = make, size, longest
+
+    def __missing__(self, key):
+        value = self.make(key)
+        if len(key) <= self.longest:
+            if len(self) >= self.size:
+                self.clear()
+            self[key] = value
+        return value
+
+
 class Encoder:
     """``ids(text)`` as little-endian unsigned 32-bit bytes."""
 
@@ -39,53 +53,31 @@ class Encoder:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._model = self._tokenizer.model
-        self._cached = cached
-        self._pieces: dict[bytes, bytes] = {}
-        self._words: dict[str, bytes] = {}
         self._alphabet = dict(enumerate(_byte_alphabet()))
+        self._words = Cache(self._word, cached, 64)
+        self._pieces = Cache(self._piece, cached, 40)
 
     def _word(self, word: str) -> bytes:
         """Ids of one run of lower-case letters below U+0180: a single token of the splitting rule."""
-        got = self._words.get(word)
-        if got is None:
-            mapped = word.encode().decode("latin-1").translate(self._alphabet)
-            got = np.array([t.id for t in self._model.tokenize(mapped)], "<u4").tobytes()
-            if len(self._words) >= self._cached:
-                self._words.clear()
-            self._words[word] = got
-        return got
+        mapped = word if word.isascii() else word.encode().decode("latin-1").translate(self._alphabet)
+        ids = [t.id for t in self._model.tokenize(mapped)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _piece(self, piece: bytes) -> bytes:
         text = piece.decode("utf-8", "replace")
         low = text.lower()
         core = low.rstrip(".,!?;:")
-        simple = core.isalpha() and max(core) < "ƀ" and unicodedata.is_normalized("NFC", core)
-        if simple and core == low:
-            return self._word(core)
-        if simple and len(low) < 64:
-            return self._word(core) + self._rest(low[len(core) :])
+        if core.isalpha() and max(core) < "ƀ" and unicodedata.is_normalized("NFC", core):
+            end = low[len(core) :]
+            return self._words[core] + (self._words[end] if len(end) == 1 else self._rest(end) if end else b"")
         return self._rest(text)
 
     def _rest(self, text: str) -> bytes:
-        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        ids = self._tokenizer.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def ids(self, text: str) -> bytes:
-        found, pieces = self._pieces, text.encode("utf-8", "replace").split()
-        try:
-            return b"".join([found[p] for p in pieces])
-        except KeyError:
-            pass
-        out = []
-        for piece in pieces:
-            got = found.get(piece)
-            if got is None:
-                got = self._piece(piece)
-                if len(piece) <= 40:
-                    if len(found) >= self._cached:
-                        found.clear()
-                    found[piece] = got
-            out.append(got)
-        return b"".join(out)
+        return b"".join(map(self._pieces.__getitem__, text.encode("utf-8", "replace").split()))
 
 
 _encoders: dict[str, Encoder] = {}
