@@ -302,3 +302,24 @@ def _pairwise(divided: DataFrame, block: int, percent: int) -> DataFrame:
     pairs = left.join(right, ["cluster", "band"]).where("(r_band > band or l_unit <= r_unit) and (l_part <> r_part or l_part = -1)")
     pairs = pairs.select("cluster", F.concat_ws("|", "cluster", "l_unit", "r_unit").alias("block"), F.explode(F.array_distinct(F.array("l_unit", "r_unit"))).alias("unit"))
     return pairs.join(rows.select("cluster", "unit", "doc_id"), ["cluster", "unit"]).select("block", "doc_id")
+
+
+OP9_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS g FROM w
+), gram AS (SELECT doc_id, len(g) AS n, unnest(g) AS g FROM s),
+link AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM gram a JOIN gram b ON a.g = b.g AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), edge AS (SELECT x, y FROM link UNION ALL SELECT y, x FROM link),
+reach AS (
+  SELECT doc_id, doc_id AS other FROM s
+  UNION
+  SELECT reach.doc_id, edge.y FROM reach JOIN edge ON reach.other = edge.x
+)
+SELECT doc_id, any_value(len(g))::bigint AS n_shingles, min(other) AS component_id FROM reach JOIN s USING (doc_id) GROUP BY doc_id
+"""

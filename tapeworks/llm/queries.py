@@ -54,6 +54,6 @@ QUERIES = {
     "op10_quality_rules": (op10_quality_rules, None),
     "op2_personal_data": (op2_personal_data, None),
     "op4_secret_links": (op4_secret_links, None),
-    "op9_ngram_join": (op9_ngram_join, None),
-    "op5_substring_dedup": (op5_substring_dedup, None),
+    "op9_ngram_join": (op9_ngram_join, ngram_join.OP9_SQL),
+    "op5_substring_dedup": (op5_substring_dedup, substring_dedup.OP5_SQL),
 }

@@ -234,3 +234,23 @@ def remove_repeats(
 def report(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_sha256``."""
     return remove_repeats(spark, docs, **options).select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+OP5_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), win AS (
+  SELECT r, s, array_to_string(w[s:s + 34], ' ') AS k FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS s FROM d WHERE len(w) >= 35)
+), rep AS (
+  SELECT r, s FROM win WHERE k IN (SELECT k FROM win GROUP BY k HAVING count(*) > 1)
+), word AS (
+  SELECT r, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS x FROM d
+), covered AS (
+  SELECT word.r, i, x, coalesce(i - max(s) OVER (PARTITION BY word.r ORDER BY i ROWS UNBOUNDED PRECEDING) <= 34, false) AS gone
+  FROM word LEFT JOIN rep ON word.r = rep.r AND i = s
+), kept AS (
+  SELECT r, count(*) FILTER (gone) AS n_removed, string_agg(x, ' ' ORDER BY i) FILTER (NOT gone) AS t FROM covered GROUP BY r
+)
+SELECT doc_id, len(w)::bigint AS n_words, coalesce(n_removed, 0)::bigint AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""

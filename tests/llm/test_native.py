@@ -9,6 +9,7 @@ import __spark_entry__ as contract
 from tapeworks.llm import exact_dedup, mixing, url_cascade
 
 SF = "/root/testdata/sf0.001"
+WITH_SQL = ("op1_exact_dedup", "op3_url_filter", "op5_substring_dedup", "op7_mix_sources", "op9_ngram_join")
 NATIVE = ("op1_exact_dedup", "op3_url_filter", "op7_mix_sources")
 
 
@@ -17,13 +18,13 @@ def python_nodes(frame):
     return [w for w in ("Python", "Pandas", "Arrow") if w in plan]
 
 
-@pytest.mark.parametrize("name", NATIVE)
+@pytest.mark.parametrize("name", WITH_SQL)
 def test_against_sql(spark, name):
     duck = duckdb.connect()
     for table in ("documents", "pages"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     frame = contract.queries()[name](spark, SF)
-    assert python_nodes(frame) == []
+    assert name not in NATIVE or python_nodes(frame) == []
     relation = duck.sql(contract.oracle_sql()[name])
     assert sorted(frame.columns) == sorted(relation.columns)
     columns = sorted(frame.columns)
