@@ -22,6 +22,7 @@ Equal sets are one row of the matrix: links go to their smallest id.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,7 +38,6 @@ PERCENT = 85
 BLOCK = 400  # documents
 PIVOTS = 24
 SLICE = 4096  # n-grams of one product
-SEEDS = 6
 
 
 def shingle_set(text: str, length: int = SHINGLE) -> np.ndarray:
@@ -70,51 +70,55 @@ class Classes:
             self._grow()
         return int(np.searchsorted(self.tops, size))
 
-    def parts(self, number: int) -> tuple[int, int, int]:
-        """Parts of a class, how many of them may be weak, and up to what size a part is weak.
+    def parts(self, number: int) -> tuple[int, int]:
+        """Parts of a class, and how many of them two linked sets can spare.
 
         Linked sets of at most ``top`` n-grams differ in at most
         2 * top * (100 - percent) / (100 + percent) of them, so they agree on
-        more parts than may be weak.
+        more parts than they can spare. To spare are as many as most sets of
+        the class have weak parts, of one n-gram or none.
         """
         while number >= len(self.tops):
             self._grow()
-        apart = 2 * int(self.tops[number]) * (100 - self.percent) // (100 + self.percent)
+        top = int(self.tops[number])
+        apart = 2 * top * (100 - self.percent) // (100 + self.percent)
         if apart == 0:
-            return 1, 0, 0
-        spare = 1 + (apart + 1) // 10
-        return apart + 1 + spare, spare, int(apart >= 8)
+            return 1, 0
+        for percent in range(10, 110, 5):
+            spare = 1 + (apart + 1) * percent // 100
+            count = apart + 1 + spare
+            held = top * self.percent / 100 / count
+            if 1.25 * count * math.exp(-held) * (1 + held) <= spare:
+                break
+        return count, spare
 
 
-def signatures(grams: np.ndarray, classes: Classes) -> np.ndarray:
-    """Keys of the parts by which a set can meet the sets it may link to.
+def signatures(grams: np.ndarray, classes: Classes) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the parts by which a set can meet the sets it may link to; which are of the next class.
 
-    Weak parts are left out where no more are weak than two linked sets can
-    spare. A set with more weak parts adds those of another dealing of the
-    n-grams, and so on; with the last dealing it emits its weak parts too. So
-    two linked sets share a key: with the first dealing that suits one of
-    them, or else with the last.
+    A set emits the parts of two n-grams and more if its other parts can be
+    spared, else those of one too, and else all. Two linked sets agree on more
+    parts than can be spared, so on one that both emit.
     """
     keys = []
     own = classes.of(len(grams))
     for number in (own, own + 1):
-        count, spare, weak = classes.parts(number)
-        for seed in range(SEEDS):
-            mixed = mix(grams ^ np.uint64(seed * 0x1D8E4E27C47D124F + 77))
-            part = ((mixed >> np.uint64(33)) % np.uint64(count)).astype(np.int64)
-            order = np.argsort(part, kind="stable")
-            sizes = np.bincount(part, minlength=count)
-            totals = np.zeros(count, np.uint64)
-            held = np.flatnonzero(sizes)
-            totals[held] = np.add.reduceat(mix(mixed + grams)[order], (np.cumsum(sizes) - sizes)[held])
+        count, spare = classes.parts(number)
+        mixed = mix(grams ^ np.uint64(77))
+        part = ((mixed >> np.uint64(33)) % np.uint64(count)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        sizes = np.bincount(part, minlength=count)
+        totals = np.zeros(count, np.uint64)
+        held = np.flatnonzero(sizes)
+        totals[held] = np.add.reduceat(mix(mixed + grams)[order], (np.cumsum(sizes) - sizes)[held])
+        place = np.arange(count, dtype=np.uint64) + np.uint64(number << 32)
+        key = mix(totals + mix(place * np.uint64(0x9E3779B97F4A7C15)))
+        for weak in (1, 0, -1):
             strong = sizes > weak
-            place = np.arange(count, dtype=np.uint64) + np.uint64((number * SEEDS + seed) << 32)
-            key = mix(totals + mix(place * np.uint64(0x9E3779B97F4A7C15)))
-            enough = count - int(strong.sum()) <= spare
-            keys.append(key[strong] if enough or seed < SEEDS - 1 else key)
-            if enough:
+            if count - int(strong.sum()) <= spare:
                 break
-    return np.concatenate(keys).view(np.int64)
+        keys.append(key[strong])
+    return np.concatenate(keys).view(np.int64), np.repeat([False, True], [len(k) for k in keys])
 
 
 def _sets(length: int):
@@ -129,10 +133,13 @@ def _sets(length: int):
 
 
 def _keys(length: int, percent: int):
+    def together(rows):
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*rows)], names=["key", "above", "doc_id"])
+
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes, met = Classes(percent), set()
         for batch in batches:
-            ids, keys = [], []
+            rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 grams = shingle_set(text, length)
                 name = digest(grams)
@@ -140,14 +147,13 @@ def _keys(length: int, percent: int):
                 if doc_id is None or not len(grams) or name in met:
                     continue
                 met.add(name)
-                found = signatures(grams, classes)
-                keys.append(found)
-                ids.append(np.full(len(found), doc_id, np.int64))
-                if sum(map(len, keys)) > 1 << 18:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(ids))], names=["key", "doc_id"])
-                    ids, keys = [], []
-            if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(ids))], names=["key", "doc_id"])
+                keys, above = signatures(grams, classes)
+                rows.append((keys, above, np.full(len(keys), doc_id, np.int64)))
+                if sum(len(r[0]) for r in rows) > 1 << 18:
+                    yield together(rows)
+                    rows = []
+            if rows:
+                yield together(rows)
 
     return emit
 
@@ -242,9 +248,11 @@ def join(
     same = known.join(firsts, name).select("doc_id", "first").where("doc_id <> first").distinct()
     same = written(spark, same, "same-sets")
 
-    keys = texts.mapInArrow(_keys(length, percent), "key long, doc_id long")
-    least = F.first("doc_id").over(Window.partitionBy("key").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, 0))
-    meet = keys.withColumn("other", least).where("doc_id <> other").select("doc_id", "other").distinct()
+    keys = texts.mapInArrow(_keys(length, percent), "key long, above boolean, doc_id long")
+    # Sets in a class from below only look for sets of the class itself.
+    order = Window.partitionBy("key").orderBy("above", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    meet = keys.withColumn("other", F.first(F.when(~F.col("above"), F.col("doc_id"))).over(order))
+    meet = meet.where("doc_id <> other").select("doc_id", "other").distinct()
     for side in ("doc_id", "other"):
         to_first = same.select(F.col("doc_id").alias(side), F.col("first").alias("to"))
         meet = meet.join(to_first, side, "left").withColumn(side, F.coalesce("to", side)).drop("to")
