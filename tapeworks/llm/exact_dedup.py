@@ -14,10 +14,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tapeworks.llm.common import SPACES, whole_text
+from tapeworks.llm.common import SPACES, maybe_among, whole_text, written
 
 SALTS = 48
 # One number orders (code points, smallest id): points * STEP + (TOP - id), 0 for no id.
@@ -94,12 +94,19 @@ def groups(
     )
 
 
-def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = SALTS) -> DataFrame:
+def deduplicate(
+    spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = SALTS
+) -> DataFrame:
     """``docs`` without the rows whose text another row keeps; one row for each text.
 
-    Of repeated rows with one id and text the first by content stays.
+    Of repeated rows with one id and text the first by content stays. Only rows
+    that may share an id with a row to drop are looked at again.
     """
-    kept = groups(docs, id_col, text_col, salts).where("kept").select("doc_id", "text_sha256").distinct()
+    verdict = written(spark, groups(docs, id_col, text_col, salts).select("doc_id", "kept", "text_sha256"), "verdict")
+    doubtful = verdict.groupBy("doc_id").agg(F.count("*").alias("n"), F.every("kept").alias("kept")).where("n > 1 or not kept")
+    doubtful = written(spark, doubtful.select("doc_id"), "doubtful")
+    maybe = maybe_among(spark, doubtful, F.col(id_col).cast("bigint"))
+    kept = verdict.where("kept").select("doc_id", "text_sha256").distinct()
     kept = kept.withColumnsRenamed({"doc_id": "__keep_id", "text_sha256": "__keep_sha"})
     text = whole_text(text_col)
     sha = F.sha2(F.translate(text, SPACES, ""), 256)
@@ -107,8 +114,9 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     first = Window.partitionBy("__keep_id", "__keep_sha").orderBy(
         F.char_length(text).desc(), F.xxhash64(*[F.col(c) for c in docs.columns])
     )
-    found = docs.join(kept, same[0] & same[1])
-    return found.withColumn("__nth", F.row_number().over(first)).where("__nth = 1").select(*docs.columns)
+    found = docs.where(maybe).join(kept, same[0] & same[1])
+    found = found.withColumn("__nth", F.row_number().over(first)).where("__nth = 1").select(*docs.columns)
+    return docs.where(~maybe).unionByName(found)
 
 
 OP1_SQL = r"""

@@ -53,7 +53,7 @@ def test_exact_groups(spark, docs_of, weak):
 def test_exact_rows_kept(spark, docs_of):
     docs = docs_of(TEXTS).unionByName(docs_of(["ab"], first=6)).unionByName(docs_of(["zz"], first=6))
     docs = docs.unionByName(docs_of(["q", "q"]).withColumn("doc_id", F.lit(None).cast("long")))
-    kept = exact_dedup.deduplicate(docs)
+    kept = exact_dedup.deduplicate(spark, docs)
     assert kept.columns == docs.columns
     rows = [(r.doc_id, r.text) for r in kept.collect()]
     assert sorted(rows, key=str) == sorted(
