@@ -27,9 +27,10 @@ BASE = ("assign", "access", "hex")
 LONG_ACCESS = r"AKIA[A-Z0-9]{12,}"
 LONG_HEX = r"[0-9a-f]{32,}"
 # Weak parts.
-IDENT = r"(?i:client|account|tenant|user|access)[_-]?(?i:key[_-]?)?(?i:id)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9_.@-]{4,128}"
-BLOB = r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/_-]{24,88}={0,2}(?![A-Za-z0-9+/=_-])"
-ENDPOINT = r"(?i:https?|wss?|postgres|mysql|mongodb|redis|amqp)://[A-Za-z0-9._~:@%/?=&-]{4,512}"
+IDENT = r"(?i:client|account|tenant|user|access)[_-]?(?i:key[_-]?)?(?i:id)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9_.@-]{4,}"
+# A value may follow an equals sign directly; one after it is padding only where the value ends.
+BLOB = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{24,}+={0,2}(?![A-Za-z0-9+/=_-])"
+ENDPOINT = r"(?i:https?|wss?|postgres|mysql|mongodb|redis|amqp)://[A-Za-z0-9._~:@%/?=&-]{4,}"
 WEAK = ("ident", "blob", "endpoint")
 KINDS = BASE + WEAK
 ROLE = {"assign": "secret", "access": "ident", "hex": "secret", "ident": "ident", "blob": "secret", "endpoint": "endpoint"}
@@ -85,15 +86,20 @@ def linked(spots: DataFrame, scope: int = SCOPE) -> DataFrame:
     roles = [ROLE[k] for k in KINDS]
     role = F.get(F.array(*[F.lit(r) for r in roles]), F.col("kind"))
     weak = F.col("kind") >= len(BASE)
-    # A weak part within a base span is that span again.
+    # A weak part within a base span is that span again, as is the value of an ident (with its padding).
     by, place = Window.partitionBy("row"), ("start", "kind", "end")
     earlier = by.orderBy(*place).rowsBetween(Window.unboundedPreceding, -1)
     later = by.orderBy(*[F.desc(c) for c in place]).rowsBetween(Window.unboundedPreceding, -1)
     spots = spots.withColumns(
-        {"base_end": F.max(F.when(~weak, F.col("end"))).over(earlier), "base_start": F.min(F.when(~weak, F.col("start"))).over(later)}
+        {
+            "base_end": F.max(F.when(~weak, F.col("end"))).over(earlier),
+            "base_start": F.min(F.when(~weak, F.col("start"))).over(later),
+            "ident_end": F.max(F.when(F.col("kind") == KINDS.index("ident"), F.col("end"))).over(earlier),
+        }
     )
     apart = (F.coalesce("base_end", F.lit(-1)) <= F.col("start")) & (F.coalesce("base_start", F.col("end")) >= F.col("end"))
-    spots = spots.where(~weak | apart).withColumn("role", role)
+    value = (F.col("kind") == KINDS.index("blob")) & (F.coalesce("ident_end", F.lit(-1)) >= F.greatest(F.col("start") + 1, F.col("end") - 2))
+    spots = spots.where(~weak | (apart & ~value)).withColumn("role", role)
     bin_of = lambda c: F.call_function("div", c, F.lit(scope))
     sides = F.explode(F.array(*[F.struct(F.lit(n).alias("side"), F.col(c).alias("at")) for n, c in enumerate(("end", "start"))]))
     index = spots.select("row", "role", sides.alias("s")).select("row", "role", "s.side", bin_of(F.col("s.at")).alias("bin"), "s.at")
