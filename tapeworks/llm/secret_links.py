@@ -3,9 +3,11 @@
 Three patterns give the base spans. Parts that mean little alone (identifiers,
 random-looking values, endpoints) are candidates; they are reported only where
 the parts that complete a credential lie within ``SCOPE`` code points in the
-same document. Parts meet by an interval join on bins of that width. Per bin
-only the least and greatest position of each role is kept, which decides "some
-part within the scope" exactly, so dense texts make no pairs.
+same document. Parts apart meet by an interval join on bins of that width. Per
+bin only the least and greatest position of each role is kept, which decides
+"some part within the scope" exactly, so dense texts make no pairs. Parts that
+overlap or contain each other, as a secret in a URL, have no distance; running
+bounds of each role find them.
 
 A text is read by regular expressions only. Where the matches lie follows from
 the lengths of the pieces between them, summed by a window over the matches.
@@ -87,6 +89,7 @@ def linked(spots: DataFrame, scope: int = SCOPE) -> DataFrame:
     role = F.get(F.array(*[F.lit(r) for r in roles]), F.col("kind"))
     weak = F.col("kind") >= len(BASE)
     # A weak part within a base span is that span again, as is the value of an ident (with its padding).
+    # An endpoint never lies within one; it may hold some.
     by, place = Window.partitionBy("row"), ("start", "kind", "end")
     earlier = by.orderBy(*place).rowsBetween(Window.unboundedPreceding, -1)
     later = by.orderBy(*[F.desc(c) for c in place]).rowsBetween(Window.unboundedPreceding, -1)
@@ -99,7 +102,15 @@ def linked(spots: DataFrame, scope: int = SCOPE) -> DataFrame:
     )
     apart = (F.coalesce("base_end", F.lit(-1)) <= F.col("start")) & (F.coalesce("base_start", F.col("end")) >= F.col("end"))
     value = (F.col("kind") == KINDS.index("blob")) & (F.coalesce("ident_end", F.lit(-1)) >= F.greatest(F.col("start") + 1, F.col("end") - 2))
-    spots = spots.where(~weak | (apart & ~value)).withColumn("role", role)
+    whole = F.col("kind") == KINDS.index("endpoint")
+    spots = spots.where(~weak | whole | (apart & ~value)).withColumn("role", role)
+    # Overlap: a part that starts no later and ends behind this start, or starts later but before this end.
+    touches = lambda r: F.when(
+        (F.max(F.when(F.col("role") == r, F.col("end"))).over(earlier) > F.col("start"))
+        | (F.min(F.when(F.col("role") == r, F.col("start"))).over(later) < F.col("end")),
+        F.lit(r),
+    )
+    spots = spots.withColumn("touching", F.array_compact(F.array(*[touches(r) for r in sorted(set(roles))])))
     bin_of = lambda c: F.call_function("div", c, F.lit(scope))
     sides = F.explode(F.array(*[F.struct(F.lit(n).alias("side"), F.col(c).alias("at")) for n, c in enumerate(("end", "start"))]))
     index = spots.select("row", "role", sides.alias("s")).select("row", "role", "s.side", bin_of(F.col("s.at")).alias("bin"), "s.at")
@@ -116,21 +127,22 @@ def linked(spots: DataFrame, scope: int = SCOPE) -> DataFrame:
             ]
         )
     )
-    asked = spots.where(weak).select("row", "kind", "start", "end", looks.alias("l")).select("row", "kind", "start", "end", "l.*")
+    part = ["row", "kind", "start", "end", "touching"]
+    asked = spots.where(weak).select(*part, looks.alias("l")).select(*part, "l.*")
     near = (
         F.when(F.col("look") == 0, F.col("high") >= start - scope)
         .when(F.col("look") == 1, F.col("low") <= start)
         .when(F.col("look") == 2, F.col("high") >= end)
         .otherwise(F.col("low") <= end + scope)
     )
-    met = asked.join(index, ["row", "side", "bin"]).where(near).groupBy("row", "kind", "start", "end")
-    met = met.agg(F.collect_set("role").alias("roles"))
+    met = asked.join(index, ["row", "side", "bin"], "left").groupBy(*part)
+    met = met.agg(F.array_union("touching", F.collect_set(F.when(near, F.col("role")))).alias("roles"))
     enough = F.lit(False)
     for n, kind in enumerate(KINDS):
         for need in NEEDS.get(kind, ()):
             every = F.lit(True)
-            for part in need:
-                every = every & F.array_contains("roles", part)
+            for other in need:
+                every = every & F.array_contains("roles", other)
             enough = enough | ((F.col("kind") == n) & every)
     return met.where(enough).select("row", "kind", "start", "end")
 
