@@ -33,9 +33,10 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
 
+# Numbers have any groups, only few digits make none; accounts end in a group of 1 to 4, see ``account_end``.
 LOOSE = re.compile(
-    r"(?P<number>(?<![\w.+])\(?[0-9]{2,4}\)?(?:[\x20.-]{1,2}[0-9]{2,6}){1,4}(?![\w.]*[\w]))"
-    r"|(?P<account>(?<!\w)[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?!\w))"
+    r"(?P<number>(?<![\w.+])\(?[0-9]++\)?(?:[\x20.-]{1,2}[0-9]++)+(?!\.*\w))"
+    r"|(?P<account>(?<!\w)[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?!\w))"
     r"|(?P<name>(?<!\w)(?:Mr|Mrs|Ms|Dr|Herr|Frau|Mme|Señora?)\.?\x20[A-ZÀ-Þ]\w{1,30}(?:\x20[A-ZÀ-Þ]\w{1,30})?)"
     r"|(?P<address>(?<!\w)[0-9]{1,5}\x20(?:[A-Z]\w{1,30}\x20){1,3}(?:Street|St|Road|Rd|Avenue|Ave|Lane|Drive)(?!\w))"
 )
@@ -47,8 +48,14 @@ CONTEXT = frozenset(
 )
 AGAINST = frozenset("isbn version page pages chapter section figure table total price order item vol no year".split())
 AROUND = 40
+LEAST_DIGITS = 4
+# The longest phone numbers and national ids.
+MOST_DIGITS = 15
+LONGEST_ACCOUNT = 34
+US_FORM = re.compile(r"\(?[0-9]{3}\)?[\x20.-]{1,2}[0-9]{3,4}[\x20.-][0-9]{3,5}|[0-9]{3}-[0-9]{2}-[0-9]{4}")
+DATE = re.compile(r"[0-9]{1,2}[\x20.-][0-9]{1,2}[\x20.-](?:19|20)[0-9]{2}|(?:19|20)[0-9]{2}[\x20.-][0-9]{1,2}[\x20.-][0-9]{1,2}")
 # One row of weights per combination of features; see ``features``.
-FEATURES = 12
+FEATURES = 13
 THRESHOLD = 0.8
 _WORD = re.compile(r"[\w-]+")
 
@@ -94,15 +101,35 @@ def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
     return spans
 
 
+def account_end(span: str) -> int:
+    """Where the account number at the start of ``span`` ends, 0 if it is none.
+
+    Words in capitals may follow a spaced number. The longest prefix of whole
+    groups with right check digits decides; without one, all groups count but
+    a short last one of letters.
+    """
+    ends = [m.start() for m in re.finditer("\x20", span)] + [len(span)]
+    for end in reversed(ends):
+        compact = span[:end].replace(" ", "")
+        if 15 <= len(compact) <= LONGEST_ACCOUNT and int("".join(str(int(c, 36)) for c in compact[4:] + compact[:4])) % 97 == 1:
+            return end
+    last = span[ends[-2] + 1 :] if len(ends) > 1 else ""
+    end = ends[-2] if last.isalpha() and len(last) < 4 else len(span)
+    return end if len(span[:end].replace(" ", "")) <= LONGEST_ACCOUNT else 0
+
+
+def number_form(digits: int, span: str) -> int:
+    """1 for phone and id numbers of a known shape, 0 for dates and totals that none has, -1 for other shapes."""
+    if digits < 7 or digits > MOST_DIGITS or DATE.fullmatch(span):
+        return 0
+    return 1 if digits <= 12 and US_FORM.fullmatch(span) else -1
+
+
 def votes(kind: str, span: str, before: list[str], after: list[str]) -> tuple[int, ...]:
     """Each labeler's vote: 1 personal, 0 not, -1 none."""
     around = set(before) | set(after)
     digits = len(re.findall("[0-9]", span))
-    form = (
-        (1 if 7 <= digits <= 12 and re.fullmatch(r"\(?[0-9]{3}\)?[\x20.-]{1,2}[0-9]{3,4}[\x20.-][0-9]{3,5}|[0-9]{3}-[0-9]{2}-[0-9]{4}", span) else 0)
-        if kind == "number"
-        else (1 if kind == "account" and digits >= 10 else -1)
-    )
+    form = number_form(digits, span) if kind == "number" else (1 if kind == "account" and digits >= 10 else -1)
     gazetteer = 1 if kind == "name" and any(w.lower() in FIRST_NAMES for w in span.split()) else (1 if kind == "address" else -1)
     context = 1 if around & CONTEXT else -1
     against = 0 if around & AGAINST else -1
@@ -117,6 +144,7 @@ def features(kind: str, span: str, before: list[str], after: list[str]) -> int:
     flags = [kind == k for k in KINDS]
     flags += [digits >= 7, digits >= 10, "-" in span or "." in span, "(" in span]
     flags += [bool(set(near) & CONTEXT), bool(set(before + after) & CONTEXT), bool(set(before + after) & AGAINST), len(span) > 20]
+    flags += [kind == "number" and digits > MOST_DIGITS]
     return sum(1 << i for i, flag in enumerate(flags) if flag)
 
 
@@ -125,16 +153,25 @@ def candidates(text: str, taken: list[tuple[int, int]]):
     if not DIGIT.search(text) and not any(t in text for t in ("Mr", "Ms", "Dr", "Herr", "Frau", "Mme", "Señor")):
         return
     taken = sorted(taken)
-    at = 0
-    for match in LOOSE.finditer(text):
+    at = free = 0
+    while match := LOOSE.search(text, free):
         start, end = match.span()
+        kind = match.lastgroup
+        if kind == "account":
+            end = start + account_end(match.group())
+        elif kind == "number" and end - start < 3 * LEAST_DIGITS and len(DIGIT.findall(match.group())) < LEAST_DIGITS:
+            end = start
+        if end == start:
+            free = start + 1
+            continue
+        free = end
         while at < len(taken) and taken[at][1] <= start:
             at += 1
         if at < len(taken) and taken[at][0] < end:
             continue
         before = _WORD.findall(text[max(0, start - AROUND) : start].lower())
         after = _WORD.findall(text[end : end + AROUND].lower())
-        kind, span = match.lastgroup, match.group()
+        span = text[start:end]
         yield kind, start, end, votes(kind, span, before, after), features(kind, span, before, after)
 
 

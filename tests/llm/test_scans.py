@@ -84,6 +84,37 @@ def test_personal_data_added(spark, docs_of):
     assert all(rows[i] == "" for i in range(60, 120))
 
 
+IBANS = ["DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32", "FR14 2004 1010 0505 0001 3M02 606", "ES91 2100 0418 4502 0005 1332"]
+PHONES = ["030 12 34 56 78 90 12", "0171-2345678", "03301 123456", "(030) 1234567", "01 23 45 67 89", "06-12-34-56-78", "912 34 56 78", "91 234 56 78"]
+
+
+def test_personal_candidates():
+    spans = lambda text: [(k, text[a:b]) for k, a, b, *_ in pii.candidates(text, [])]
+    for iban in IBANS:
+        for form in (iban, iban.replace(" ", "")):
+            assert spans(f"IBAN {form}, please") == spans(f"IBAN {form} IN USD") == [("account", form)]
+            assert spans(f"{form} 0171 2345678") == [("account", form), ("number", "0171 2345678")]
+    for phone in PHONES:
+        assert spans(f"call {phone}.") == [("number", phone)]
+        assert pii.votes("number", phone, [], [])[0] == -1
+    assert [pii.votes("number", n, [], [])[0] for n in ("555-123-4567", "12.05.1999", "10 20", "1234 5678 9012 3456 7")] == [1, 0, 0, 0]
+    assert spans("1 22 Oak Street") == [("address", "22 Oak Street")]
+    assert spans("1 2 3") == spans("XX12" + "A" * 31) == []
+    assert spans("1.1" * 50000 + "x") == []
+
+
+def test_personal_data_of_other_countries(spark, docs_of):
+    names = ("telefon", "téléphone", "teléfono")
+    found = [f"{names[i % 3]} {p} bitte" for i in range(6) for p in PHONES]
+    found += [f"iban {form} here" for _ in range(3) for iban in IBANS for form in (iban, iban.replace(" ", ""))]
+    other = [f"see version 10 {i:02d} 1999" for i in range(60)] + [f"page 10 {i:02d} of table 3.{1000 + i}" for i in range(60)]
+    rows = {r.doc_id: r.spans for r in pii.report(spark, docs_of(found + other)).collect()}
+    for i, text in enumerate(found):
+        start, end = text.index(" ") + 1, text.rindex(" ")
+        assert rows[i] == f"{'account' if text.startswith('iban') else 'number'}:{start}:{end}", text
+    assert not any(rows[i] for i in range(len(found), len(found) + len(other)))
+
+
 def test_labelers_are_estimated():
     chance = random.Random(7)
     true = Counter()
