@@ -23,7 +23,7 @@ from tapeworks.llm.common import whole_text, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 LEVELS = ("domain", "lang", "source")
-# Production parameters of the registered query and the pipeline.
+# Parameters of the registered query; the pipeline has its own share and epochs, see ``corpus_pipeline``.
 SHARE = 0.7  # of the corpus's tokens
 EPOCHS = 2
 SEED = "mix-1"
