@@ -95,3 +95,17 @@ def test_stages_keep_columns(spark, docs_of):
             if name != "best_fit_packing":
                 assert found.columns == docs.columns
             assert (found.count() > 0) == (given is docs)
+
+
+def test_rows_without_id_are_judged_one_by_one(spark, docs_of):
+    from pyspark.sql import functions as F
+
+    good = [" ".join(f"w{i}x{j}" for j in range(60 + i)) for i in range(40)]
+    docs = docs_of(["too short", None, *good]).withColumn("lang", F.when(F.col("doc_id") % 2 == 0, F.col("lang")))
+    for same in (None, 7):
+        given = docs.withColumn("doc_id", F.lit(same).cast("long"))
+        kept = [r.text for r in corpus_pipeline.quality(spark, given, SF).collect()]
+        assert sorted(kept) == sorted(good)
+        taken = corpus_pipeline.mixed(spark, given.where("length(text) > 20"), SF).collect()
+        words = sum(len(t.split()) for t in good)
+        assert 0 < sum(len(r.text.split()) for r in taken) <= corpus_pipeline.MIX_SHARE * words
