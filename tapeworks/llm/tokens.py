@@ -11,6 +11,8 @@ import os
 import struct
 import unicodedata
 
+import numpy as np
+
 VOCABULARY = "word_bpe_49k.json"
 # Entries of a cache before it starts afresh; at about 200 bytes each.
 CACHED = 700_000
@@ -88,3 +90,27 @@ def encoder(path: str) -> Encoder:
     if path not in _encoders:
         _encoders[path] = Encoder(path)
     return _encoders[path]
+
+
+class RankEncoder:
+    """Ids of the byte-level vocabulary ``name``, which is given as a tokenizer file and as ranks.
+
+    The ranks give the ids of the tokenizer file for all text between special
+    tokens; ``special`` texts are cut out first, as the tokenizer does.
+    """
+
+    def __init__(self, name: str):
+        import base64
+        import json
+
+        import public_tokenizers
+        import tiktoken
+
+        with open(public_tokenizers.path(f"{name}.tiktoken"), "rb") as lines:
+            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+        with open(public_tokenizers.path(f"{name}.json"), encoding="utf-8") as file:
+            self.special = {added["content"]: added["id"] for added in json.load(file)["added_tokens"]}
+        self._encoding = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=self.special)
+
+    def ids(self, text: str) -> np.ndarray:
+        return self._encoding.encode_to_numpy(text, allowed_special="all")
