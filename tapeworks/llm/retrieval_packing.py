@@ -202,7 +202,7 @@ def in_powers(spans: list[tuple[int, int, int]]) -> list[list[tuple[int, int, in
     return found
 
 
-def _pack(weights: Weights, window: int, keep: bool):
+def _pack(weights: Weights, window: int, keep: bool, shard_passages: int):
     """Rows ``PIECES`` (and ``ids``) of the passages in sorted order."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,7 +243,7 @@ def _pack(weights: Weights, window: int, keep: bool):
                 if len(passage):
                     shard.append(((doc_id, tokens, n_whole * window), passage))
                     size += len(passage)
-                if len(shard) >= SHARD_PASSAGES or size >= SHARD_IDS:
+                if len(shard) >= shard_passages or size >= SHARD_IDS:
                     windows, over = fill([p for _, p in shard], weights, window)
                     for spans in windows:
                         add(spans, shard)
@@ -269,6 +269,7 @@ def pack(
     id_col: str = "doc_id",
     text_col: str = "text",
     with_ids: bool = False,
+    shard_passages: int = SHARD_PASSAGES,
 ) -> DataFrame:
     """``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset`` of every piece, and its ``ids``.
 
@@ -292,4 +293,4 @@ def pack(
     schema = f"{PASSAGES.format(kind=kind)}, row long, " + ", ".join(f"{t} int" for t in terms)
     placed = passages.mapInArrow(_sort_terms(weights), schema).repartitionByRange(*order).sortWithinPartitions(*order)
     result = PIECES.format(kind=kind) + ", ids binary" * with_ids
-    return placed.drop(*terms, "row").mapInArrow(_pack(weights, window, with_ids), result)
+    return placed.drop(*terms, "row").mapInArrow(_pack(weights, window, with_ids, shard_passages), result)

@@ -63,10 +63,9 @@ def check(rows, texts, plain, window, tasks):
 
 
 @pytest.mark.parametrize("window", [16, 100, 1024])
-def test_small(spark, docs_of, plain, window, monkeypatch):
-    monkeypatch.setattr(retrieval_packing, "SHARD_PASSAGES", 7)
+def test_small(spark, docs_of, plain, window):
     docs = docs_of(TEXTS + ["a b"] * 40)
-    rows = retrieval_packing.pack(spark, docs, window).collect()
+    rows = retrieval_packing.pack(spark, docs, window, shard_passages=7).collect()
     check(rows, [(r.doc_id, r.text) for r in docs.collect()], plain, window, 8)
 
 
