@@ -1,6 +1,6 @@
 """The corpus queries: name -> (query, SQL with the same result or None)."""
 
-from tapeworks.llm import exact_dedup, mixing, ngram_join, packing, pii, prefix_trie, quality_rules, retrieval_packing, secret_links, substring_dedup, token_codes, url_cascade
+from tapeworks.llm import exact_dedup, mixing, ngram_join, packing, pii, prefix_trie, quality_rules, retrieval_packing, secret_links, spelling, substring_dedup, token_codes, url_cascade
 from tapeworks.llm.common import documents, prepare
 
 
@@ -45,6 +45,10 @@ def op5_substring_dedup(spark, sf_dir):
     return substring_dedup.report(spark, documents(spark, sf_dir))
 
 
+def op11_spelling_variants(spark, sf_dir):
+    return spelling.variants(spark, documents(spark, sf_dir), deleted=spelling.DELETED)
+
+
 def op12_prefix_trie(spark, sf_dir):
     prepare(spark)
     return prefix_trie.trie(spark, *prefix_trie.rebuilt(spark, spark.read.parquet(f"{sf_dir}/conversations.parquet")))
@@ -65,6 +69,7 @@ QUERIES = {
     "op4_secret_links": (op4_secret_links, None),
     "op9_ngram_join": (op9_ngram_join, ngram_join.OP9_SQL),
     "op5_substring_dedup": (op5_substring_dedup, substring_dedup.OP5_SQL),
+    "op11_spelling_variants": (op11_spelling_variants, spelling.OP11_SQL),
     "op12_prefix_trie": (op12_prefix_trie, prefix_trie.OP12_SQL),
     "op13_retrieval_packing": (op13_retrieval_packing, None),
 }
