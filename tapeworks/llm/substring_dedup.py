@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeworks.llm.common import whole_text, written
-from tapeworks.llm.hashing import WORDS, runs, stretches
+from tapeworks.llm.hashing import WordHashes, runs, stretches, task_words
 
 WINDOW = 35
 RUN = 8
@@ -61,22 +61,28 @@ def samples(hashes: np.ndarray, window: int, run: int) -> tuple[np.ndarray, np.n
 def _samples(window: int, run: int):
     """Of every sample its hash, its stretch's hash, first window start and number of windows."""
 
+    def samples_of(batch: pa.RecordBatch, hashed: WordHashes) -> pa.RecordBatch | None:
+        parts = []
+        for k, c, text in zip(*(column.to_pylist() for column in batch.columns)):
+            words = words_of(text)
+            if len(words) < window:
+                continue
+            named = hashed.of(words)
+            hashes = runs(named, run)
+            place, first, last = samples(hashes, window, run)
+            leaf = stretches(named, first, last + window)
+            parts.append((hashes[place].view(np.int64), leaf.view(np.int64), np.full(len(place), k), np.full(len(place), c), first, last - first + 1))
+        if not parts:
+            return None
+        columns = [np.concatenate(c) for c in zip(*parts)]
+        kinds = [pa.int64()] * 4 + [pa.int32()] * 2
+        return pa.RecordBatch.from_arrays([pa.array(c.astype(t.to_pandas_dtype()), t) for c, t in zip(columns, kinds)], names=["key", "leaf", "k", "c", "first", "n"])
+
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            parts = []
-            for k, c, text in zip(*(column.to_pylist() for column in batch.columns)):
-                words = words_of(text)
-                if len(words) < window:
-                    continue
-                named = WORDS.of(words)
-                hashes = runs(named, run)
-                place, first, last = samples(hashes, window, run)
-                leaf = stretches(named, first, last + window)
-                parts.append((hashes[place].view(np.int64), leaf.view(np.int64), np.full(len(place), k), np.full(len(place), c), first, last - first + 1))
-            if parts:
-                columns = [np.concatenate(c) for c in zip(*parts)]
-                kinds = [pa.int64()] * 4 + [pa.int32()] * 2
-                yield pa.RecordBatch.from_arrays([pa.array(c.astype(t.to_pandas_dtype()), t) for c, t in zip(columns, kinds)], names=["key", "leaf", "k", "c", "first", "n"])
+        with task_words() as hashed:
+            for batch in batches:
+                if found := samples_of(batch, hashed):
+                    yield found
 
     return find
 
@@ -187,21 +193,23 @@ def remove_repeats(
 
     A word goes if a window that covers it starts with the same words anywhere
     else, in the same text or another. Null texts have no words; texts of fewer
-    words than a window lose none. Rows that repeat an id are texts of their
-    own, told apart by a checksum; null ids are treated alike.
+    words than a window lose none. Rows that repeat an id, or have none, are
+    texts of their own, told apart by 128 bits of id and text.
+    ``tree`` changes how repeats are found, not which.
     """
     if not 0 < run <= window:
         raise ValueError("a sample must fit into a window")
     kind = dict(docs.dtypes)[id_col]
     text = whole_text(text_col)
-    texts = docs.select(
-        F.coalesce(F.col(id_col).cast("bigint"), F.lit(0)).alias("k"), F.crc32(text).alias("c"), F.col(id_col).alias("doc_id"), text.alias("text")
-    )
+    # A row's name is 128 bits of its id and text; a null id hashes as no id at all.
+    name = [F.xxhash64(id_col, text), F.xxhash64(F.lit(5), text, id_col)]
+    texts = docs.select(name[0].alias("k"), name[1].alias("c"), F.col(id_col).alias("doc_id"), text.alias("text"))
     row = ["k", "c"]
     found = texts.select(*row, "text").mapInArrow(_samples(window, run), "key long, leaf long, k long, c long, first int, n int")
     found = written(spark, found, "samples")
     often = found.groupBy("key").agg(F.count("*").alias("times")).where("times > 1")
-    repeated = found.join(often, "key")
+    # Written, so that a frequent sample's rows meet only by leaf, counted by each task first.
+    repeated = written(spark, found.join(often, "key"), "repeated")
     leaves = repeated.groupBy("key", "leaf", "times", "n").agg(F.count("*").alias("held"), *[F.first(c).alias(c) for c in (*row, "first")])
     leaves = written(spark, leaves, "leaves")
 

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -53,6 +54,18 @@ def test_spliced(spark, docs_of, seed):
     check(spark, docs, window=10, run=[4, 10, 1][seed], tree=[4000, 1, 5][seed])
 
 
+def test_rows_of_one_checksum_and_one_id(spark):
+    """Texts of one 32-bit checksum, one of them with a copy, all without ids, of one id, or of null and 0."""
+    # Two hundred thousand endings of each text: some nine agree.
+    own, shared = (" ".join(f"{c}{i}" for i in range(45)) for c in "us")
+    words = [hashlib.md5(str(n).encode()).hexdigest() for n in range(200_000)]
+    ends = {zlib.crc32(f"{own} {w}".encode()): w for w in words}
+    m, n = next((ends[c], w) for w in words if (c := zlib.crc32(f"{shared} {w}".encode())) in ends)
+    for one, other in ((None, None), (7, 7), (None, 0), (0, None)):
+        rows = [(9, f"{shared} copy"), (one, f"{own} {m}"), (other, f"{shared} {n}")]
+        assert check(spark, spark.createDataFrame(rows, "doc_id long, text string")) == 90
+
+
 def test_nothing(spark, docs_of):
     assert substring_dedup.report(spark, docs_of(["x"]).limit(0)).collect() == []
 
