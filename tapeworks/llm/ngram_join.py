@@ -31,13 +31,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tapeworks.llm.common import components, maybe_among, whole_text, written
-from tapeworks.llm.hashing import WORDS, mix, runs
+from tapeworks.llm.hashing import WORDS, mix, runs, task_words
 
 SHINGLE = 4
 PERCENT = 85
 BLOCK = 400  # documents
 PIVOTS = 24
 SLICE = 4096  # n-grams of one product
+MET = 20_000  # digests of sets that a task remembers
 
 
 def shingle_set(text: str, length: int = SHINGLE) -> np.ndarray:
@@ -123,11 +124,12 @@ def signatures(grams: np.ndarray, classes: Classes) -> tuple[np.ndarray, np.ndar
 
 def _sets(length: int):
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingle_set(text, length) for text in batch.column(1).to_pylist()]
-            names = [digest(s) for s in sets]
-            columns = [[len(s) for s in sets], [a for a, _ in names], [b for _, b in names]]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, pa.int64()) for c in columns]], names=["doc_id", "n_shingles", "s1", "s2"])
+        with task_words():
+            for batch in batches:
+                sets = [shingle_set(text, length) for text in batch.column(1).to_pylist()]
+                names = [digest(s) for s in sets]
+                columns = [[len(s) for s in sets], [a for a, _ in names], [b for _, b in names]]
+                yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, pa.int64()) for c in columns]], names=["doc_id", "n_shingles", "s1", "s2"])
 
     return describe
 
@@ -136,24 +138,31 @@ def _keys(length: int, percent: int):
     def together(rows):
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*rows)], names=["key", "above", "doc_id"])
 
+    def keys_of(batch: pa.RecordBatch, classes: Classes, met: set) -> Iterator[pa.RecordBatch]:
+        rows, size = [], 0
+        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            grams = shingle_set(text, length)
+            name = digest(grams)
+            # Equal sets that a task meets are one row of the matrix already here.
+            if doc_id is None or not len(grams) or name in met:
+                continue
+            if len(met) >= MET:
+                met.clear()
+            met.add(name)
+            keys, above = signatures(grams, classes)
+            rows.append((keys, above, np.full(len(keys), doc_id, np.int64)))
+            size += len(keys)
+            if size > 1 << 18:
+                yield together(rows)
+                rows, size = [], 0
+        if rows:
+            yield together(rows)
+
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes, met = Classes(percent), set()
-        for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                grams = shingle_set(text, length)
-                name = digest(grams)
-                # Equal sets of a task are one row of the matrix already here.
-                if doc_id is None or not len(grams) or name in met:
-                    continue
-                met.add(name)
-                keys, above = signatures(grams, classes)
-                rows.append((keys, above, np.full(len(keys), doc_id, np.int64)))
-                if sum(len(r[0]) for r in rows) > 1 << 18:
-                    yield together(rows)
-                    rows = []
-            if rows:
-                yield together(rows)
+        with task_words():
+            for batch in batches:
+                yield from keys_of(batch, classes, met)
 
     return emit
 
@@ -202,16 +211,17 @@ def _verify(length: int, percent: int):
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, ids, texts = None, [], []
-        for batch in batches:
-            for block, doc_id, text in zip(*(column.to_pylist() for column in batch.columns)):
-                if block != now:
-                    if len(ids) > 1:
-                        yield flush(ids, texts)
-                    now, ids, texts = block, [], []
-                ids.append(doc_id)
-                texts.append(text)
-        if len(ids) > 1:
-            yield flush(ids, texts)
+        with task_words():
+            for batch in batches:
+                for block, doc_id, text in zip(*(column.to_pylist() for column in batch.columns)):
+                    if block != now:
+                        if len(ids) > 1:
+                            yield flush(ids, texts)
+                        now, ids, texts = block, [], []
+                    ids.append(doc_id)
+                    texts.append(text)
+            if len(ids) > 1:
+                yield flush(ids, texts)
 
     return verify
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tapeworks.llm.common import whole_text, written
-from tapeworks.llm.tokens import encoder, vocabulary_path
+from tapeworks.llm.tokens import VOCABULARY, Encoder, encoder
 
 LIMIT = 4096
 END = 1
@@ -28,34 +28,43 @@ SALTS = 64
 RANKS_PER_BLOCK = 4096
 
 
-def _pieces(path: str, limit: int, end: int):
+def _pieces(vocabulary: str, limit: int, end: int):
+    last = int(end).to_bytes(4, "little")
+
+    def pieces_of(batch: pa.RecordBatch, encode: Encoder) -> pa.RecordBatch:
+        ids, piece, start, length, crc = [], [], [], [], []
+        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            coded = memoryview(encode.ids(text) + last)
+            for n, at in enumerate(range(0, len(coded), 4 * limit)):
+                part = coded[at : at + 4 * limit]
+                ids.append(doc_id)
+                piece.append(n)
+                start.append(at // 4)
+                length.append(len(part) // 4)
+                crc.append(zlib.crc32(part))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(ids, batch.schema.field(0).type), pa.array(piece, pa.int32())]
+            + [pa.array(c, pa.int64()) for c in (start, length, crc)],
+            names=["doc_id", "piece", "start", "length", "ids_crc32"],
+        )
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, last = encoder(path), int(end).to_bytes(4, "little")
-        for batch in batches:
-            ids, piece, start, length, crc = [], [], [], [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                coded = memoryview(encode.ids(text) + last)
-                for n, at in enumerate(range(0, len(coded), 4 * limit)):
-                    part = coded[at : at + 4 * limit]
-                    ids.append(doc_id)
-                    piece.append(n)
-                    start.append(at // 4)
-                    length.append(len(part) // 4)
-                    crc.append(zlib.crc32(part))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, batch.schema.field(0).type), pa.array(piece, pa.int32())]
-                + [pa.array(c, pa.int64()) for c in (start, length, crc)],
-                names=["doc_id", "piece", "start", "length", "ids_crc32"],
-            )
+        with encoder(vocabulary) as encode:
+            for batch in batches:
+                yield pieces_of(batch, encode)
 
     return cut
 
 
-def pieces(docs: DataFrame, limit: int = LIMIT, end: int = END, vocabulary: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, piece, start, length, ids_crc32``: documents cut where longer than ``limit`` tokens."""
+def pieces(docs: DataFrame, limit: int = LIMIT, end: int = END, vocabulary: str = VOCABULARY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, piece, start, length, ids_crc32``: documents cut where longer than ``limit`` tokens.
+
+    Null and empty texts are one piece, the end id alone; rows that repeat a
+    document, or have no id, are cut once each.
+    """
     kind = dict(docs.dtypes)[id_col]
     return docs.select(F.col(id_col).alias("doc_id"), whole_text(text_col).alias("text")).mapInArrow(
-        _pieces(vocabulary or vocabulary_path(), limit, end),
+        _pieces(vocabulary, limit, end),
         f"doc_id {kind}, piece int, start long, length long, ids_crc32 long",
     )
 

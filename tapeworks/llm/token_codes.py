@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tapeworks.llm.common import whole_text
-from tapeworks.llm.tokens import encoder, vocabulary_path
+from tapeworks.llm.tokens import VOCABULARY, encoder
 from tapeworks.session import shared_dir
 
 END = 2
@@ -73,9 +73,9 @@ def decode(levels: list[bytes], bitmaps: list[bytes]) -> np.ndarray:
     return above
 
 
-def _segments(path: str, end: int, target: int):
+def _segments(vocabulary: str, end: int, target: int):
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, last = encoder(path), int(end).to_bytes(4, "little")
+        last = int(end).to_bytes(4, "little")
         docs, starts, parts, size, number, part = [], [], [], 0, 0, 0
 
         def segment():
@@ -88,16 +88,17 @@ def _segments(path: str, end: int, target: int):
             kinds = [pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.binary(), *[pa.list_(pa.binary())] * 3]
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row.values(), kinds)], names=list(row))
 
-        for batch in batches:
-            for doc_id, text, part in zip(*(column.to_pylist() for column in batch.columns)):
-                coded = coder.ids(text) + last
-                docs.append(doc_id)
-                starts.append(size)
-                parts.append(coded)
-                size += len(coded) // 4
-                if size >= target:
-                    yield segment()
-                    docs, starts, parts, size, number = [], [], [], 0, number + 1
+        with encoder(vocabulary) as coder:
+            for batch in batches:
+                for doc_id, text, part in zip(*(column.to_pylist() for column in batch.columns)):
+                    coded = coder.ids(text) + last
+                    docs.append(doc_id)
+                    starts.append(size)
+                    parts.append(coded)
+                    size += len(coded) // 4
+                    if size >= target:
+                        yield segment()
+                        docs, starts, parts, size, number = [], [], [], 0, number + 1
         if docs:
             yield segment()
 
@@ -109,7 +110,7 @@ def write(
     docs: DataFrame,
     path: str,
     end: int = END,
-    vocabulary: str | None = None,
+    vocabulary: str = VOCABULARY,
     id_col: str = "doc_id",
     text_col: str = "text",
     segment_ids: int = SEGMENT_IDS,
@@ -123,7 +124,7 @@ def write(
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), whole_text(text_col).alias("text"))
     ordered = rows.repartitionByRange("doc_id").withColumn("part", F.spark_partition_id())
     ordered = ordered.sortWithinPartitions("doc_id", "text")
-    ordered.mapInArrow(_segments(vocabulary or vocabulary_path(), end, segment_ids), FILE).write.parquet(path)
+    ordered.mapInArrow(_segments(vocabulary, end, segment_ids), FILE).write.parquet(path)
 
 
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

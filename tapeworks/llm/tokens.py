@@ -1,24 +1,29 @@
-"""Token ids of texts, by a public tokenizer and a bounded cache of words.
+"""Token ids of texts, by a public tokenizer and a bounded cache of pieces.
 
-The tokenizer's splitting rule never joins characters across ASCII white space
-and drops it, so a text's ids are those of its white-space separated pieces in
-a row. Pieces repeat, so each is encoded once and then looked up.
+The tokenizer lower-cases a text and cuts it into runs of letters, digits and
+runs of anything else; each piece has its ids whatever is beside it. Pieces
+repeat, so each is encoded once and then looked up. Texts with other than the
+usual letters go through the tokenizer itself.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import struct
-import unicodedata
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 
 VOCABULARY = "word_bpe_49k.json"
-# Entries of a cache before it starts afresh; at about 200 bytes each.
-CACHED = 700_000
+# Bytes of a worker's cache, and of an entry besides its key and value.
+CACHED = 48 << 20
+ENTRY = 110
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
+    """Where this machine has the vocabulary; workers ask for themselves."""
     import public_tokenizers
 
     return public_tokenizers.path(name)
@@ -31,65 +36,78 @@ def _byte_alphabet() -> list[str]:
     return [chr(b) if b in plain else chr(next(moved)) for b in range(256)]
 
 
-class Cache(dict):
-    """What ``make`` gives for a key, kept for keys up to ``longest``; starts afresh when full."""
+# Letters below U+0180 and ASCII: texts of these alone are cut up and lower-cased as the
+# tokenizer does it, where letters are letters, digits are 0-9 and white space is ASCII's.
+_ODD = re.compile("[^\x00-\x7fÀ-ÖØ-öø-įı-ſ]").search
+_CUT = re.compile("'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ſ]+|[0-9]|[^\t-\r 0-9a-zß-öø-ſ]+").findall
 
-    def __init__(self, make, size: int, longest: int):
-        self.make, self.size, self.longest = make, size, longest
 
-    def __missing__(self, key):
-        value = self.make(key)
-        if len(key) <= self.longest:
-            if len(self) >= self.size:
-                self.clear()
-            self[key] = value
-        return value
+class Pieces(dict):
+    """Ids of a piece of text that the tokenizer treats alone, kept within some bytes; starts afresh when full."""
+
+    def __init__(self, make, budget: int = CACHED, longest: int = 64):
+        self.make, self.budget, self.longest, self.left = make, budget, longest, budget
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.make(piece)
+        if len(piece) <= self.longest:
+            self.left -= len(piece) + len(ids) + ENTRY
+            if self.left < 0:
+                self.drop()
+            self[piece] = ids
+        return ids
+
+    def drop(self) -> None:
+        self.clear()
+        self.left = self.budget
 
 
 class Encoder:
     """``ids(text)`` as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, path: str, cached: int = CACHED):
+    def __init__(self, vocabulary: str = VOCABULARY, cached: int = CACHED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self._tokenizer = Tokenizer.from_file(path)
+        self._tokenizer = Tokenizer.from_file(vocabulary if os.sep in vocabulary else vocabulary_path(vocabulary))
         self._model = self._tokenizer.model
         self._alphabet = dict(enumerate(_byte_alphabet()))
-        self._words = Cache(self._word, cached, 64)
-        self._pieces = Cache(self._piece, cached, 40)
+        self._pieces = Pieces(self._piece, cached)
 
-    def _word(self, word: str) -> bytes:
-        """Ids of one run of lower-case letters below U+0180: a single token of the splitting rule."""
-        mapped = word if word.isascii() else word.encode().decode("latin-1").translate(self._alphabet)
-        ids = [t.id for t in self._model.tokenize(mapped)]
+    def _piece(self, piece: str) -> bytes:
+        plain = piece.isascii() and piece.isprintable()
+        ids = [t.id for t in self._model.tokenize(piece if plain else piece.encode().decode("latin-1").translate(self._alphabet))]
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def _piece(self, piece: bytes) -> bytes:
-        text = piece.decode("utf-8", "replace")
-        low = text.lower()
-        core = low.rstrip(".,!?;:")
-        if core.isalpha() and max(core) < "ƀ" and unicodedata.is_normalized("NFC", core):
-            end = low[len(core) :]
-            return self._words[core] + (self._words[end] if len(end) == 1 else self._rest(end) if end else b"")
-        return self._rest(text)
-
     def _rest(self, text: str) -> bytes:
         ids = self._tokenizer.encode(text, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def ids(self, text: str) -> bytes:
-        return b"".join(map(self._pieces.__getitem__, text.encode("utf-8", "replace").split()))
+        if "<|" in text:
+            return self._rest(text)
+        if _ODD(text):
+            # ASCII white space is a border of pieces in any text.
+            words = [w.decode("utf-8", "replace") for w in text.encode("utf-8", "replace").split()]
+            return b"".join(self._rest(w) if _ODD(w) else b"".join(map(self._pieces.__getitem__, _CUT(w.lower()))) for w in words)
+        return b"".join(map(self._pieces.__getitem__, _CUT(text.lower())))
+
+    def drop(self) -> None:
+        self._pieces.drop()
 
 
 _encoders: dict[str, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """One encoder per worker process and vocabulary."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+@contextmanager
+def encoder(vocabulary: str) -> Iterator[Encoder]:
+    """The worker's encoder of a vocabulary, by name or path; what it has cached goes when the task is done."""
+    if vocabulary not in _encoders:
+        _encoders[vocabulary] = Encoder(vocabulary)
+    try:
+        yield _encoders[vocabulary]
+    finally:
+        _encoders[vocabulary].drop()
 
 
 class RankEncoder:

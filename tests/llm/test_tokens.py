@@ -23,7 +23,7 @@ def plain():
 
 
 def test_encoder_equals_tokenizer(plain):
-    encoder = Encoder(vocabulary_path(), cached=50)
+    encoder = Encoder(vocabulary_path(), cached=9000)
     alphabet = "aBcé ÜßñÇ.,!?'s \n\t<>#12Σ́ſƀ"
     chance = random.Random(4)
     texts = TEXTS + ["".join(chance.choice(alphabet) for _ in range(300)) for _ in range(60)]
