@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import zipfile
 from pathlib import Path
@@ -58,6 +59,10 @@ def ship(spark: SparkSession) -> None:
         for source in sorted(package.rglob("*.py")):
             into.write(source, source.relative_to(package.parent))
     spark.sparkContext.addPyFile(str(archive))
+    # Files sent along reach tasks only. The worker that a stateful stream starts beside the driver looks here.
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "").split(os.pathsep)
+    environment["PYTHONPATH"] = os.pathsep.join([str(package.parent), *filter(None, known)])
     _shipped[application] = folder
 
 

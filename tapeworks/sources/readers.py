@@ -34,15 +34,18 @@ def table_frames(
     )
 
 
-def stream_frames(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
+def stream_frames(
+    spark: SparkSession, path: str, files_per_trigger: int | None = None, recv_ts: Column | None = None
+) -> DataFrame:
     """Frames of files as they land; bounded reads per trigger, nothing is shed.
 
+    ``recv_ts`` as for ``read_frames``: without it all frames of a file share one time.
     ``frame_id`` is a hash of file and text: the same when a file is read again.
     """
     reader = spark.readStream
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return _landed(reader.text(path), None, F.xxhash64("_metadata.file_path", "value"))
+    return _landed(reader.text(path), recv_ts, F.xxhash64("_metadata.file_path", "value"))
 
 
 def _landed(lines: DataFrame, recv_ts: Column | None, frame_id: Column) -> DataFrame:

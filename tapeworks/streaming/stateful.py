@@ -1,11 +1,14 @@
 """Order-dependent rules on a stream, with their state in the state store.
 
-Rows of a key arrive in no particular order. They are kept until the watermark
-has passed them, when no earlier row can come any more, and are then folded in
-(time, seq) order: the results are those of the batch operators over the rows
+Rows of a key arrive in no particular order. They are kept by time slot until the
+watermark has passed the slot, when no earlier row can come any more. Each slot has
+a timer; only slots that are due are read, and folded in (time, seq) order. So a
+trigger's work follows the rows that come and those that become ready, not those that
+wait. The results are those of the batch operators over the rows
 that arrive within the watermark delay. Later rows are dropped and counted, see
-``observe.RunningTotals``. These queries need the RocksDB
-state store, see ``state_store_conf``.
+``observe.RunningTotals``. Rows without a key share a history of their own; rows
+without a time are part of none and come back at once. These queries need the
+RocksDB state store, see ``state_store_conf``.
 """
 
 from __future__ import annotations
@@ -19,9 +22,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
 from tapeworks import defaults
-from tapeworks.operators import breaker, bucket
+from tapeworks.operators import breaker, bucket, folds
 
-PENDING = "us bigint, seq bigint, flag boolean, counted boolean"
+WAITING = "us array<bigint>, seq array<bigint>, flag array<boolean>, counted array<boolean>"
+SLOT_MS = 1000
 
 
 def state_store_conf() -> dict[str, str]:
@@ -48,36 +52,30 @@ class OrderedFold(StatefulProcessor):
     def init(self, handle) -> None:
         self.handle = handle
         self.state = handle.getValueState("state", self.state_schema)
-        self.pending = handle.getListState("pending", PENDING)
+        self.waiting = handle.getMapState("waiting", "slot bigint", WAITING)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        earliest = None
         for batch in rows:
-            self.pending.appendList(list(batch[["us", "seq", "flag", "counted"]].itertuples(index=False, name=None)))
-            first = int(batch["us"].min()) // 1000
-            earliest = first if earliest is None else min(earliest, first)
-        if earliest is not None:
-            self.handle.registerTimer(max(earliest, timerValues.getCurrentWatermarkInMs()) + 1)
+            for slot, part in batch.groupby(batch["us"] // (SLOT_MS * 1000), sort=False):
+                name, lists = (int(slot),), [part[c].tolist() for c in ("us", "seq", "flag", "counted")]
+                if self.waiting.containsKey(name):
+                    lists = [list(old) + new for old, new in zip(self.waiting.getValue(name), lists)]
+                else:
+                    self.handle.registerTimer((int(slot) + 1) * SLOT_MS)
+                self.waiting.updateValue(name, tuple(lists))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        watermark = timerValues.getCurrentWatermarkInMs()
-        rows = sorted(self.pending.get()) if self.pending.exists() else []
-        ready = [row for row in rows if row[0] // 1000 < watermark]
-        rest = rows[len(ready):]
-        if rest:
-            self.pending.put(rest)
-            self.handle.registerTimer(max(rest[0][0] // 1000, watermark) + 1)
-        else:
-            self.pending.clear()
+        slot = (expiredTimerInfo.getExpiryTimeInMs() // SLOT_MS - 1,)
+        ready = sorted(zip(*self.waiting.getValue(slot)))
+        self.waiting.removeKey(slot)
         state = tuple(self.state.get()) if self.state.exists() else self.initial
         out = []
         for us, seq, flag, counted in ready:
             state, result = self.step(state, us, seq, flag, counted)
             if result is not None:
                 out.append((key[0], us, seq, *result))
-        if ready:
-            self.state.update(state)
+        self.state.update(state)
         if out:
             yield pd.DataFrame(out, columns=["key", "us", "seq", *self.columns])
 
@@ -132,10 +130,11 @@ class _Throttle(OrderedFold):
 
 def _fold(
     rows: DataFrame, processor: OrderedFold, key: str, ts: str, seq: str, delay: str,
-    flag: Column, counted: Column, columns: str,
+    flag: Column, counted: Column, columns: str, no_time: dict[str, Column] | None = None,
 ) -> DataFrame:
-    narrow = rows.withWatermark(ts, delay).select(
-        F.coalesce(F.col(key).cast("string"), F.lit("")).alias("key"),
+    """``no_time``: what rows without a time come back with; they are left out if it is not given."""
+    narrow = rows.filter(F.col(ts).isNotNull()).withWatermark(ts, delay).select(
+        folds.encoded(F.col(key)).alias("key"),
         F.col(ts),
         F.unix_micros(ts).alias("us"),
         F.col(seq).cast("bigint").alias("seq"),
@@ -148,19 +147,27 @@ def _fold(
         outputMode="append",
         timeMode="eventTime",
     )
-    return folded.withColumnRenamed("key", key)
+    timed = folds.decoded(folded, rows, key)
+    if no_time is None:
+        return timed
+    untimed = rows.filter(F.col(ts).isNull()).withColumns({"_seq": F.col(seq).cast("bigint"), "_key": F.col(key)})
+    kinds = dict(timed.dtypes)
+    nothing = [F.coalesce(no_time.get(c, F.lit(None)), F.lit(None)).cast(kinds[c]).alias(c) for c in timed.columns[3:]]
+    untimed = untimed.select(F.col("_key").alias(key), F.lit(None).cast("bigint").alias("us"), F.col("_seq").alias("seq"), *nothing)
+    return timed.unionByName(untimed)
 
 
 def breaker_stream(
     log: DataFrame, threshold: int, recovery_seconds: int, name: str = "name", ts: str = "ts",
     seq: str = "seq", ok: str = "ok", counted: str | None = None, delay: str = "1 minute",
 ) -> DataFrame:
-    """``name, us, seq, state_before, state_after, result, failure_count``."""
+    """``name, us, seq, state_before, state_after, result, failure_count``; ``no_time`` rows have only a result."""
     counts = F.lit(True) if counted is None else F.coalesce(F.col(counted), F.lit(True))
     return _fold(
         log, _Breaker(threshold, recovery_seconds), name, ts, seq, delay,
         F.coalesce(F.col(ok), F.lit(False)), counts,
         "state_before string, state_after string, result string, failure_count bigint",
+        {"result": F.lit(breaker.NO_TIME)},
     )
 
 
@@ -169,10 +176,10 @@ def leaky_bucket_stream(
     capacity: int = defaults.QUEUE_CAPACITY, ts: str = "recv_ts", seq: str = "frame_id",
     delay: str = "1 minute",
 ) -> DataFrame:
-    """``key, us, seq, dropped, backlog_units``."""
+    """``key, us, seq, dropped, backlog_units``; the last two are NULL without a time."""
     return _fold(
         frames, _Bucket(capacity, rate_per_second), key, ts, seq, delay, F.lit(True), F.lit(True),
-        "dropped boolean, backlog_units bigint",
+        "dropped boolean, backlog_units bigint", {},
     )
 
 

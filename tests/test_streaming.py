@@ -151,3 +151,37 @@ def test_reading_landed_text(spark, tmp_path):
     assert queued.filter(F.col("disposition") == "queue_full").count() > 900
     by_event = F.timestamp_millis(F.get_json_object("value", "$.E").cast("bigint"))
     assert readers.read_frames(spark, folder, by_event).select(F.min("recv_ts")).first()[0].year == 2024
+
+
+def test_missing_keys_and_times(spark, tmp_path):
+    """A missing key is not the empty one, and rows without a time come back as such."""
+    t0 = datetime(2024, 1, 1, tzinfo=timezone.utc)
+    made = [(None, 1, False, 1), ("", 2, True, 2), (None, 2, True, 3), ("a", None, True, 4), (None, None, False, 5), ("a", 9, False, 6)]
+    made = [(n, t and t0 + timedelta(seconds=t), ok, seq) for n, t, ok, seq in made]
+    log = spark.createDataFrame(made, "name string, ts timestamp, ok boolean, seq bigint")
+    later = spark.createDataFrame([("END", t0 + timedelta(days=9), True, 9)], log.schema)
+    folder = str(tmp_path / "log")
+    log.unionByName(later).coalesce(1).write.parquet(folder)
+    order = lambda df, *cs: sorted((tuple(r) for r in df.select(*cs).collect()), key=str)
+    columns = ("name", "seq", "state_before", "state_after", "result", "failure_count")
+    got = run(stateful.breaker_stream(read(spark, folder), 1, 60), tmp_path, "odd_breaker")
+    assert order(got, *columns) == order(breaker.breaker_replay(log, 1, 60), *columns)
+    columns = ("name", "seq", "dropped", "backlog_units")
+    got = run(stateful.leaky_bucket_stream(read(spark, folder), "name", 1, 1, "ts", "seq"), tmp_path, "odd_bucket")
+    assert order(got, *columns) == order(bucket.leaky_bucket(log, "name", 1, 1, "ts", "seq"), *columns)
+
+
+def test_slots_are_read_once_they_are_due(spark, tmp_path):
+    """Rows of one slot that come in several triggers, in any order, are folded once, in order."""
+    t0 = datetime(2024, 1, 1, tzinfo=timezone.utc)
+    folder = str(tmp_path / "slots")
+    for part in range(4):
+        made = [("k", t0 + timedelta(milliseconds=250 * (4 * n + part)), n % 3 > 0, 4 * n + part) for n in range(30)]
+        spark.createDataFrame(made, "name string, ts timestamp, ok boolean, seq bigint").coalesce(1).write.mode("append").parquet(folder)
+    log = spark.read.parquet(folder)
+    later = spark.createDataFrame([("END", t0 + timedelta(days=9), True, 999)], log.schema)
+    later.coalesce(1).write.mode("append").parquet(folder)
+    source = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    columns = ("name", "seq", "state_before", "state_after", "result", "failure_count")
+    got = run(stateful.breaker_stream(source, 2, 3, delay="1 hour"), tmp_path, "slots_out")
+    assert rows(got, *columns) == rows(breaker.breaker_replay(log.filter("name = 'k'"), 2, 3), *columns)
