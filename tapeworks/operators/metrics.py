@@ -66,7 +66,8 @@ def heartbeat_report(
     Tick ``k`` reports the interval that ends at ``start + k * seconds``. Start
     defaults to the first frame's time rounded down to a whole interval, end
     to the last frame's. Staleness counts from the last frame *received*,
-    whether or not it could be routed; it is 0 before the first.
+    whether or not it could be routed; it is 0 before the first. Frames without
+    a receive time are counted in a row without a tick, if there are any.
     """
     width = seconds * 1000
     received = F.when(F.col("shape") != MALFORMED, F.unix_millis(ts))
@@ -80,7 +81,7 @@ def heartbeat_report(
     )
     if start_ms is not None:
         per_interval = (
-            classified.filter(F.unix_millis(ts) >= start_ms)
+            classified.filter(F.coalesce(F.unix_millis(ts) >= start_ms, F.lit(True)))
             .groupBy(interval_index(F.col(ts), seconds, start_ms).alias("slot"))
             .agg(
                 _count(is_processed()).alias("processed"),
@@ -113,6 +114,16 @@ def heartbeat_report(
         },
         maxima={"last_received_ms": F.col("last_ms")},
     )
+    ticks = as_ticks(totals, width, origin)
+    # Frames without a receive time fall into no interval; they are counted in a row without a tick.
+    nothing = {c: F.lit(None).cast(kind).alias(c) for c, kind in ticks.dtypes}
+    counted = {"processed_since_last": F.col("processed"), "dropped_since_last": F.col("dropped")}
+    untimed = per_interval.filter(F.col("slot").isNull() & (F.col("processed") + F.col("dropped") > 0))
+    return ticks.unionByName(untimed.select(*[counted.get(c, nothing[c]).alias(c) for c in ticks.columns]))
+
+
+def as_ticks(totals: DataFrame, width: int, origin: int = 0) -> DataFrame:
+    """Heartbeats out of counts per ``slot`` of ``width`` milliseconds, with ``first``, totals and ``last_received_ms``."""
     tick_ms = (F.col("slot") + 1) * width + origin
     uptime_ms = (F.col("slot") + 1 - F.col("first")) * width
     return totals.select(
