@@ -207,8 +207,9 @@ def remove_repeats(
     row = ["k", "c"]
     found = texts.select(*row, "text").mapInArrow(_samples(window, run), "key long, leaf long, k long, c long, first int, n int")
     found = written(spark, found, "samples")
-    often = found.groupBy("key").agg(F.count("*").alias("times")).where("times > 1")
-    # Written, so that a frequent sample's rows meet only by leaf, counted by each task first.
+    # Both are written: so the join is one of two plain tables, whose frequent keys Spark
+    # deals to several tasks, and rows meet only by leaf, counted by each task first.
+    often = written(spark, found.groupBy("key").agg(F.count("*").alias("times")).where("times > 1"), "often")
     repeated = written(spark, found.join(often, "key"), "repeated")
     leaves = repeated.groupBy("key", "leaf", "times", "n").agg(F.count("*").alias("held"), *[F.first(c).alias(c) for c in (*row, "first")])
     leaves = written(spark, leaves, "leaves")
