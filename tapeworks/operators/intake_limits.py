@@ -66,9 +66,10 @@ def deduplicate(
     of their identity are no copies of each other and stay.
     """
     nameless = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in identity])
-    nth = F.row_number().over(Window.partitionBy(*identity).orderBy(ts, order))
-    named = frames.filter(~nameless).withColumn("_nth", nth).filter("_nth = 1").drop("_nth")
-    return named.unionByName(frames.filter(nameless))
+    # The place of a row stands in for the identity it lacks.
+    placed = frames.withColumn("_own", F.when(nameless, F.monotonically_increasing_id()))
+    nth = F.row_number().over(Window.partitionBy(*identity, "_own").orderBy(ts, order))
+    return placed.withColumn("_nth", nth).filter("_nth = 1").drop("_nth", "_own")
 
 
 def outage_episodes(

@@ -152,3 +152,43 @@ def subscribe(
         .withColumn("text", text)
         .withColumn("data", F.when(is_json(F.col("text")), F.try_parse_json("text")))
     )
+
+
+def subscribe_table(
+    messages: DataFrame, patterns: DataFrame, pattern: str = "pattern", subject: str = "subject", value: str = "value"
+) -> DataFrame:
+    """``subscribe`` for a table of patterns, however many: a message under several comes once for each.
+
+    Patterns have few shapes, which tokens are ``*`` and whether they end in
+    ``>``. For each shape a subject has one pattern that it could fall
+    under, so messages meet patterns in a plain join on text. Shapes, not
+    patterns, are what a message is tried against. NULL patterns and
+    subjects match nothing; repeated patterns count once.
+    """
+    listed = patterns.select(F.col(pattern).alias("pattern")).where("pattern is not null").distinct()
+    parts = F.split("pattern", r"\.")
+    shape = F.transform(parts, lambda t: F.when(t.isin("*"), t).otherwise("="))
+    tail = F.endswith("pattern", F.lit(".>")) | (F.col("pattern") == ">")
+    shapes = [(list(r["shape"]), r["tail"]) for r in listed.select(shape.alias("shape"), tail.alias("tail")).distinct().collect()]
+    tokens = F.split(subject, r"\.")
+    candidates = []
+    for marks, open_end in sorted(shapes, key=str):
+        size = len(marks) - open_end
+        at = [F.lit("*") if mark == "*" else F.get(tokens, F.lit(i)) for i, mark in enumerate(marks[:size])]
+        fits = F.size(tokens) > size if open_end else F.size(tokens) == size
+        for i, mark in enumerate(marks[:size]):
+            fits = fits & (F.get(tokens, F.lit(i)) != "") if mark == "*" else fits
+        if open_end:
+            rest = F.array_join(F.slice(tokens, size + 1, F.greatest(F.size(tokens) - size, F.lit(0))), ".")
+            fits = fits & (rest != "")
+            at.append(F.lit(">"))
+        candidates.append(F.when(fits, F.concat_ws(".", *at)))
+    text = F.decode(F.col(value).cast("binary"), "UTF-8")
+    # A subject's own ``*`` makes one pattern out of two shapes.
+    found = F.array_distinct(F.array_compact(F.array(*candidates))) if candidates else F.array().cast("array<string>")
+    return (
+        messages.select("*", F.explode(found).alias("pattern"))
+        .join(listed, "pattern", "left_semi")
+        .select(*messages.columns, "pattern", text.alias("text"))
+        .withColumn("data", F.when(is_json(F.col("text")), F.try_parse_json("text")))
+    )

@@ -77,7 +77,8 @@ class OrderedFold(StatefulProcessor):
                 out.append((key[0], us, seq, *result))
         self.state.update(state)
         if out:
-            yield pd.DataFrame(out, columns=["key", "us", "seq", *self.columns])
+            # Numbers that may be missing stay whole numbers.
+            yield pd.DataFrame(out, columns=["key", "us", "seq", *self.columns]).convert_dtypes()
 
     def close(self) -> None:
         pass
@@ -110,6 +111,23 @@ class _Bucket(OrderedFold):
         return (backlog, us), (dropped, backlog)
 
 
+class _Outage(OrderedFold):
+    def __init__(self, delay: int, max_attempts: int):
+        super().__init__(
+            (0, 0), "episode bigint, failures bigint", ["episode", "attempt", "expected_delay", "outcome"]
+        )
+        self.delay, self.most = delay, max_attempts
+
+    def step(self, state, us, seq, flag, counted):
+        episode, attempt = state
+        wait = self.delay * 2**attempt if attempt < self.most else None
+        if flag:
+            outcome = "steady" if attempt == 0 else "recovered" if attempt < self.most else "restarted"
+            return (episode + 1, 0), (episode, attempt, wait, outcome)
+        outcome = "failed" if attempt + 1 < self.most else "gave_up" if attempt + 1 == self.most else "stopped"
+        return (episode, attempt + 1), (episode, attempt, wait, outcome)
+
+
 class _Throttle(OrderedFold):
     def __init__(self, start_ms: int, gap_seconds: int):
         super().__init__(
@@ -183,6 +201,21 @@ def leaky_bucket_stream(
     )
 
 
+def outage_stream(
+    log: DataFrame, name: str = "name", ts: str = "ts", seq: str = "seq", ok: str = "ok",
+    delay: int = defaults.RECONNECT_DELAY_SECONDS, max_attempts: int = defaults.MAX_RECONNECT_ATTEMPTS,
+    watermark: str = "1 minute",
+) -> DataFrame:
+    """``name, us, seq, episode, attempt, expected_delay, outcome`` of ``outage_episodes``.
+
+    Rows without a time have no place in an episode; all but name and seq is NULL.
+    """
+    return _fold(
+        log, _Outage(delay, max_attempts), name, ts, seq, watermark, F.coalesce(F.col(ok), F.lit(False)), F.lit(True),
+        "episode bigint, attempt bigint, expected_delay bigint, outcome string", {},
+    )
+
+
 def throttled_stats_stream(
     frames: DataFrame, key: str, processed: Column, dropped: Column, start_ms: int,
     gap_seconds: int = defaults.STATS_INTERVAL_SECONDS, ts: str = "recv_ts", seq: str = "frame_id",

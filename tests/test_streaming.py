@@ -185,3 +185,13 @@ def test_slots_are_read_once_they_are_due(spark, tmp_path):
     columns = ("name", "seq", "state_before", "state_after", "result", "failure_count")
     got = run(stateful.breaker_stream(source, 2, 3, delay="1 hour"), tmp_path, "slots_out")
     assert rows(got, *columns) == rows(breaker.breaker_replay(log.filter("name = 'k'"), 2, 3), *columns)
+
+
+def test_outages(spark, tmp_path, landed):
+    events, folder = landed
+    columns = ("sym", "seq", "episode", "attempt", "expected_delay", "outcome")
+    named = lambda df: df.withColumnsRenamed({"event_id": "seq"})
+    batch = intake_limits.outage_episodes(named(events), "sym", delay=3, max_attempts=2)
+    stream = stateful.outage_stream(named(read(spark, folder)), "sym", delay=3, max_attempts=2, watermark="31 days")
+    key = lambda df: sorted((tuple(r) for r in df.select(*columns).collect()), key=str)
+    assert key(run(stream, tmp_path, "outage_out").filter("sym <> 'END'")) == key(batch)
