@@ -9,7 +9,7 @@ of it can hold a pair that is similar enough:
    A class's n-grams are dealt by hash to more than ``d`` parts, so linked sets
    agree on some part entirely. Documents that share a part with its whole
    content are candidates; a common passage alone doesn't make them so, as a
-   part also holds other n-grams.
+   part also holds other n-grams, unless it is more than about half of the texts.
 2. Candidates, closed transitively, form clusters. Their texts come together
    in blocks of bounded size: a cluster, or a share of one with some pivots of
    the whole. Within a block overlaps are accumulated by products over slices
