@@ -40,28 +40,31 @@ def _place(ms: Column, trade_id: Column) -> Column:
     return (earlier + F.coalesce(trade_id, F.lit(-1)).cast("decimal(20,0)")).cast("decimal(38,0)")
 
 
-def candles(
-    trades: DataFrame,
-    periods: Mapping[str, int] | Sequence[str] = tuple(defaults.CANDLE_PERIODS),
-    ts: str = "trade_time",
-) -> DataFrame:
-    """Candles of ``symbol`` for each period, from typed trades.
+SUMS = ("volume", "quote_volume", "trade_count", "taker_buy_volume", "taker_buy_quote_volume")
 
-    Trades are aggregated once, to the shortest period; longer periods that
-    are its multiples are rolled up from those few candles. Trades of the same
-    millisecond count in the order of their ids.
-    """
+
+def period_lengths(periods: Mapping[str, int] | Sequence[str]) -> tuple[dict[str, int], int]:
+    """Seconds of each period, and of the shortest, of which all others must be multiples."""
     lengths = dict(periods) if isinstance(periods, Mapping) else {
         p: defaults.CANDLE_PERIODS[p] for p in periods
     }
     base = min(lengths.values())
     if any(seconds % base for seconds in lengths.values()):
         raise ValueError("every period must be a multiple of the shortest")
+    return lengths, base
+
+
+def partial_candles(trades: DataFrame, base: int, ts: str = "trade_time") -> DataFrame:
+    """Candles of ``symbol`` and ``slot`` of ``base`` seconds that can be merged.
+
+    ``first`` and ``last`` place the opening and closing trade, so partial candles of
+    any division of the trades roll up to the same candles.
+    """
     ms, price, quantity = F.unix_millis(ts), F.col("price"), F.col("quantity")
     place = _place(ms, F.col("trade_id"))
     quote = _quote(price, quantity)
     taker = ~F.col("is_buyer_maker")
-    shortest = trades.groupBy(
+    return trades.groupBy(
         "symbol", F.call_function("div", ms, F.lit(base * 1000)).alias("slot")
     ).agg(
         F.min(place).alias("first"),
@@ -76,32 +79,59 @@ def candles(
         F.coalesce(F.sum(F.when(taker, quantity)), F.lit(0)).alias("taker_buy_volume"),
         F.coalesce(F.sum(F.when(taker, quote)), F.lit(0)).alias("taker_buy_quote_volume"),
     )
-    listed = F.array(
-        *[F.struct(F.lit(p).alias("period"), F.lit(s // base).alias("steps")) for p, s in lengths.items()]
-    )
-    spread = shortest.select("*", F.inline(listed))
-    slots = F.call_function("div", F.col("slot"), F.col("steps"))
-    rolled = spread.groupBy("symbol", "period", "steps", slots.alias("slot")).agg(
+
+
+def _merged() -> list[Column]:
+    return [
         F.min_by("open", "first").alias("open"),
         F.max("high").alias("high"),
         F.min("low").alias("low"),
         F.max_by("close", "last").alias("close"),
-        *[
-            F.sum(c).alias(c)
-            for c in ("volume", "quote_volume", "trade_count", "taker_buy_volume", "taker_buy_quote_volume")
-        ],
+        *[F.sum(c).alias(c) for c in SUMS],
+    ]
+
+
+def merge_partials(partials: DataFrame, keys: Sequence[str] = ("symbol", "slot")) -> DataFrame:
+    """Partial candles of the same symbol and slot made one, with the columns and types they had."""
+    kinds = dict(partials.dtypes)
+    ends = [F.min("first").alias("first"), F.max("last").alias("last")]
+    merged = partials.groupBy(*keys).agg(*ends, *_merged())
+    return merged.select(*[F.col(c).cast(kinds[c]).alias(c) for c in merged.columns])
+
+
+def roll_up(partials: DataFrame, lengths: Mapping[str, int], base: int) -> DataFrame:
+    """Candles of each period from partial candles of ``base`` seconds."""
+    listed = F.array(
+        *[F.struct(F.lit(p).alias("period"), F.lit(s // base).alias("steps")) for p, s in lengths.items()]
     )
+    spread = partials.select("*", F.inline(listed))
+    slots = F.call_function("div", F.col("slot"), F.col("steps"))
+    rolled = spread.groupBy("symbol", "period", "steps", slots.alias("slot")).agg(*_merged())
     width = F.col("steps") * (base * 1000)
     return rolled.select(
         "symbol",
         "period",
         (F.col("slot") * width).alias("open_ms"),
         ((F.col("slot") + 1) * width - 1).alias("close_ms"),
-        "open", "high", "low", "close", "volume", "quote_volume", "trade_count",
-        "taker_buy_volume", "taker_buy_quote_volume",
+        "open", "high", "low", "close", *SUMS,
     )
 
 
+def candles(
+    trades: DataFrame,
+    periods: Mapping[str, int] | Sequence[str] = tuple(defaults.CANDLE_PERIODS),
+    ts: str = "trade_time",
+) -> DataFrame:
+    """Candles of ``symbol`` for each period, from typed trades.
+
+    Trades are aggregated once, to the shortest period; longer periods that
+    are its multiples are rolled up from those few candles. Trades of the same
+    millisecond count in the order of their ids.
+    """
+    lengths, base = period_lengths(periods)
+    return roll_up(partial_candles(trades, base, ts), lengths, base)
+
+
 def candle_gaps(rows: DataFrame, from_ms: int | None = None, to_ms: int | None = None) -> DataFrame:
     """Runs of missing candles: ``symbol, period, gap_start_ms, gap_end_ms, missing``.
 
