@@ -69,6 +69,19 @@ def heartbeat_report(
     whether or not it could be routed; it is 0 before the first. Frames without
     a receive time are counted in a row without a tick, if there are any.
     """
+    totals, per_interval = tick_totals(classified, seconds, start_ms, end_ms, ts)
+    ticks = as_ticks(totals, seconds * 1000, start_ms or 0)
+    # Frames without a receive time fall into no interval; they are counted in a row without a tick.
+    nothing = {c: F.lit(None).cast(kind).alias(c) for c, kind in ticks.dtypes}
+    counted = {"processed_since_last": F.col("processed"), "dropped_since_last": F.col("dropped")}
+    untimed = per_interval.filter(F.col("slot").isNull() & (F.col("processed") + F.col("dropped") > 0))
+    return ticks.unionByName(untimed.select(*[counted.get(c, nothing[c]).alias(c) for c in ticks.columns]))
+
+
+def tick_totals(
+    classified: DataFrame, seconds: int, start_ms: int | None = None, end_ms: int | None = None, ts: str = "recv_ts"
+) -> tuple[DataFrame, DataFrame]:
+    """Counts of every interval by ``slot`` with totals so far, and the counts of intervals with frames."""
     width = seconds * 1000
     received = F.when(F.col("shape") != MALFORMED, F.unix_millis(ts))
     per_interval = (
@@ -114,12 +127,7 @@ def heartbeat_report(
         },
         maxima={"last_received_ms": F.col("last_ms")},
     )
-    ticks = as_ticks(totals, width, origin)
-    # Frames without a receive time fall into no interval; they are counted in a row without a tick.
-    nothing = {c: F.lit(None).cast(kind).alias(c) for c, kind in ticks.dtypes}
-    counted = {"processed_since_last": F.col("processed"), "dropped_since_last": F.col("dropped")}
-    untimed = per_interval.filter(F.col("slot").isNull() & (F.col("processed") + F.col("dropped") > 0))
-    return ticks.unionByName(untimed.select(*[counted.get(c, nothing[c]).alias(c) for c in ticks.columns]))
+    return totals, per_interval
 
 
 def as_ticks(totals: DataFrame, width: int, origin: int = 0) -> DataFrame:

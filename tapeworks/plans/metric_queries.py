@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tapeworks import defaults
 from tapeworks.functions import routing
 from tapeworks.functions.numbers import percent
-from tapeworks.operators import bucket, metrics, quantile, throttle
+from tapeworks.operators import bucket, metrics, quantile, snapshots, throttle
 from tapeworks.plans import inputs, sql
 from tapeworks.plans.frame_queries import classified
 from tapeworks.streaming.observe import counters
@@ -39,6 +39,21 @@ def metrics_snapshot(spark, d):
     return snapshot.withColumn("streams", F.array_join("streams", ","))
 
 
+def metrics_history(spark, d):
+    """Hourly, with states out of five logs; a view or click tells a queue size or a ping, a signup or error a state."""
+    events, k = inputs.events(spark, d), F.col("k")
+    log = lambda kind, value: events.where(F.col("event_type") == kind).select("ts", F.col("event_id").alias("seq"), value.alias("value"))
+    logs = {
+        "connected": log("signup", k % 3 != 0),
+        "bus_connected": log("error", k % 2 == 0),
+        "queue_size": log("view", F.when(k % 7 != 0, k * 10)),
+        "reconnect_attempts": log("error", k % 5),
+        "last_ping_ms": log("click", F.unix_millis("ts")),
+    }
+    history = snapshots.metrics_history(classified(spark, d), logs, HOUR)
+    return history.drop("streams", "stream_count", "heartbeat_enabled")
+
+
 def _bucket(spark, d):
     log = inputs.histories(spark, d).withColumnsRenamed({"name": "sym", "seq": "event_id"})
     return bucket.leaky_bucket(log, "sym", "1/7200", 3, "ts", "event_id")
@@ -131,6 +146,26 @@ QUERIES = {
         NULL AS last_ping_ms, 'connected' AS websocket_state, 'disconnected' AS nats_state, b - a AS uptime_ms,
         {_RATE.format(n='n', ms='(b - a)')} AS messages_per_second, 0.9::DOUBLE AS queue_utilization_percent,
         b - last_ms AS ms_since_last_message, true AS heartbeat_enabled, 60 AS heartbeat_interval FROM t"""),
+    "metrics_history": (metrics_history, f"""WITH {sql.BEAT}, changes AS (
+      SELECT *, ms // 3600000 * 3600000 + 3600000 AS tick_ms, us::HUGEINT * 1000000000000 + event_id AS place FROM ev),
+      c AS (SELECT tick_ms, arg_max(k % 3 <> 0, place) AS up FROM changes WHERE event_type = 'signup' GROUP BY 1),
+      e AS (SELECT tick_ms, arg_max(k % 2 = 0, place) AS bus, arg_max(k % 5, place) AS attempts
+        FROM changes WHERE event_type = 'error' GROUP BY 1),
+      q AS (SELECT tick_ms, nullif(arg_max(CASE WHEN k % 7 <> 0 THEN k * 10 ELSE -1 END, place), -1) AS queue
+        FROM changes WHERE event_type = 'view' GROUP BY 1),
+      g AS (SELECT tick_ms, max(ms) AS ping FROM changes WHERE event_type = 'click' GROUP BY 1),
+      s AS (SELECT beat.*, coalesce(up, false) AS up, coalesce(bus, false) AS bus, coalesce(attempts, 0) AS attempts,
+          CASE WHEN q.tick_ms IS NULL THEN 0 ELSE queue END AS queue, ping
+        FROM beat ASOF LEFT JOIN c ON beat.tick_ms >= c.tick_ms ASOF LEFT JOIN e ON beat.tick_ms >= e.tick_ms
+        ASOF LEFT JOIN q ON beat.tick_ms >= q.tick_ms ASOF LEFT JOIN g ON beat.tick_ms >= g.tick_ms)
+      SELECT tick_ms AS report_ms, up AS is_connected, true AS is_running, attempts AS reconnect_attempts,
+        CASE WHEN up THEN 'connected' ELSE 'disconnected' END AS connection_status, total_processed AS processed_messages,
+        0 AS dropped_messages, queue AS queue_size, tick_ms - nullif(ms_since_last_message, 0) AS last_message_ms,
+        ping AS last_ping_ms, CASE WHEN up THEN 'connected' ELSE 'disconnected' END AS websocket_state,
+        CASE WHEN bus THEN 'connected' ELSE 'disconnected' END AS nats_state, uptime_ms,
+        {_RATE.format(n='total_processed', ms='uptime_ms')} AS messages_per_second,
+        (queue * 20000 + {defaults.QUEUE_CAPACITY}) // ({defaults.QUEUE_CAPACITY} * 2) / 100.0::DOUBLE AS queue_utilization_percent,
+        nullif(ms_since_last_message, 0) AS ms_since_last_message, 3600 AS heartbeat_interval FROM s"""),
     "queue_utilisation": (queue_utilisation, f"""{sql.BUCKET}
       SELECT sym, event_id AS seq, backlog_units / 7200000000.0::DOUBLE * 100.0::DOUBLE / 3 AS utilisation_percent
       FROM steps WHERE rn > 0 UNION ALL SELECT sym, event_id, NULL FROM hist WHERE us IS NULL"""),
