@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tapeworks.operators.running import join_back
+
 STREAMS = "array<string>"
 
 
@@ -22,7 +24,8 @@ def subscriptions_current(
 
     ``set`` replaces the list and keeps duplicates, ``add`` appends a stream
     that is not there, ``remove`` takes away its first occurrence. Scopes that
-    were never set start from ``base``.
+    were never set start from ``base``; those that are NULL share a list. Adding or
+    removing no stream has no effect.
     """
     changes = log.select(
         F.col(scope).alias("scope"),
@@ -48,8 +51,11 @@ def subscriptions_current(
         "nth", F.row_number().over(Window.partitionBy("scope", "stream").orderBy("pos"))
     )
     since_set = (
-        changes.filter(F.col("op").isin("add", "remove"))
-        .join(lists.select("scope", "set_seq"), "scope")
+        join_back(
+            changes.filter(F.col("op").isin("add", "remove") & F.col("stream").isNotNull()),
+            lists.select("scope", "set_seq"),
+            ["scope"],
+        )
         .filter(F.col("set_seq").isNull() | (F.col("seq") > F.col("set_seq")))
         .select("scope", "stream", "op", "seq")
     )
@@ -57,7 +63,7 @@ def subscriptions_current(
         F.count("*").alias("removes"), F.max("seq").alias("last_remove")
     )
     kept = (
-        listed.join(removed, ["scope", "stream"], "left")
+        join_back(listed, removed, ["scope", "stream"], "left")
         .filter(F.col("nth") > F.coalesce("removes", F.lit(0)))
         .select("scope", "stream", F.lit(0).alias("part"), F.col("pos").cast("bigint").alias("place"))
     )
@@ -65,9 +71,12 @@ def subscriptions_current(
     # Once all listed occurrences are gone, the first add after the last
     # remove is what puts the stream back.
     appended = (
-        since_set.filter(F.col("op") == "add")
-        .join(removed, ["scope", "stream"], "left")
-        .join(occurrences, ["scope", "stream"], "left")
+        join_back(
+            join_back(since_set.filter(F.col("op") == "add"), removed, ["scope", "stream"], "left"),
+            occurrences,
+            ["scope", "stream"],
+            "left",
+        )
         .filter(
             (F.coalesce("removes", F.lit(0)) >= F.coalesce("listed", F.lit(0)))
             & (F.col("last_remove").isNull() | (F.col("seq") > F.col("last_remove")))
