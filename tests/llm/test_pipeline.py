@@ -7,10 +7,10 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tapeworks.llm import mixing, packing
-from tapeworks.llm import quality_rules as q
 from tapeworks.llm.common import documents
 from tapeworks.llm.tokens import vocabulary_path
 
+from . import plain_quality as plain
 from .test_scans import plain_counts
 from .test_tokens import check_packing
 
@@ -18,25 +18,8 @@ SF = "/root/testdata/sf0.001"
 
 
 def plain_quality(rows):
-    """One robust estimate over all rows: right where every group is small."""
-    counts = {r.doc_id: plain_counts(r.text) for r in rows}
-    sound = {i: c for i, c in counts.items() if c[0] >= q.MIN_WORDS and 100 * c[4] <= 50 * c[0]}
-    x = np.array([[np.log(n), c / n, np.sqrt(s / n), np.sqrt(d / n), np.sqrt(r / n)] for n, c, s, d, r in sound.values()])
-    floor = np.diag(np.square(list(q.STATISTICS.values())))
-    middle = np.median(x, axis=0)
-    mu, cov = middle, np.diag(np.square(1.4826 * np.median(np.abs(x - middle), axis=0))) + floor
-    for share in [q.SHARE] * q.STEPS + [None, 0.975]:
-        away = x - mu
-        distance = (away @ np.linalg.inv(cov) * away).sum(1)
-        if share is None:
-            continue
-        limit = np.quantile(distance, share) if share == q.SHARE else q.chi_square_quantile(share, 5)
-        near = x[distance <= limit]
-        mu, cov = near.mean(0), q.consistency(share, 5) * np.cov(near.T, bias=True) + floor
-    away = x - mu
-    distance = (away @ np.linalg.inv(cov) * away).sum(1)
-    good = dict(zip(sound, distance <= q.chi_square_quantile(1 - q.TAIL, 5)))
-    return [r for r in rows if good.get(r.doc_id)]
+    judged = plain.judged(rows, [plain_counts(r.text) for r in rows])
+    return [r for i, r in enumerate(rows) if judged[i][1]]
 
 
 def plain_exact(rows):

@@ -8,6 +8,8 @@ import pytest
 from tapeworks.llm import pii, quality_rules, secret_links
 from tapeworks.llm.common import documents
 
+from . import plain_quality
+
 SF = "/root/testdata/sf0.001"
 
 
@@ -254,6 +256,38 @@ def test_quality_table(spark):
     assert not rows
 
 
+def test_quality_against_numpy(spark):
+    """Every document's verdict and distance, of groups of two rows to a hundred."""
+    rows = documents(spark, SF.replace("0.001", "0.01")).collect()
+    expected = plain_quality.judged(rows, [plain_counts(r.text) for r in rows])
+    got = {r.doc_id: r for r in quality_rules.judge(spark, documents(spark, SF.replace("0.001", "0.01"))).collect()}
+    assert len(got) == len(rows) and sum(not e[0] and not e[1] for e in expected.values()) > 20
+    for i, r in enumerate(rows):
+        base_failed, kept, distance = expected[i]
+        assert (got[r.doc_id].base_failed, got[r.doc_id].kept) == (base_failed, kept)
+        assert distance is None or abs(got[r.doc_id].distance - distance) <= 1e-6 * (1 + distance)
+
+
+def test_quality_groups_of_every_size(spark):
+    """A large group keeps its own centre, a row alone is judged as its language; a spoilt start does not stand."""
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    names = list(quality_rules.STATISTICS)
+    sizes = {("en", "big"): (3000, 0.0), ("en", "far"): (600, 6.0), ("en", "one"): (1, 0.0), ("fr", "few"): (7, 1.0), ("", ""): (30, 0.5)}
+    groups = {g: rng.normal(centre, 1, (n, 5)) for g, (n, centre) in sizes.items()}
+    # A quarter of the large group lies elsewhere, on a line.
+    groups["en", "big"][:700] = 9 + np.outer(rng.normal(0, 1, 700), np.ones(5))
+    rows = [(*g, *map(float, x)) for g, xs in groups.items() for x in xs]
+    frame = spark.createDataFrame(rows, "g_lang string, g_source string, " + ", ".join(f"{n} double" for n in names))
+    got = {(r.g_lang, r.g_source): r for r in quality_rules.estimates(spark, frame).collect()}
+    assert set(got) == set(groups)
+    for g, (mu, cov) in plain_quality.estimates(groups).items():
+        assert np.allclose(got[g].mu, mu, atol=1e-6) and np.allclose(np.linalg.inv(np.array(got[g].inverse).reshape(5, 5)), cov, atol=1e-5)
+    centre = {g: np.mean(r.mu) for g, r in got.items()}
+    assert abs(centre["en", "big"]) < 0.3 and 5 < centre["en", "far"] < 6.2 and -1 < centre["en", "one"] < 3
+
+
 def test_quality_odd_rows(spark, docs_of):
     docs = docs_of([None, "", "w " * 100, *[" ".join(f"w{i * j % 97}x{j}" for j in range(90)) for i in range(30)]])
     docs = docs.unionByName(docs.limit(5))
