@@ -170,9 +170,11 @@ def _shrunk(sums: DataFrame, k: int, prior: float) -> DataFrame:
     )
 
 
-def _solved(sums: DataFrame, k: int, factor: float, floors: list[float], prior: float) -> DataFrame:
+def _solved(spark: SparkSession, sums: DataFrame, k: int, factor: float, floors: list[float], prior: float) -> DataFrame:
+    """The estimates as a table; so are the sums, which are read for groups, languages and the whole."""
     columns = "g_lang string, g_source string, start int, mu array<double>, inverse array<double>, logdet double"
-    return _shrunk(sums, k, prior).mapInArrow(_inverses(k, factor, floors), columns)
+    sums = written(spark, sums, "mcd-sums")
+    return written(spark, _shrunk(sums, k, prior).mapInArrow(_inverses(k, factor, floors), columns), "mcd")
 
 
 def _limits(spark: SparkSession, near: DataFrame, share: float, prior: float) -> DataFrame:
@@ -194,14 +196,16 @@ def _sums(rows: DataFrame, names: list[str], inside: Column) -> DataFrame:
     return rows.groupBy("g_lang", "g_source", "start").agg(F.count_if(inside).cast("double").alias("n"), *named)
 
 
-def _starts(sound: DataFrame, floors: dict[str, float]) -> DataFrame:
+def _starts(spark: SparkSession, sound: DataFrame, floors: dict[str, float]) -> DataFrame:
     """Counts and sums, per group and start, of rows that would have the start's centre and covariance."""
     names, group, k = list(floors), ["g_lang", "g_source"], len(floors)
     middle = sound.groupBy(*group).agg(*[F.percentile_approx(x, 0.5, 10000).alias(f"m_{x}") for x in names])
+    middle = written(spark, middle, "mcd-middle")
     away = sound.join(middle, group).select(*group, *[f"m_{x}" for x in names], *[(F.col(x) - F.col(f"m_{x}")).alias(x) for x in names])
     spread = away.groupBy(*group).agg(
         *[F.first(f"m_{x}").alias(f"m_{x}") for x in names], *[F.percentile_approx(F.abs(x), 0.5, 10000).alias(f"d_{x}") for x in names]
     )
+    spread = written(spark, spread, "mcd-spread")
     scaled = away.drop(*[f"m_{x}" for x in names]).join(spread, group)
     scaled = scaled.withColumns({x: F.col(x) / F.greatest(1.4826 * F.col(f"d_{x}"), F.lit(floors[x])) for x in names})
     length = F.greatest(F.sqrt(sum((F.col(x) * F.col(x) for x in names[1:]), F.col(names[0]) * F.col(names[0]))), F.lit(1e-9))
@@ -241,19 +245,17 @@ def estimates(
     """``g_lang, g_source, mu, inverse``: the reweighted estimate of every group of ``sound``."""
     names, least = list(floors), list(floors.values())
     group, k = ["g_lang", "g_source"], len(floors)
-    now = _solved(_starts(sound, floors), k, 1.0, least, prior)
+    now = _solved(spark, _starts(spark, sound, floors), k, 1.0, least, prior)
     for _ in range(steps):
-        now = written(spark, now, "mcd")
         near = sound.join(now, group).withColumn("distance", _distance(names))
         limits = _limits(spark, near, share, prior)
         sums = _sums(near.join(limits, [*group, "start"]), names, F.col("distance") <= F.col("limit"))
-        now = _solved(sums, k, consistency(share, k), least, prior)
+        now = _solved(spark, sums, k, consistency(share, k), least, prior)
     best = F.min_by(F.struct("mu", "inverse"), F.struct("logdet", "start")).alias("best")
-    now = written(spark, now.groupBy(*group).agg(best).select(*group, "best.*"), "mcd")
+    now = written(spark, now.groupBy(*group).agg(best).select(*group, F.lit(0).alias("start"), "best.*"), "mcd")
     inner = _distance(names) <= chi_square_quantile(0.975, k)
-    sums = _sums(sound.join(now, group).withColumn("start", F.lit(0)), names, inner)
-    last = _solved(sums, k, consistency(0.975, k), least, prior)
-    return written(spark, last.select(*group, "mu", "inverse"), "mcd")
+    sums = _sums(sound.join(now, group), names, inner)
+    return _solved(spark, sums, k, consistency(0.975, k), least, prior).select(*group, "mu", "inverse")
 
 
 def judge(
