@@ -81,7 +81,7 @@ def plain_verdict(url, rules, words):
     return host, path, None, "block" if listed else "allow"
 
 
-@pytest.mark.parametrize("max_bits", [2**23, 40])
+@pytest.mark.parametrize("max_bits", [2**23, 64])
 def test_url_verdicts(spark, max_bits):
     words = ("casino", "bets", "adult")
     hosts = [f"h{i}.{w}{i % 3}.example.org" for i in range(20) for w in ("bets-", "net", "adult-")]
@@ -94,10 +94,46 @@ def test_url_verdicts(spark, max_bits):
     assert url_cascade.judge(spark, pages.limit(0)).collect() == []
 
 
-def test_cascade_is_exact_on_its_universe(spark):
+@pytest.mark.parametrize("max_bits", [2**23, 256])
+def test_url_lists_are_tables(spark, max_bits):
+    """Lists far longer than a shard, of which the corpus has a part; very long urls; nulls and contradictions."""
+    chance = random.Random(7)
+    host = lambda: ".".join(chance.choice("abcdefgh") for _ in range(chance.randint(1, 2))) + chance.choice((".org", ".com"))
+    path = lambda: "/" + "".join(chance.choice(("x/", "y/", "é/")) for _ in range(chance.randint(0, 2)))
+    rules = {(host(), path()): chance.choice(("allow", "block")) for _ in range(400)}
+    rules["q.org", "/" + "z" * 5000] = "block"
+    listed = {host() for _ in range(300)}
+    urls = URLS + [f"http://{host()}{path()}?q" for _ in range(1500)] + ["http://q.org/" + "z" * n for n in (4999, 5000, 200_000)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    odd = [("allow", None, "/"), ("block", "a.org", None), (None, "a.org", "/"), ("other", "com", "/"), ("block", "com", ""), ("block", "", "/")]
+    table = [(v, h.upper(), p) for (h, p), v in rules.items()]
+    table = spark.createDataFrame(table + table[:9] + odd, "verdict string, host string, path string")
+    hosts = spark.createDataFrame([(h, 1) for h in [*listed, "a.org", "A.ORG", "", None]], "host string, seen int")
+    rows = url_cascade.judge(spark, pages, rules=table, hosts=hosts, max_bits=max_bits).collect()
+    plain = [(v, h, p) for (h, p), v in rules.items()]
+    assert len(rows) == len(urls)
+    for r in rows:
+        expected = plain_verdict(urls[r.page_id], plain, ())
+        if expected[2] is None:
+            expected = (*expected[:3], "block" if expected[0] in listed | {"a.org"} else "allow")
+        assert (r.host, r.path, r.rule, r.verdict) == expected
+    assert {r.verdict for r in rows if r.rule} == {r.verdict for r in rows if not r.rule} == {"allow", "block"}
+
+
+def test_url_lists_may_be_empty_or_contradict(spark):
+    pages = spark.createDataFrame([(1, "http://casino.org/a"), (2, None)], "page_id long, url string")
+    none = url_cascade.judge(spark, pages, rules=(), hosts=spark.createDataFrame([], "host string"))
+    assert {(r.page_id, r.rule, r.verdict) for r in none.collect()} == {(1, None, "allow"), (2, None, "allow")}
+    both = url_cascade.judge(spark, pages, rules=(("allow", "org", "/"), ("block", "org", "/")))
+    assert {(r.page_id, r.rule, r.verdict) for r in both.collect()} == {(1, "org/", "block"), (2, None, "allow")}
+
+
+@pytest.mark.parametrize("max_bits", [2**23, 512])
+def test_cascade_is_exact_on_its_universe(spark, max_bits):
     keys = spark.range(4000).select(F.concat(F.lit("key"), "id").alias("key"), (F.col("id") % 7 == 0).alias("listed"))
-    found = url_cascade.cascade(spark, keys, "listed")
+    found = url_cascade.cascade(spark, keys, "listed", max_bits)
     assert len(found.levels) > 1
+    assert (found.levels[0].shards > 1) == (max_bits == 512)
     assert keys.where(found.contains(F.col("key")) != F.col("listed")).count() == 0
 
 
