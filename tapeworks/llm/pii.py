@@ -37,8 +37,8 @@ DIGIT = re.compile(r"[0-9]")
 LOOSE = re.compile(
     r"(?P<number>(?<![\w.+])\(?[0-9]++\)?(?:[\x20.-]{1,2}[0-9]++)+(?!\.*\w))"
     r"|(?P<account>(?<!\w)[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?!\w))"
-    r"|(?P<name>(?<!\w)(?:Mr|Mrs|Ms|Dr|Herr|Frau|Mme|Señora?)\.?\x20[A-ZÀ-Þ]\w{1,30}(?:\x20[A-ZÀ-Þ]\w{1,30})?)"
-    r"|(?P<address>(?<!\w)[0-9]{1,5}\x20(?:[A-Z]\w{1,30}\x20){1,3}(?:Street|St|Road|Rd|Avenue|Ave|Lane|Drive)(?!\w))"
+    r"|(?P<name>(?<!\w)(?:Mr|Mrs|Ms|Dr|Herr|Frau|Mme|Señora?)\.?\x20[A-ZÀ-Þ]\w++(?:\x20[A-ZÀ-Þ]\w++)?)"
+    r"|(?P<address>(?<!\w)[0-9]++\x20(?:[A-ZÀ-Þ]\w++\x20){1,3}(?:Street|St|Road|Rd|Avenue|Ave|Lane|Drive)(?!\w))"
 )
 KINDS = ("number", "account", "name", "address")
 FIRST_NAMES = frozenset("john mary james anna peter maria paul laura thomas sarah hans julia pierre marie luis carmen".split())

@@ -102,6 +102,10 @@ def test_personal_candidates():
     assert [pii.votes("number", n, [], [])[0] for n in ("555-123-4567", "12.05.1999", "10 20", "1234 5678 9012 3456 7")] == [1, 0, 0, 0]
     assert spans("1 22 Oak Street") == [("address", "22 Oak Street")]
     assert spans("1 2 3") == spans("XX12" + "A" * 31) == []
+    long_name = "A" + "b" * 40
+    assert spans(f"Dr. {long_name} {long_name}, 1") == [("name", f"Dr. {long_name} {long_name}")]
+    assert spans(f"at 1234567 {long_name} Élan Road.") == [("address", f"1234567 {long_name} Élan Road")]
+    assert spans("9" * 50000 + " " + "Ab " * 20000) == spans("1 Oak Streets") == []
     assert spans("1.1" * 50000 + "x") == []
 
 
