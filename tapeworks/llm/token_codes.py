@@ -26,6 +26,7 @@ from tapeworks.session import shared_dir
 END = 2
 SEGMENT_IDS = 1 << 20
 RANK_BITS = 512
+LOOKS = 1 << 14  # places looked up at once
 _ONES = np.array([bin(b).count("1") for b in range(256)], np.uint8)
 FILE = "part int, segment int, n_ids long, doc_ids array<bigint>, starts binary, levels array<binary>, bitmaps array<binary>, ranks array<binary>"
 
@@ -73,6 +74,28 @@ def decode(levels: list[bytes], bitmaps: list[bytes]) -> np.ndarray:
     return above
 
 
+def at_places(levels: list[bytes], bitmaps: list[bytes], ranks: list[bytes], places: np.ndarray) -> np.ndarray:
+    """The ids at all ``places``: ``at`` in slices, so that memory doesn't follow their number."""
+    ids = np.zeros(len(places), np.uint32)
+    in_block = np.arange(RANK_BITS // 8)
+    for begin in range(0, len(places), LOOKS):
+        place = np.asarray(places[begin : begin + LOOKS], np.int64)
+        left = begin + np.arange(len(place))
+        for k, level in enumerate(levels):
+            ids[left] |= np.frombuffer(level, np.uint8)[place].astype(np.uint32) << (8 * k)
+            if k == len(bitmaps):
+                break
+            bits = np.frombuffer(bitmaps[k], np.uint8)
+            goes_on = (bits[place >> 3] >> (place & 7) & 1).astype(bool)
+            left, place = left[goes_on], place[goes_on]
+            byte, block = place >> 3, place // RANK_BITS
+            members = block[:, None] * len(in_block) + in_block
+            before = np.where(members < byte[:, None], _ONES[bits[np.minimum(members, len(bits) - 1)]], 0).sum(1, dtype=np.int64)
+            below = _ONES[bits[byte] & ((1 << (place & 7)) - 1)]
+            place = np.frombuffer(ranks[k], "<u4")[block].astype(np.int64) + before + below
+    return ids
+
+
 def _segments(vocabulary: str, end: int, target: int):
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = int(end).to_bytes(4, "little")
@@ -164,6 +187,57 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return found.join(places, ["part", "segment"]).select("doc_id", start, "n_tokens", "ids_crc32")
 
 
+def _directory(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part, segment, n_ids, docs, starts in zip(*(column.to_pylist() for column in batch.columns)):
+            begin = np.frombuffer(starts, "<u8").astype(np.int64)
+            columns = {
+                "part": pa.array([part] * len(docs), pa.int32()),
+                "segment": pa.array([segment] * len(docs), pa.int32()),
+                "doc_id": pa.array(docs, pa.int64()),
+                "begin": pa.array(begin),
+                "n_tokens": pa.array(np.append(begin[1:], n_ids) - begin),
+            }
+            yield pa.RecordBatch.from_pydict(columns)
+
+
+def _looked_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for levels, bitmaps, ranks, wanted in zip(*(column.to_pylist() for column in batch.columns)):
+            ids = at_places(levels, bitmaps, ranks, np.array([w["place"] for w in wanted], np.int64))
+            columns = {
+                "doc_id": pa.array([w["doc_id"] for w in wanted], pa.int64()),
+                "position": pa.array([w["position"] for w in wanted], pa.int64()),
+                "token_id": pa.array(ids.astype(np.int64)),
+            }
+            yield pa.RecordBatch.from_pydict(columns)
+
+
+def lookup(spark: SparkSession, path: str, requests: DataFrame) -> DataFrame:
+    """``doc_id, position, token_id``: the ids at single places of the files' documents.
+
+    ``requests`` has ``doc_id, position``, counted from 0 in the document with
+    its end id; other columns are ignored. Repeated requests are answered once.
+    Null ids or positions, unknown ids and places outside a document have no
+    row; where documents share an id, each that has the place gives one.
+
+    Document starts tell the segment and place. Requests of a segment meet it
+    at most ``SEGMENT_IDS`` at a time, however many ask for one document, and
+    segments that nobody asks for are dropped before their codes are moved.
+    """
+    files = spark.read.parquet(path)
+    directory = files.select("part", "segment", "n_ids", "doc_ids", "starts").mapInArrow(
+        _directory, "part int, segment int, doc_id long, begin long, n_tokens long"
+    )
+    asked = requests.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("position").cast("bigint").alias("position")).distinct()
+    met = asked.join(directory, "doc_id").where("position >= 0 and position < n_tokens")
+    place = F.col("begin") + F.col("position")
+    group = F.call_function("div", place, F.lit(SEGMENT_IDS)).alias("slice")
+    wanted = met.groupBy("part", "segment", group).agg(F.collect_list(F.struct("doc_id", "position", place.alias("place"))).alias("wanted"))
+    found = files.select("part", "segment", "levels", "bitmaps", "ranks").join(wanted, ["part", "segment"])
+    return found.select("levels", "bitmaps", "ranks", "wanted").mapInArrow(_looked_up, "doc_id long, position long, token_id long")
+
+
 def round_trip(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
     """What ``read`` finds in files just written to the shared folder."""
     path = f"{shared_dir(spark)}/tapeworks-codes-{uuid.uuid4().hex}"

@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tapeworks.llm import packing, token_codes
@@ -114,3 +115,31 @@ def test_direct_access():
     levels, bitmaps, ranks = token_codes.encode(ids)
     assert token_codes.decode(levels, bitmaps).tolist() == ids.tolist()
     assert [token_codes.at(levels, bitmaps, ranks, i) for i in range(len(ids))] == ids.tolist()
+    places = np.random.default_rng(1).integers(0, len(ids), 40_000)
+    assert (token_codes.at_places(levels, bitmaps, ranks, places) == ids[places]).all()
+    assert token_codes.at_places(levels, bitmaps, ranks, places[:0]).tolist() == []
+
+
+@pytest.mark.parametrize("size", [100, 1 << 20])
+def test_lookup_of_single_ids(spark, docs_of, plain, tmp_path, size):
+    """Every place of every document, by ranks, without decoding; odd requests have no row."""
+    docs = docs_of(TEXTS).unionByName(docs_of(["tie", "tie", "tie knot"], first=3)).unionByName(docs_of(["no id"], first=99))
+    docs = docs.withColumn("doc_id", F.expr("nullif(doc_id, 99)"))
+    path = str(tmp_path / "codes")
+    token_codes.write(spark, docs, path, segment_ids=size)
+    expected, asked = [], []
+    for doc_id, text in ((r.doc_id, r.text) for r in docs.where("doc_id is not null").collect()):
+        ids = plain(text) + [token_codes.END]
+        expected += [(doc_id, i, token) for i, token in enumerate(ids)]
+        asked += [(doc_id, i, 0) for i in range(-1, len(ids) + 1)]
+    asked += [(None, 0, 0), (0, None, 0), (77, 0, 0), *asked[:50]]
+    requests = spark.createDataFrame(asked, "doc_id long, position long, segment int")
+    found = sorted(tuple(r) for r in token_codes.lookup(spark, path, requests).collect())
+    assert found == sorted(expected)
+    assert token_codes.lookup(spark, path, requests.limit(0)).collect() == []
+
+
+def test_lookup_in_nothing(spark, docs_of, tmp_path):
+    token_codes.write(spark, docs_of(["x"]).limit(0), str(tmp_path / "none"))
+    requests = spark.createDataFrame([(0, 0)], "doc_id long, position long")
+    assert token_codes.lookup(spark, str(tmp_path / "none"), requests).collect() == []
