@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapeworks import defaults
+from tapeworks.operators.folds import CHUNK_ROWS
 from tapeworks.operators.metrics import interval_index
 from tapeworks.operators.running import join_back
 
@@ -80,7 +81,8 @@ def outage_episodes(
     ok: str = "ok",
     delay: int = defaults.RECONNECT_DELAY_SECONDS,
     max_attempts: int = defaults.MAX_RECONNECT_ATTEMPTS,
-    chunk_seconds: int = 3600,
+    chunk_seconds: int = 60,
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Add ``episode``, ``attempt``, ``expected_delay`` and ``outcome`` to each row.
 
@@ -89,10 +91,16 @@ def outage_episodes(
     ``delay * 2**attempt``. The failure that uses up the last attempt gives
     up; whatever fails after that in the episode finds the client stopped.
 
-    Counts run within time chunks of a name and are carried from chunk to
-    chunk, so neither a long outage nor a busy name ends up in one task.
+    Counts run within chunks of a name and are carried from chunk to chunk, so
+    neither a long outage nor a busy name ends up in one task. A chunk ends
+    after ``chunk_rows`` rows, at the next step of ``chunk_seconds``. Rows
+    without a time come first in a name's history.
     """
-    cut = log.withColumn("_chunk", interval_index(F.col(ts), chunk_seconds))
+    cut = log.withColumn("_step", interval_index(F.col(ts), chunk_seconds))
+    upto_step = Window.partitionBy(name).orderBy("_step").rowsBetween(Window.unboundedPreceding, -1)
+    steps = cut.groupBy(name, "_step").agg(F.count("*").alias("_rows"))
+    number = F.call_function("div", F.coalesce(F.sum("_rows").over(upto_step), F.lit(0)), F.lit(chunk_rows))
+    cut = join_back(cut, steps.select(name, "_step", number.alias("_chunk")), [name, "_step"])
     within = Window.partitionBy(name, "_chunk").orderBy(ts, seq)
     upto = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = within.rowsBetween(Window.unboundedPreceding, -1)

@@ -105,10 +105,13 @@ def tick_totals(
     origin = start_ms or 0
     first = F.lit(0) if start_ms is not None else F.col("first")
     final = F.col("final") if end_ms is None else F.lit((end_ms - origin - 1) // width)
-    spine = (
-        per_interval.agg(F.min("slot").alias("first"), F.max("slot").alias("final"))
-        .select(first.cast("bigint").alias("first"), F.explode(F.sequence(first.cast("bigint"), final.cast("bigint"))).alias("slot"))
-    )
+    # The slots of a long span, as one wrong clock makes it, are dealt to tasks in pieces.
+    span = per_interval.agg(F.min("slot").alias("first"), F.max("slot").alias("final"))
+    span = span.select(first.cast("bigint").alias("first"), final.cast("bigint").alias("final"))
+    begins = F.when(F.col("first") <= F.col("final"), F.sequence("first", "final", F.lit(INTERVALS_PER_BUCKET)))
+    pieces = span.withColumn("piece", F.explode(begins)).repartition("piece")
+    last = F.least(F.col("piece") + (INTERVALS_PER_BUCKET - 1), F.col("final"))
+    spine = pieces.select("first", F.explode(F.sequence("piece", last)).alias("slot"))
     ticks = spine.join(per_interval, "slot", "left").select(
         "slot",
         "first",

@@ -218,9 +218,9 @@ def test_rows_are_shuffled_once_for_both_steps(spark, logs):
 
 
 def test_outage_episodes_across_chunks(spark, logs):
-    for chunk_seconds in (5, 3600):
+    for chunk_seconds, chunk_rows in ((5, 1), (1, 17), (60, 40), (3600, folds.CHUNK_ROWS)):
         got = {}
-        out = intake_limits.outage_episodes(table(spark, logs), max_attempts=4, chunk_seconds=chunk_seconds)
+        out = intake_limits.outage_episodes(table(spark, logs), max_attempts=4, chunk_seconds=chunk_seconds, chunk_rows=chunk_rows)
         for r in out.collect():
             got.setdefault(r.name, []).append((r.seq, r.episode, r.attempt, r.expected_delay, r.outcome))
         for name, entries in logs.items():

@@ -44,6 +44,15 @@ def test_heartbeat_over_a_given_range(spark):
     assert report[0].ms_since_last_message == 0
 
 
+def test_heartbeats_since_a_wrong_clock(spark):
+    """A frame of 1970 makes half a million hours of ticks, which are made in pieces."""
+    rows = frames(spark).unionByName(classified(spark, [(-T0_MS / 1000, "object", "published", "a@trade")]))
+    report = metrics.heartbeat_report(rows, 3600)
+    ends = report.agg(F.count("*"), F.countDistinct("tick_ms"), F.min("tick_ms"), F.max("tick_ms"), F.sum("processed_since_last"), F.max("total_processed"))
+    assert tuple(ends.first()) == (T0_MS // 3600000 + 1, T0_MS // 3600000 + 1, 3600000, T0_MS + 3600000, 101, 101)
+    assert metrics.heartbeat_report(rows, 3600, T0_MS, T0_MS - 7200000).count() == 0
+
+
 def test_running_totals_and_snapshot(spark):
     totals = metrics.running_totals(frames(spark), 10).orderBy("interval_start_ms").collect()
     assert [r.total_processed for r in totals][:5] == [20, 40, 60, 80, 100]
