@@ -145,6 +145,16 @@ def test_throttle(spark, logs, chunk_rows):
         assert sorted(got.get(name, [])) == want
 
 
+@pytest.mark.parametrize("fan,levels", [(4, 1)])
+def test_many_groups_of_chunks(spark, logs, monkeypatch, fan, levels):
+    """More chunks than one group composes, with tables left to chain above it."""
+    monkeypatch.setattr(folds, "FAN", fan)
+    monkeypatch.setattr(folds, "LEVELS", levels)
+    test_breaker(spark, logs, 1)
+    test_leaky_bucket(spark, logs, 1, 5, 2)
+    test_throttle(spark, logs, 1)
+
+
 def test_throttle_is_not_one_per_calendar_minute(spark):
     entries = [(T0_US + s * 1_000_000, s, True, True) for s in (10, 59, 60, 100, 121, 180, 200)]
     out = throttle.throttled_stats(
