@@ -82,8 +82,11 @@ def is_json(raw: Column) -> Column:
     return is_object(raw, parsed_object(raw)[TAIL_KEY]) | is_other_json(raw)
 
 
-# A quote that is not escaped, that is, not behind an odd number of backslashes.
-QUOTE = r'(?<!(?<!\\)(?:\\\\){0,30}\\)"'
+# Up to and with a number that is not finite: strings, closed or not, are passed as
+# a whole. Every part is possessive, so a text is gone through once, whatever its length.
+NOT_FINITE = "[+-]?(?:NaN|Infinity|INF)"
+STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"?+'
+UP_TO_NOT_FINITE = rf'(?s)\G((?:[^"\\NI+-]++|{STRING}|\\["\\]?+|(?!{NOT_FINITE})[NI+-])*+){NOT_FINITE}'
 
 
 def one_line(raw: Column) -> Column:
@@ -93,12 +96,9 @@ def one_line(raw: Column) -> Column:
     Numbers that are not finite, which JSON has no form for, become null; they
     are looked for between strings only.
     """
-    line = F.translate(raw, "\r\n", "  ")
-    strict = F.transform(
-        F.split(line, QUOTE, -1),
-        lambda part, i: F.when(i % 2 == 0, F.regexp_replace(part, "[+-]?(NaN|Infinity|INF)", "null")).otherwise(part),
-    )
-    return F.when(line.rlike("NaN|Infinity|INF"), F.array_join(strict, '"')).otherwise(line)
+    line = F.replace(F.replace(raw, F.lit("\r"), F.lit(" ")), F.lit("\n"), F.lit(" "))
+    named = [F.contains(line, F.lit(word)) for word in ("NaN", "Infinity", "INF")]
+    return F.when(named[0] | named[1] | named[2], F.regexp_replace(line, UP_TO_NOT_FINITE, "$1null")).otherwise(line)
 
 
 def json_type(value: Column) -> Column:

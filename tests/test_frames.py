@@ -1,11 +1,14 @@
 """Parsing and routing single frames, checked against a plain restatement."""
 
 import json
+import random
+import re
 
 from pyspark.sql import functions as F
 
 from tapeworks import defaults
 from tapeworks.functions import envelope as env
+from tapeworks.functions import frames as fr
 from tapeworks.functions import routing
 from tapeworks.operators import intake, payloads
 from tapeworks.sources import readers, writers
@@ -316,3 +319,35 @@ def test_unknown_types_share_a_folder(spark, tmp_path):
     assert sorted(p.name for p in (tmp_path / "land").glob("date=*/*") if p.is_dir()) == ["stream_type=other", "stream_type=trade"]
     back = readers.read_routed(spark, str(tmp_path / "land"), ["b@made up 3"])
     assert [r.raw for r in back.collect()] == [raws[3]]
+
+
+def plain_one_line(raw):
+    """String by string, character by character."""
+    out, inside, i = [], False, 0
+    text = raw.replace("\r", " ").replace("\n", " ")
+    while i < len(text):
+        number = None if inside else re.match(r"[+-]?(NaN|Infinity|INF)", text[i:])
+        if number:
+            out.append("null")
+            i += number.end()
+        elif inside and text[i] == "\\":
+            out.append(text[i : i + 2])
+            i += 2
+        else:
+            inside ^= text[i] == '"'
+            out.append(text[i])
+            i += 1
+    return "".join(out)
+
+
+def test_one_line_of_many_forms(spark):
+    """Escapes of any length before a quote; words of numbers inside and between strings."""
+    chance = random.Random(5)
+    word = lambda: chance.choice(["NaN", "-Infinity", "+INF", "IN", "N", "+-NaN", "a", " ", "é", " ", "😀"])
+    texts = ["", "{}", "[NaN,-Infinity]", '{"a":"' + "\\" * 63 + '" NaN","b":NaN}', '{"a":"' + "\\" * 64 + '","b":NaN}']
+    for _ in range(300):
+        inner = lambda: "".join(chance.choice([word(), r"\"", r"\\", r"\n"]) for _ in range(chance.randint(0, 8)))
+        texts.append("{" + ",\r\n".join(f'"{inner()}":{word()}' for _ in range(chance.randint(0, 5))) + "}")
+    texts.append('{"long":"' + r"x\" NaN " * 50_000 + '",' + '"n":NaN,' * 50_000 + '"e":1}')
+    rows = spark.createDataFrame([(t,) for t in texts], "raw string").select("raw", fr.one_line(F.col("raw")).alias("line")).collect()
+    assert all(r.line == plain_one_line(r.raw) for r in rows)
