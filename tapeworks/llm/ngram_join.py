@@ -14,8 +14,13 @@ of it can hold a pair that is similar enough:
    in blocks of bounded size: a cluster, or a share of one with some pivots of
    the whole. Within a block overlaps are accumulated by products over slices
    of the n-grams, and pairs below the bound are discarded.
-3. Only where a divided cluster is still in several components do the blocks
-   of different components meet pairwise.
+3. A divided cluster that is still in several components is taken relative to
+   its centre, the n-grams that most of it has: a set becomes what it has beyond
+   the centre and what it lacks of it. Differences of sets stay what they are.
+   Sets near enough to the centre are linked without being compared. Others
+   meet in blocks where they share a rare n-gram of these. Sets that share none
+   are told apart by their numbers of rare and common ones; blocks of different
+   components meet pairwise only for the sets of which these leave it open.
 
 Equal sets are one row of the matrix: links go to their smallest id.
 """
@@ -38,6 +43,7 @@ PERCENT = 85
 BLOCK = 400  # documents
 PIVOTS = 24
 SLICE = 4096  # n-grams of one product
+RARE = 64  # documents of a cluster that have a rare n-gram beyond, or lack it of, the centre
 MET = 20_000  # digests of sets that a task remembers
 
 
@@ -240,6 +246,7 @@ def join(
     percent: int = PERCENT,
     block: int = BLOCK,
     pivots: int = PIVOTS,
+    rare: int = RARE,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -282,21 +289,110 @@ def join(
     edges = edges.unionByName(same.select(F.col("doc_id").alias("a"), F.col("first").alias("b")))
     found = written(spark, components(spark, edges), "components")
 
-    # Divided clusters in several components: their blocks meet unless they are of one component.
+    # Divided clusters in several components.
     divided = members.where("shares > 1").select("cluster", "doc_id")
     divided = divided.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    divided = divided.join(sets.select("doc_id", "n_shingles").distinct(), "doc_id")
     divided = divided.withColumn("component", F.coalesce("component", "doc_id"))
     several = divided.groupBy("cluster").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     divided = written(spark, divided.join(several.where("low <> high").select("cluster"), "cluster"), "divided")
     if not divided.isEmpty():
-        placed = written(spark, _pairwise(divided, block, percent), "blocks")
-        met = written(spark, _edges(spark, texts, placed, length, percent), "links")
-        found = components(spark, edges.unionByName(met))
+        beyond = _beyond(spark, texts, divided, length, percent)
+        best = beyond.groupBy("cluster").agg(F.min(F.struct("excess", "doc_id", "component")).alias("best"))
+        beyond = beyond.join(best, "cluster").withColumn("sure", F.expr("excess + best.excess <= 0"))
+        sure = beyond.where("sure and doc_id <> best.doc_id").select(F.col("doc_id").alias("a"), F.col("best.doc_id").alias("b"))
+        # From here on a component may stand for a part of one.
+        beyond = beyond.withColumn("component", F.expr("if(sure, best.component, component)"))
+        beyond = written(spark, beyond.select("cluster", "doc_id", "component", "mark", "n_shingles", "beyond"), "beyond")
+        placed, left = _by_rare(beyond, percent, rare)
+        placed = written(spark, placed, "blocks")
+        edges = edges.unionByName(sure).unionByName(_edges(spark, texts, placed, length, percent))
+        left = written(spark, left, "open")
+        if not left.isEmpty():
+            placed = written(spark, _pairwise(left, block, percent), "blocks")
+            edges = edges.unionByName(_edges(spark, texts, placed, length, percent))
+        found = components(spark, written(spark, edges, "links"))
     answer = sets.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     return answer.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
+def _beyond(spark: SparkSession, docs: DataFrame, divided: DataFrame, length: int, percent: int) -> DataFrame:
+    """Rows of ``divided`` with ``mark, n_shingles, beyond, excess``, once for each set of a document.
+
+    ``beyond`` are the n-grams in which a set differs from the centre of its
+    cluster, those that more than half of it has. Two sets are linked when
+    twice the number of what both have in ``beyond``, times 100 + percent, is
+    at least the sum of their ``excess``.
+    """
+    docs = docs.where(maybe_among(spark, divided.select("doc_id"), F.col("doc_id")))
+    texts = written(spark, docs.join(divided, "doc_id").select("cluster", "doc_id", "component", "text"), "divided-texts")
+
+    def grams_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def together(rows):
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*rows)], names=["cluster", "gram"])
+
+        with task_words():
+            for batch in batches:
+                rows, size = [], 0
+                for cluster, text in zip(*(column.to_pylist() for column in batch.columns)):
+                    grams = shingle_set(text, length).view(np.int64)
+                    rows.append((np.full(len(grams), cluster, np.int64), grams))
+                    size += len(grams)
+                    if size > 1 << 18:
+                        yield together(rows)
+                        rows, size = [], 0
+                if rows:
+                    yield together(rows)
+
+    def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with task_words():
+            for batch in batches:
+                sets = [shingle_set(text, length) for text in batch.column(3).to_pylist()]
+                centres = [c.values.to_numpy() if c.is_valid else np.zeros(0, np.int64) for c in batch.column(4)]
+                apart = [np.setxor1d(s.view(np.int64), c) for s, c in zip(sets, centres)]
+                excess = [(100 + percent) * len(d) - (100 - percent) * len(s) for s, d in zip(sets, apart)]
+                columns = [[digest(s)[0] for s in sets], [len(s) for s in sets], excess]
+                places = pa.array(np.cumsum([0, *map(len, apart)]), pa.int32())
+                beyond = pa.ListArray.from_arrays(places, pa.array(np.concatenate([np.zeros(0, np.int64), *apart])))
+                names = ["cluster", "doc_id", "component", "mark", "n_shingles", "excess", "beyond"]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:3], *[pa.array(c, pa.int64()) for c in columns], beyond], names=names)
+
+    counts = texts.groupBy("cluster").agg(F.count("*").alias("size"))
+    held = texts.select("cluster", "text").mapInArrow(grams_of, "cluster long, gram long").groupBy("cluster", "gram").agg(F.count("*").alias("n"))
+    centre = held.join(counts, "cluster").where("2 * n > size").groupBy("cluster").agg(F.collect_list("gram").alias("centre"))
+    rows = texts.join(centre, "cluster", "left").select("cluster", "doc_id", "component", "text", "centre")
+    shape = "cluster long, doc_id long, component long, mark long, n_shingles long, excess long, beyond array<long>"
+    found = rows.mapInArrow(differ, shape).where("n_shingles > 0").dropDuplicates(["doc_id", "mark"])
+    return written(spark, found, "beyond")
+
+
+def _by_rare(beyond: DataFrame, percent: int, rare: int) -> tuple[DataFrame, DataFrame]:
+    """Blocks of the documents of several components with a rare n-gram in ``beyond``; which documents may have links besides.
+
+    Sets that share no rare one differ in all their rare ones and in at least
+    as many common ones as they have more or fewer.
+    """
+    row = ["cluster", "doc_id", "component", "mark"]
+    single = beyond.select(*row, F.explode("beyond").alias("gram"))
+    times = single.groupBy("cluster", "gram").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
+    few = times.where((F.col("n") <= rare) & (F.col("low") != F.col("high"))).select("cluster", "gram")
+    groups = single.join(few, ["cluster", "gram"]).groupBy("cluster", "gram").agg(F.array_sort(F.collect_set("doc_id")).alias("ids"))
+    placed = groups.select("ids").distinct().select(F.sha2(F.array_join("ids", ","), 256).alias("block"), F.explode("ids").alias("doc_id"))
+
+    many = times.where(F.col("n") > rare).select("cluster", "gram")
+    common = single.join(many, ["cluster", "gram"], "left_semi").groupBy("doc_id", "mark").agg(F.count("*").alias("common"))
+    rows = beyond.withColumn("size", F.size("beyond")).drop("beyond").join(common, ["doc_id", "mark"], "left")
+    rows = rows.withColumn("common", F.coalesce("common", F.lit(0)))
+    rows = rows.withColumn("over", F.expr(f"{100 + percent} * (size - common) - {100 - percent} * n_shingles"))
+    # The least by number of common ones, and the least of another component.
+    least = rows.groupBy("cluster", "common", "component").agg(F.min("over").alias("over"))
+    nth = F.row_number().over(Window.partitionBy("cluster", "common").orderBy("over", "component"))
+    least = least.withColumn("nth", nth).where("nth <= 2")
+    least = least.groupBy("cluster").agg(F.collect_list(F.struct("common", "component", "over")).alias("least"))
+    may = f"exists(least, l -> l.component <> component and l.over + over + {100 + percent} * abs(l.common - common) <= 0)"
+    left = rows.join(least, "cluster").where(may).select("cluster", "doc_id", "component", "n_shingles").distinct()
+    return placed, left
+
+
 def _pairwise(divided: DataFrame, block: int, percent: int) -> DataFrame:
     """``block, doc_id`` for pairs of half blocks that may hold a link between components.
 

@@ -112,3 +112,39 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 200), (200, 150), (7, 7)]
     found = {r.node: r.component for r in components(spark, spark.createDataFrame(edges, "a long, b long")).collect()}
     assert found == {**dict.fromkeys(range(41), 0), **dict.fromkeys((100, 150, 200), 100)}
+
+
+def drifting(seed, copies, templates=1, words=100):
+    """Copies of a text with few and with many words changed, cut or put in, some of them changed further."""
+    chance = random.Random(seed)
+    texts = []
+    for _ in range(templates):
+        first = [f"w{chance.randint(0, 10**6)}" for _ in range(words)]
+        for _ in range(copies):
+            edited = list(chance.choice([first, first, texts[-1].split() if texts else first]))
+            for _ in range(chance.randint(0, 8)):
+                edited[chance.randrange(len(edited))] = chance.choice([f"e{chance.randint(0, 10**6)}", f"e{chance.randint(0, 3)}", ""])
+            texts.append(" ".join(edited[: len(edited) - chance.choice([0, 0, 3, 9])]))
+    return texts
+
+
+@pytest.mark.parametrize("rare,templates", [(64, 1), (3, 1), (0, 2), (5, 3)])
+def test_divided_group_in_many_components(spark, docs_of, rare, templates):
+    docs = docs_of(drifting(rare, 150 // templates, templates))
+    check(spark, docs.unionByName(docs.limit(30)), block=20, pivots=1, rare=rare)
+
+
+def test_lone_edits_do_not_meet_pairwise(spark, docs_of, monkeypatch):
+    """Rows put in blocks grow with the group, not with its square."""
+    rows = []
+    edges = ngram_join._edges
+    monkeypatch.setattr(ngram_join, "_edges", lambda s, d, placed, *rest: rows.append(placed.count()) or edges(s, d, placed, *rest))
+    base = [f"w{i}" for i in range(120)]
+    texts, chance = [], random.Random(1)
+    for i in range(600):
+        words = list(base)
+        for place in chance.sample(range(120), 1 + i % 8):
+            words[place] = f"x{i}y{place}"
+        texts.append(" ".join(words))
+    check(spark, docs_of(texts), block=20, pivots=1, rare=8)
+    assert len(rows) > 1 and sum(rows) < 8 * len(texts)
