@@ -44,6 +44,7 @@ BLOCK = 400  # documents
 PIVOTS = 24
 SLICE = 4096  # n-grams of one product
 RARE = 64  # documents of a cluster that have a rare n-gram beyond, or lack it of, the centre
+OFTEN = 8  # n-grams that more than one in so many sets of a cluster has are passed with its centre
 MET = 20_000  # digests of sets that a task remembers
 
 
@@ -296,13 +297,13 @@ def join(
     several = divided.groupBy("cluster").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     divided = written(spark, divided.join(several.where("low <> high").select("cluster"), "cluster"), "divided")
     if not divided.isEmpty():
-        beyond = _beyond(spark, texts, divided, length, percent)
+        beyond = _beyond(spark, texts, divided, length, percent, rare)
         best = beyond.groupBy("cluster").agg(F.min(F.struct("excess", "doc_id", "component")).alias("best"))
         beyond = beyond.join(best, "cluster").withColumn("sure", F.expr("excess + best.excess <= 0"))
         sure = beyond.where("sure and doc_id <> best.doc_id").select(F.col("doc_id").alias("a"), F.col("best.doc_id").alias("b"))
         # From here on a component may stand for a part of one.
         beyond = beyond.withColumn("component", F.expr("if(sure, best.component, component)"))
-        beyond = written(spark, beyond.select("cluster", "doc_id", "component", "mark", "n_shingles", "beyond"), "beyond")
+        beyond = written(spark, beyond.select("cluster", "doc_id", "component", "mark", "n_shingles", "often", "beyond"), "beyond")
         placed, left = _by_rare(beyond, percent, rare)
         placed = written(spark, placed, "blocks")
         edges = edges.unionByName(sure).unionByName(_edges(spark, texts, placed, length, percent))
@@ -315,13 +316,17 @@ def join(
     return answer.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
-def _beyond(spark: SparkSession, docs: DataFrame, divided: DataFrame, length: int, percent: int) -> DataFrame:
-    """Rows of ``divided`` with ``mark, n_shingles, beyond, excess``, once for each set of a document.
+def _beyond(spark: SparkSession, docs: DataFrame, divided: DataFrame, length: int, percent: int, rare: int) -> DataFrame:
+    """Rows of ``divided`` with ``mark, n_shingles, often, beyond, excess``, once for each set of a document.
 
-    ``beyond`` are the n-grams in which a set differs from the centre of its
-    cluster, those that more than half of it has. Two sets are linked when
-    twice the number of what both have in ``beyond``, times 100 + percent, is
-    at least the sum of their ``excess``.
+    A set differs from the centre of its cluster, the n-grams that more than
+    half of it has, in those in ``beyond`` and in ``often`` others. Two sets are
+    linked when twice the number of these that both have, times 100 + percent,
+    is at least the sum of their ``excess``. ``often`` counts the n-grams in
+    which more than ``rare`` sets differ and which are the centre's or had by
+    more than one set in OFTEN. However large a cluster is, these are at most
+    OFTEN times as many as a set of it has on average; they are passed with the
+    centre and counted in the row.
     """
     docs = docs.where(maybe_among(spark, divided.select("doc_id"), F.col("doc_id")))
     texts = written(spark, docs.join(divided, "doc_id").select("cluster", "doc_id", "component", "text"), "divided-texts")
@@ -350,17 +355,22 @@ def _beyond(spark: SparkSession, docs: DataFrame, divided: DataFrame, length: in
                 centres = [c.values.to_numpy() if c.is_valid else np.zeros(0, np.int64) for c in batch.column(4)]
                 apart = [np.setxor1d(s.view(np.int64), c) for s, c in zip(sets, centres)]
                 excess = [(100 + percent) * len(d) - (100 - percent) * len(s) for s, d in zip(sets, apart)]
-                columns = [[digest(s)[0] for s in sets], [len(s) for s in sets], excess]
-                places = pa.array(np.cumsum([0, *map(len, apart)]), pa.int32())
-                beyond = pa.ListArray.from_arrays(places, pa.array(np.concatenate([np.zeros(0, np.int64), *apart])))
-                names = ["cluster", "doc_id", "component", "mark", "n_shingles", "excess", "beyond"]
+                common = [c.values.to_numpy() if c.is_valid else np.zeros(0, np.int64) for c in batch.column(5)]
+                rest = [np.setdiff1d(d, c, assume_unique=True) for d, c in zip(apart, common)]
+                often = [len(d) - len(r) for d, r in zip(apart, rest)]
+                columns = [[digest(s)[0] for s in sets], [len(s) for s in sets], excess, often]
+                places = pa.array(np.cumsum([0, *map(len, rest)]), pa.int32())
+                beyond = pa.ListArray.from_arrays(places, pa.array(np.concatenate([np.zeros(0, np.int64), *rest])))
+                names = ["cluster", "doc_id", "component", "mark", "n_shingles", "excess", "often", "beyond"]
                 yield pa.RecordBatch.from_arrays([*batch.columns[:3], *[pa.array(c, pa.int64()) for c in columns], beyond], names=names)
 
     counts = texts.groupBy("cluster").agg(F.count("*").alias("size"))
     held = texts.select("cluster", "text").mapInArrow(grams_of, "cluster long, gram long").groupBy("cluster", "gram").agg(F.count("*").alias("n"))
-    centre = held.join(counts, "cluster").where("2 * n > size").groupBy("cluster").agg(F.collect_list("gram").alias("centre"))
-    rows = texts.join(centre, "cluster", "left").select("cluster", "doc_id", "component", "text", "centre")
-    shape = "cluster long, doc_id long, component long, mark long, n_shingles long, excess long, beyond array<long>"
+    lists = {"centre": "2 * n > size", "common": f"least(n, size - n) > {rare}"}
+    lists = [F.collect_list(F.when(F.expr(which), F.col("gram"))).alias(name) for name, which in lists.items()]
+    centre = held.join(counts, "cluster").where(f"{OFTEN} * n > size").groupBy("cluster").agg(*lists)
+    rows = texts.join(centre, "cluster", "left").select("cluster", "doc_id", "component", "text", "centre", "common")
+    shape = "cluster long, doc_id long, component long, mark long, n_shingles long, excess long, often long, beyond array<long>"
     found = rows.mapInArrow(differ, shape).where("n_shingles > 0").dropDuplicates(["doc_id", "mark"])
     return written(spark, found, "beyond")
 
@@ -369,7 +379,7 @@ def _by_rare(beyond: DataFrame, percent: int, rare: int) -> tuple[DataFrame, Dat
     """Blocks of the documents of several components with a rare n-gram in ``beyond``; which documents may have links besides.
 
     Sets that share no rare one differ in all their rare ones and in at least
-    as many common ones as they have more or fewer.
+    as many common ones as they have more or fewer. Those in ``often`` are common.
     """
     row = ["cluster", "doc_id", "component", "mark"]
     single = beyond.select(*row, F.explode("beyond").alias("gram"))
@@ -383,6 +393,7 @@ def _by_rare(beyond: DataFrame, percent: int, rare: int) -> tuple[DataFrame, Dat
     rows = beyond.withColumn("size", F.size("beyond")).drop("beyond").join(common, ["doc_id", "mark"], "left")
     rows = rows.withColumn("common", F.coalesce("common", F.lit(0)))
     rows = rows.withColumn("over", F.expr(f"{100 + percent} * (size - common) - {100 - percent} * n_shingles"))
+    rows = rows.withColumn("common", F.col("common") + F.col("often"))
     # The least by number of common ones, and the least of another component.
     least = rows.groupBy("cluster", "common", "component").agg(F.min("over").alias("over"))
     nth = F.row_number().over(Window.partitionBy("cluster", "common").orderBy("over", "component"))

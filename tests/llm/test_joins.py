@@ -148,3 +148,31 @@ def test_lone_edits_do_not_meet_pairwise(spark, docs_of, monkeypatch):
         texts.append(" ".join(words))
     check(spark, docs_of(texts), block=20, pivots=1, rare=8)
     assert len(rows) > 1 and sum(rows) < 8 * len(texts)
+
+
+@pytest.mark.parametrize("one_in", [0, 3, 10])
+def test_ngrams_of_much_of_a_cluster_are_no_rows(spark, docs_of, monkeypatch, one_in):
+    """What many copies lack of their centre or have beyond it is counted in the row; a row each is for what fewer have."""
+    from pyspark.sql import functions as F
+
+    rows = []
+
+    def by_rare(beyond, percent, rare):
+        times = beyond.select("cluster", F.explode("beyond").alias("gram")).groupBy("cluster", "gram").count()
+        rows.append(times.where(F.col("count") > rare).agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0])
+        return taken(beyond, percent, rare)
+
+    taken = ngram_join._by_rare
+    monkeypatch.setattr(ngram_join, "_by_rare", by_rare)
+    chance, texts = random.Random(2), []
+    base = [f"w{i}" for i in range(120)]
+    for i in range(300):
+        words = list(base)
+        for place in chance.sample(range(120), 2 + i % 9):
+            words[place] = f"x{i}y{place}"
+        if one_in and i % one_in == 0:
+            words[40:48] = [f"z{k}" for k in range(8)]
+        texts.append(" ".join(words))
+    check(spark, docs_of(texts), block=20, pivots=1, rare=4)
+    # The 11 n-grams with a word of the other middle are common, but one text in ten has them.
+    assert 0 < rows[0] <= 11 * 30 if one_in == 10 else rows == [0]
