@@ -11,6 +11,7 @@ from tapeworks.session import prepare, shared_dir
 
 # Fixed value: the white space that separates words, [\x20\x09-\x0D].
 SPACES = " \t\n\x0b\x0c\r"
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,10 +27,17 @@ def whole_text(text: str = "text") -> Column:
 def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the folder that driver and executors share.
 
-    Cuts the lineage, so that a lost executor costs at most a re-read.
+    Cuts the lineage, so that a lost executor costs at most a re-read. What was
+    shuffled for the table is removed once it is there, rather than when the
+    driver happens to collect its garbage.
     """
     path = f"{shared_dir(spark)}/tapeworks-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEAN_UP, None)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEAN_UP) if before is None else spark.conf.set(CLEAN_UP, before)
     return spark.read.parquet(path)
 
 

@@ -7,9 +7,11 @@ of it can hold a pair that is similar enough:
 1. Sizes fall into classes such that linked documents are in one class or two
    neighbouring ones. Two linked sets of a class differ in at most ``d`` n-grams.
    A class's n-grams are dealt by hash to more than ``d`` parts, so linked sets
-   agree on some part entirely. Documents that share a part with its whole
-   content are candidates; a common passage alone doesn't make them so, as a
-   part also holds other n-grams, unless it is more than about half of the texts.
+   agree on some part entirely. Each set names its ``d + 1`` largest parts, which
+   is enough for linked sets to name a common one. Documents that share a part
+   with its whole content are candidates; a common passage alone seldom makes
+   them so, as a part also holds other n-grams, unless it is more than about
+   half of the texts.
 2. Candidates, closed transitively, form clusters. Their texts come together
    in blocks of bounded size: a cluster, or a share of one with some pivots of
    the whole. Within a block overlaps are accumulated by products over slices
@@ -27,7 +29,6 @@ Equal sets are one row of the matrix: links go to their smallest id.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +41,8 @@ from tapeworks.llm.hashing import WORDS, mix, runs, task_words
 
 SHINGLE = 4
 PERCENT = 85
+STEPS = 2  # links of the least similarity that lead from a class's smallest sets to its largest
+SPARE = 10  # percent of parts beyond those that linked sets can differ in
 BLOCK = 400  # documents
 PIVOTS = 24
 SLICE = 4096  # n-grams of one product
@@ -71,47 +74,50 @@ class Classes:
 
     def _grow(self) -> None:
         top = int(self.tops[-1])
-        self.tops = np.append(self.tops, max(top + 1, top * 100 // self.percent))
+        for _ in range(STEPS):
+            top = max(top + 1, self.reach(top))
+        self.tops = np.append(self.tops, top)
 
     def of(self, size: int) -> int:
         while self.tops[-1] < size:
             self._grow()
         return int(np.searchsorted(self.tops, size))
 
-    def parts(self, number: int) -> tuple[int, int]:
-        """Parts of a class, and how many of them two linked sets can spare.
-
-        Linked sets of at most ``top`` n-grams differ in at most
-        2 * top * (100 - percent) / (100 + percent) of them, so they agree on
-        more parts than they can spare. To spare are as many as most sets of
-        the class have weak parts, of one n-gram or none.
-        """
+    def top(self, number: int) -> int:
         while number >= len(self.tops):
             self._grow()
-        top = int(self.tops[number])
-        apart = 2 * top * (100 - self.percent) // (100 + self.percent)
-        if apart == 0:
-            return 1, 0
-        for percent in range(10, 110, 5):
-            spare = 1 + (apart + 1) * percent // 100
-            count = apart + 1 + spare
-            held = top * self.percent / 100 / count
-            if 1.25 * count * math.exp(-held) * (1 + held) <= spare:
-                break
-        return count, spare
+        return int(self.tops[number])
+
+    def reach(self, size: int) -> int:
+        """The largest set that one of ``size`` n-grams may link to."""
+        return size * 100 // self.percent
+
+    def apart(self, size: int, other: int) -> int:
+        """In how many n-grams linked sets of these sizes differ at most."""
+        return (size + other) * (100 - self.percent) // (100 + self.percent)
+
+    def parts(self, number: int) -> int:
+        """Parts of a class: more than linked sets of it differ in."""
+        top = self.top(number)
+        apart = self.apart(top, top)
+        return 1 + apart + (apart + 1) * SPARE // 100 if apart else 1
 
 
 def signatures(grams: np.ndarray, classes: Classes) -> tuple[np.ndarray, np.ndarray]:
     """Keys of the parts by which a set can meet the sets it may link to; which are of the next class.
 
-    A set emits the parts of two n-grams and more if its other parts can be
-    spared, else those of one too, and else all. Two linked sets agree on more
-    parts than can be spared, so on one that both emit.
+    Of a class's parts a set emits the largest, one more than it may differ in
+    from a set of the class; equal sizes go by key. This order depends on the
+    content of parts alone. So if linked sets agree on all but ``d`` parts, the
+    first one on which they agree is among the first ``d + 1`` of both.
     """
     keys = []
-    own = classes.of(len(grams))
+    own, reach = classes.of(len(grams)), classes.reach(len(grams))
     for number in (own, own + 1):
-        count, spare = classes.parts(number)
+        largest = min(reach, classes.top(number))
+        if number > own and reach <= classes.top(own):
+            break
+        count = classes.parts(number)
         mixed = mix(grams ^ np.uint64(77))
         part = ((mixed >> np.uint64(33)) % np.uint64(count)).astype(np.int64)
         order = np.argsort(part, kind="stable")
@@ -121,12 +127,9 @@ def signatures(grams: np.ndarray, classes: Classes) -> tuple[np.ndarray, np.ndar
         totals[held] = np.add.reduceat(mix(mixed + grams)[order], (np.cumsum(sizes) - sizes)[held])
         place = np.arange(count, dtype=np.uint64) + np.uint64(number << 32)
         key = mix(totals + mix(place * np.uint64(0x9E3779B97F4A7C15)))
-        for weak in (1, 0, -1):
-            strong = sizes > weak
-            if count - int(strong.sum()) <= spare:
-                break
-        keys.append(key[strong])
-    return np.concatenate(keys).view(np.int64), np.repeat([False, True], [len(k) for k in keys])
+        needed = classes.apart(len(grams), largest) + 1
+        keys.append(key[np.lexsort((key, -sizes))[:needed]])
+    return np.concatenate(keys).view(np.int64), np.repeat([False, True][: len(keys)], [len(k) for k in keys])
 
 
 def _sets(length: int):

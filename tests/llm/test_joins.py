@@ -1,11 +1,12 @@
 import random
 import re
+import time
 
 import numpy as np
 import pytest
 
 from tapeworks.llm import ngram_join
-from tapeworks.llm.common import components, documents
+from tapeworks.llm.common import CLEAN_UP, components, documents, written
 
 SF = "/root/testdata/sf0.001"
 
@@ -108,6 +109,58 @@ def test_linked_sets_share_a_key():
         assert any(not (ours[key] and theirs[key]) for key in ours.keys() & theirs.keys())
 
 
+def test_sets_name_no_more_parts_than_links_need():
+    """A set of its class, and one of the next class if it can link to any there."""
+    rng = np.random.default_rng(4)
+    for percent in (85, 80):
+        classes, keys, grams = ngram_join.Classes(percent), 0, 0
+        for n in rng.integers(1, 1500, 500).tolist():
+            found, above = ngram_join.signatures(np.unique(rng.integers(0, 2**63, n).astype(np.uint64)), classes)
+            bound = 1 + (n + n * 100 // percent) * (100 - percent) // (100 + percent)
+            assert 0 < (~above).sum() <= bound and above.sum() <= bound
+            keys, grams = keys + len(found), grams + n
+        assert keys < {85: 0.35, 80: 0.45}[percent] * grams
+
+
+def test_common_passage_is_no_candidate(spark, docs_of, monkeypatch):
+    """Short texts that have a line in common don't form a cluster of their number."""
+    found = {}
+    written = ngram_join.written
+    monkeypatch.setattr(ngram_join, "written", lambda s, df, name: found.setdefault(name, written(s, df, name)))
+    chance, line = random.Random(5), [f"l{i}" for i in range(14)]
+    texts = []
+    for _ in range(600):
+        words = [f"w{chance.randint(0, 10**6)}" for _ in range(chance.randint(80, 100))]
+        place = chance.randint(0, len(words))
+        texts.append(" ".join([*words[:place], *line, *words[place:]]))
+    rows = ngram_join.join(spark, docs_of(texts), length=5, percent=80).collect()
+    assert all(r.component_id == r.doc_id for r in rows)
+    assert found["clusters"].count() < 150
+
+
+def test_table_leaves_no_shuffle_behind(spark):
+    from pyspark.sql import functions as F
+
+    def blocks():
+        manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        names = (block.name() for block in iter_seq(manager.getAllBlocks()))
+        return {name for name in names if name.startswith("shuffle_")}
+
+    def iter_seq(seq):
+        return [seq.apply(i) for i in range(seq.size())]
+
+    conf = spark.conf.get(CLEAN_UP, None)
+    before = blocks()
+    frame = spark.range(10_000).groupBy((F.col("id") % 100).alias("k")).count()
+    table = written(spark, frame.join(frame.withColumnRenamed("count", "n"), "k"), "test")
+    for _ in range(100):
+        if blocks() <= before:
+            break
+        time.sleep(0.1)
+    assert blocks() <= before and spark.conf.get(CLEAN_UP, None) == conf
+    assert table.count() == frame.count() == 100
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 200), (200, 150), (7, 7)]
     found = {r.node: r.component for r in components(spark, spark.createDataFrame(edges, "a long, b long")).collect()}
